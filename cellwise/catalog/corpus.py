@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from cellwise.catalog.dense import u_sql
 from cellwise.operators import nearest, summarize
+from cellwise.operators.indexing import with_consecutive_index
 from cellwise.operators.sampling import sample_exact
+from cellwise.session import cut_lineage
 from cellwise.sources import profile, sparse
 from cellwise.sources.tabular import load_table
 
@@ -123,24 +125,22 @@ def q_column_ids(spark, sf):
     return sparse.index_columns(terms(spark, sf))
 
 
-def sparse_points(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Documents as sparse points ``(row_id, features)`` and the dictionary of columns."""
-    entries = terms(spark, sf)
+def q_sparse_nearest(spark, sf):
+    """Nearest of the first documents of each language, by sparse distances."""
+    entries = cut_lineage(terms(spark, sf))  # read by the dictionary, the centres and the points
     dictionary = sparse.index_columns(entries)
     width = dictionary.count()
     long = sparse.with_column_ids(entries, dictionary)
-    return sparse.sparse_rows(rows(spark, sf), long, width), dictionary
-
+    data = sparse.sparse_rows(rows(spark, sf), long, width)
 
-def q_sparse_nearest(spark, sf):
-    """Nearest of the first documents of each language, by sparse distances."""
-    data, _ = sparse_points(spark, sf)
     firsts = documents(spark, sf).groupBy("lang").agg(F.min("doc_id").alias("row_id"))
-    ranked = firsts.orderBy("lang").select("row_id").collect()
-    numbered = spark.createDataFrame([(i, r[0]) for i, r in enumerate(ranked)], "idx int, row_id bigint")
-    centers = data.join(F.broadcast(numbered), "row_id").select("idx", F.col("features").alias("center"))
-    near = nearest.nearest_center(data.withColumnRenamed("row_id", "doc_id"), centers)
-    return near.select("doc_id", F.col("idx").alias("cluster"), F.round("d2", 6).alias("d2"))
+    numbered = with_consecutive_index(firsts, "lang").select("row_id", "idx")
+    chosen = sparse.sparse_rows(numbered, long.join(numbered.select("row_id"), "row_id"), width)
+    centers = chosen.join(numbered, "row_id").select("idx", F.col("features").alias("center"))
+    near = nearest.nearest_center(data, centers)
+    return near.select(
+        F.col("row_id").alias("doc_id"), F.col("idx").alias("cluster"), F.round("d2", 6).alias("d2")
+    )
 
 
 T = (

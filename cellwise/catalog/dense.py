@@ -269,7 +269,8 @@ def q_ari(spark, sf):
 def q_cluster_overlay(spark, sf):
     near = nearest_fixed(spark, sf, "label").withColumnRenamed("idx", "cluster")
     both = validation.cluster_overlay(near, fixed_centers(spark, sf))
-    return both.select("kind", "id", "cluster", "label")
+    # a centre has no label of its own
+    return both.select("kind", "id", "cluster", F.coalesce("label", F.lit(-1)).cast("int").alias("label"))
 
 
 def q_blobs(spark, sf):
@@ -447,7 +448,7 @@ ORACLE = {
     f" {_pairs('sum(n) as n from t')} as a)"
     " select round((j - c*l/a)/((c + l)/2 - c*l/a), 6) as ari from s",
     "cluster_overlay": f"with {E}, {C}, {near_sql('a')} select 'point' as kind, point_id as id, idx as cluster,"
-    " label from a union all select 'center', cluster::bigint, cluster, null from c",
+    " label::int as label from a union all select 'center', cluster::bigint, cluster, -1 from c",
     "blobs": f"with {E}, b as (select point_id, (point_id % 4)::int as label from e), g as (select point_id, label, "
     + ", ".join(
         f"({u_sql(f'center/{d}', 'label')}*2 - 1)*10"

@@ -45,7 +45,7 @@ def q_coerce_numeric(spark, sf):
 
 
 def q_drop_empty_columns(spark, sf):
-    return prep.drop_empty_columns(prep.coerce_numeric(_table(spark, sf, "part"), ["p_partkey"]))
+    return prep.drop_empty_columns(prep.coerce_numeric(_table(spark, sf, "part"), ["p_partkey"]), ["p_partkey"])
 
 
 def _gappy_events(spark, sf):
@@ -115,7 +115,7 @@ ORACLE = {
     "coerce_numeric": "select p_partkey, "
     + ", ".join(NUMBER_SQL.format(c=c) for c in ("p_name", "p_brand", "p_type"))
     + ", p_size::double as p_size, p_retailprice from part",
-    "drop_empty_columns": "select p_partkey::double as p_partkey, p_size::double as p_size, p_retailprice from part",
+    "drop_empty_columns": "select p_partkey, p_size::double as p_size, p_retailprice from part",
     "drop_null_rows": f"with {GAPPY} select event_id, user_id, value from k",
     "select_numeric": "select p_partkey::double as p_partkey, p_size::double as p_size, p_retailprice from part",
     "standardize": f"select p_partkey, {_scaled('p_size', 'part')}, {_scaled('p_retailprice', 'part')},"

@@ -167,22 +167,26 @@ def _sparse_products(points: SparseRows, centers: np.ndarray) -> np.ndarray:
 def _nearest_sparse(points: SparseRows, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nearest centre by expanding the square, touching only stored entries.
 
-    Distances below the rounding error of the expansion are zero: a point that
-    is itself a centre must have distance zero to it.
+    Distances closer than the rounding error of the expansion count as equal, and
+    the lowest index wins.
     """
-    all_d2 = _distances_sparse(points, centers)
-    best = all_d2.argmin(axis=1)
-    return all_d2[np.arange(len(points)), best], best
+    d2, noise = _distances_sparse(points, centers)
+    smallest = d2.min(axis=1)
+    return smallest, (d2 <= smallest[:, None] + noise).argmax(axis=1)
 
 
-def _distances_sparse(points: SparseRows, centers: np.ndarray) -> np.ndarray:
+def _distances_sparse(points: SparseRows, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances and their rounding error; below the error they are zero.
+
+    So a point that is itself a centre has distance zero to it.
+    """
     center_norms = np.einsum("ij,ij->i", centers, centers)
     point_norms = points.squared_norms()[:, None]
     d2 = point_norms - 2.0 * _sparse_products(points, centers) + center_norms
     longest = int(np.diff(points.indptr).max(initial=0))
     noise = 4.0 * (longest + 4) * _EPS * (point_norms + center_norms)
     d2[d2 < noise] = 0.0
-    return d2
+    return d2, noise
 
 
 def _row_step(points: np.ndarray | SparseRows, m: int) -> int:
@@ -214,13 +218,56 @@ def distances(points: np.ndarray | SparseRows, centers: np.ndarray) -> np.ndarra
     out = np.empty((len(points), len(centers)))
     for lo, hi, block in _row_blocks(points, len(centers)):
         if isinstance(block, SparseRows):
-            out[lo:hi] = _distances_sparse(block, centers)
+            out[lo:hi], _ = _distances_sparse(block, centers)
         else:
             for j, center in enumerate(centers):
                 out[lo:hi, j] = _exact(block, center)
     return out
 
 
+def sums_batch(clusters, segments, n, cost, sums: np.ndarray) -> pa.RecordBatch:
+    """Arrow rows ``(cluster, segment, n, cost, sums)``."""
+    offsets = np.arange(len(sums) + 1, dtype=np.int32) * sums.shape[1]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(clusters, pa.int32()),
+            pa.array(segments, pa.int32()),
+            pa.array(n, pa.int64()),
+            pa.array(cost, pa.float64()),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(sums.reshape(-1))),
+        ],
+        names=["cluster", "segment", "n", "cost", "sums"],
+    )
+
+
+class MergedSums:
+    """Adds up partial-sum rows that belong together; one entry per (cluster, segment)."""
+
+    def __init__(self):
+        self.totals: dict[tuple[int, int], list] = {}
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        if not batch.num_rows:
+            return
+        clusters, segments, n, cost = (batch.column(i).to_pylist() for i in range(4))
+        sums = _dense_rows(batch.column(4), None)
+        for i, key in enumerate(zip(clusters, segments, strict=True)):
+            total = self.totals.get(key)
+            if total is None:
+                self.totals[key] = [n[i], cost[i], sums[i].copy()]
+            else:
+                total[0] += n[i]
+                total[1] += cost[i]
+                total[2] += sums[i]
+
+    def drain(self):
+        if self.totals:
+            clusters, segments = zip(*self.totals, strict=True)
+            n, cost, sums = zip(*self.totals.values(), strict=True)
+            yield sums_batch(clusters, segments, n, cost, np.vstack(sums))
+        self.totals.clear()
+
+
 class PartialSums:
     """Running vector sums per cluster inside one task, bounded in memory.
 
@@ -286,18 +333,6 @@ class PartialSums:
                     continue
                 n = self.counts[:used] if number == 0 else np.zeros(used, dtype=np.int64)
                 cost = self.costs[:used] if number == 0 else np.zeros(used)
-                kept = int(keep.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(clusters[keep].astype(np.int32)),
-                        pa.array(np.full(kept, number, dtype=np.int32)),
-                        pa.array(n[keep]),
-                        pa.array(cost[keep]),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.arange(kept + 1, dtype=np.int32) * segment),
-                            pa.array(part[keep].reshape(-1)),
-                        ),
-                    ],
-                    names=["cluster", "segment", "n", "cost", "sums"],
-                )
+                numbers = np.full(int(keep.sum()), number, dtype=np.int32)
+                yield sums_batch(clusters[keep], numbers, n[keep], cost[keep], part[keep])
         self.__init__(self.max_bytes)

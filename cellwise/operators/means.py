@@ -7,14 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.functions import kernels
 from cellwise.session import center_budget
 
 PARTIAL_SCHEMA = "cluster int, segment int, n bigint, cost double, sums array<double>"
-# Elements per partial-sum row; fixes the width of the merging aggregation.
+# Elements per partial-sum row; bounds the width of the rows that are shuffled.
 SEGMENT = 64
 
 
@@ -65,18 +65,21 @@ def assigned_partial_sums(points: DataFrame, centers: np.ndarray, features: str)
     return points.select(features).mapInArrow(assign_and_sum, PARTIAL_SCHEMA), shared
 
 
-def merge_sums(partials: DataFrame, segment: int) -> DataFrame:
-    """Merge partial sums: ``(cluster, segment, n, cost, sums)`` once per segment.
+def merge_sums(partials: DataFrame) -> DataFrame:
+    """Merge partial sums: one row per cluster and segment.
 
-    Hash aggregation on fixed-width rows; a hot cluster contributes one row per
-    task and segment, however many points it has.
+    Rows meet by ``(cluster, segment)`` and are added up as they stream in, so a
+    task holds one running row per key it owns.  A hot cluster contributes one
+    row per upstream task and segment, however many points it has.
     """
-    totals = [F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(segment)]
-    merged = partials.groupBy("cluster", "segment").agg(
-        F.sum("n").alias("n"), F.sum("cost").alias("cost"), *totals
-    )
-    sums: Column = F.array(*[F.col(f"s{i}") for i in range(segment)])
-    return merged.select("cluster", "segment", "n", "cost", sums.alias("sums"))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merged = kernels.MergedSums()
+        for batch in batches:
+            merged.add(batch)
+        yield from merged.drain()
+
+    return partials.repartition("cluster", "segment").mapInArrow(add_up, PARTIAL_SCHEMA)
 
 
 def cluster_means(
@@ -92,7 +95,7 @@ def cluster_means(
     entries, none of them points.
     """
     segment = min(SEGMENT, dim)
-    merged = merge_sums(partial_sums(assigned, features, cluster, d2), segment)
+    merged = merge_sums(partial_sums(assigned, features, cluster, d2))
     gathered = merged.groupBy("cluster").agg(
         F.sum("n").alias("n"),
         F.sum("cost").alias("cost"),

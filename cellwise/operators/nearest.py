@@ -86,17 +86,22 @@ def center_blocks(
         for lo in range(0, len(centers), rows):
             yield CenterBlock(lo, np.ascontiguousarray(centers[lo : lo + rows], dtype=np.float64))
         return
-    span = centers.agg(F.min(index_col), F.max(index_col), F.count(F.lit(1))).first()
-    first, last, n = span[0], span[1], span[2]
-    if not n:
-        raise ValueError("there are no centres")
-    if last - first + 1 != n:
-        raise ValueError(f"centre indexes must run from {first} to {last} without gaps or repeats")
-    rows = max(1, max_bytes // (8 * max(1, _vector_length(centers, center_col))))
-    for lo in range(first, last + 1, rows):
-        part = centers.where(F.col(index_col).between(lo, min(last, lo + rows - 1)))
-        found = sorted(part.select(index_col, center_col).collect(), key=lambda r: r[0])
-        yield CenterBlock(lo, as_matrix(r[1] for r in found))
+    # centres are read three times below; keep them so that they are computed once
+    centers = centers.select(index_col, center_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        span = centers.agg(F.min(index_col), F.max(index_col), F.count(F.lit(1))).first()
+        first, last, n = span[0], span[1], span[2]
+        if not n:
+            raise ValueError("there are no centres")
+        if last - first + 1 != n:
+            raise ValueError(f"centre indexes must run from {first} to {last} without gaps or repeats")
+        rows = max(1, max_bytes // (8 * max(1, _vector_length(centers, center_col))))
+        for lo in range(first, last + 1, rows):
+            part = centers.where(F.col(index_col).between(lo, min(last, lo + rows - 1)))
+            found = sorted(part.collect(), key=lambda r: r[0])
+            yield CenterBlock(lo, as_matrix(r[1] for r in found))
+    finally:
+        centers.unpersist()
 
 
 def _broadcast(spark: SparkSession, block: CenterBlock) -> Broadcast:

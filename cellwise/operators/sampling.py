@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,14 +46,21 @@ def sample_exact(
     sample is a plain filter; nothing is sorted or gathered.  Only rows that share
     the boundary value exactly are ordered by ``key``, which must be unique.
     """
-    key = F.col(key) if isinstance(key, str) else key
-    marked = df.withColumn("_u", keyed_uniform(key, seed, 0, rng))
     if n <= 0:
         return df.limit(0)
-    if df.count() <= n:
-        return df
-    edge = F.lit(value_at_rank(marked, "_u", n - 1))
-    counts = marked.agg(F.count_if(F.col("_u") < edge), F.count_if(F.col("_u") == edge)).first()
+    key = F.col(key) if isinstance(key, str) else key
+    marked = df.withColumn("_u", keyed_uniform(key, seed, 0, rng))
+    # the search reads eight bytes per row several times; the rows are computed once more at the end
+    uniforms = marked.select("_u").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if uniforms.count() <= n:
+            return df
+        edge = F.lit(value_at_rank(uniforms, "_u", n - 1))
+        counts = uniforms.agg(
+            F.count_if(F.col("_u") < edge), F.count_if(F.col("_u") == edge)
+        ).first()
+    finally:
+        uniforms.unpersist()
     if counts[0] + counts[1] == n:
         return marked.where(F.col("_u") <= edge).select(*df.columns)
     below = marked.where(F.col("_u") < edge).select(*df.columns)

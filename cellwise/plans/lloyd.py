@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.operators.means import (
-    SEGMENT,
     assigned_partial_sums,
     center_shift,
     center_shift_sql,
@@ -27,7 +26,7 @@ def lloyd_step(points: DataFrame, centers: np.ndarray, features: str = "features
     """One iteration in one job; returns the new centres and the cost of the old ones."""
     k, dim = centers.shape
     partials, shared = assigned_partial_sums(points, centers, features)
-    sums, counts, cost = collect_sums(merge_sums(partials, min(SEGMENT, dim)), k, dim)
+    sums, counts, cost = collect_sums(merge_sums(partials), k, dim)
     shared.unpersist()
     new = centers.copy()
     filled = counts > 0

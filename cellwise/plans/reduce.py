@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -43,6 +44,9 @@ def reduce_candidates(candidates: DataFrame, k: int, seed: int = 42) -> np.ndarr
             )
         if n == k:
             return np.vstack([row[0].toArray() for row in data.select("features").collect()])
+        if k == 1:  # k-means in Spark ML starts at two clusters
+            mean = Summarizer.mean(F.col("features"), F.col("weight"))
+            return data.agg(mean.alias("mean")).first()[0].toArray().reshape(1, -1)
         for mode, steps in (("k-means||", 5), ("k-means||", 20), ("random", 1)):
             # the parallel initialisation can return fewer than k centres on few candidates;
             # the random one picks k distinct candidates

@@ -8,22 +8,26 @@ the executors; the driver sees one cost per round and the few sampled points.
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
+from cellwise.functions import kernels
 from cellwise.functions.scalar import planned_rounds, sampling_probability
 from cellwise.operators.indexing import with_consecutive_index
 from cellwise.operators.nearest import (
     CenterBlock,
-    as_matrix,
     center_blocks,
+    total_cost,
     update_nearest_blocks,
     with_nearest,
 )
 from cellwise.operators.sampling import sample_by_probability, seed_point
-from cellwise.operators.weights import candidate_weights
+from cellwise.operators.weights import candidate_weights, nearest_frequencies
 from cellwise.plans.config import LogRow, SeedConfig, Seeding
 from cellwise.session import center_budget, cut_lineage
 
@@ -67,33 +71,50 @@ def _candidate_rows(numbered: DataFrame, round_number: int, key: str, features:
     )
 
 
-class _Round:
-    """The candidates one round adds: as blocks to broadcast and as a DataFrame."""
+class _SmallRound:
+    """Candidates of one round, collected as an Arrow table."""
+
+    def __init__(self, sampled: DataFrame, start: int, number: int, key: str, features: str):
+        found = sampled.select(key, features).toArrow()
+        found = found.take(pc.sort_indices(found, sort_keys=[(key, "ascending")]))
+        self.spark, self.start, self.size = sampled.sparkSession, start, found.num_rows
+        self.table = pa.table(
+            {
+                "idx": pa.array(np.arange(start, start + self.size), pa.int32()),
+                key: found[key],
+                "round": pa.array(np.full(self.size, number), pa.int32()),
+                "center": found[features],
+            }
+        )
+        if self.size:
+            points = kernels.decode_points(found[features])
+            self.matrix = np.ascontiguousarray(kernels.densify(points))
 
-    def __init__(self, rows: DataFrame, size: int, blocks):
-        self.rows, self.size, self.blocks = rows, size, blocks
+    def blocks(self) -> Iterator[CenterBlock]:
+        return iter([CenterBlock(self.start, self.matrix)])
 
+    def frame(self) -> DataFrame:
+        return self.spark.createDataFrame(self.table).coalesce(1)
 
-def _collect_round(sampled: DataFrame, start: int, number: int, key: str, features: str) -> _Round | None:
-    found = sorted(sampled.select(key, features).collect(), key=lambda r: r[0])
-    if not found:
-        return None
-    spark = sampled.sparkSession
-    template = _candidate_rows(sampled.withColumn("idx", F.lit(0)), number, key, features)
-    data = [(start + i, r[0], number, r[1]) for i, r in enumerate(found)]
-    rows = spark.createDataFrame(data, template.schema).coalesce(1)
-    matrix = as_matrix(r[1] for r in found)
-    return _Round(rows, len(found), lambda: iter([CenterBlock(start, matrix)]))
 
+class _LargeRound:
+    """Candidates of a round that may be too large to collect at once.
 
-def _tabulate_round(
-    sampled: DataFrame, start: int, number: int, key: str, features: str, budget: int
-) -> _Round | None:
-    """A round too large to collect at once: numbered and written by Spark, read back in blocks."""
-    numbered = with_consecutive_index(sampled.select(key, features), key, start)
-    rows = _candidate_rows(numbered, number, key, features)
-    size = rows.count()
-    return _Round(rows, size, lambda: center_blocks(rows, budget)) if size else None
+    They are numbered and written by Spark, and read back in blocks.
+    """
+
+    def __init__(
+        self, sampled: DataFrame, start: int, number: int, key: str, features: str, budget: int
+    ):
+        numbered = with_consecutive_index(sampled.select(key, features), key, start)
+        self.rows = _candidate_rows(numbered, number, key, features)
+        self.budget, self.size = budget, self.rows.count()
+
+    def blocks(self) -> Iterator[CenterBlock]:
+        return center_blocks(self.rows, self.budget)
+
+    def frame(self) -> DataFrame:
+        return self.rows
 
 
 def seed_candidates(
@@ -110,78 +131,66 @@ def seed_candidates(
     log: list[LogRow] = []
     started = time.perf_counter()
 
-    first = seed_point(points, key, config.seed, config.rng).collect()
-    if not first:
+    first = _SmallRound(seed_point(points, key, config.seed, config.rng), 0, 0, key, features)
+    if not first.size:
         raise ValueError("cannot seed clusters from an empty input")
-    matrix = as_matrix([first[0][features]])
-    row_bytes = 8 * max(1, matrix.shape[1])
-    parts = [
-        _candidate_rows(
-            spark.createDataFrame([(0, *first[0])], _numbered_schema(points)), 0, key, features
-        ).coalesce(1)
-    ]
+    row_bytes = 8 * max(1, first.matrix.shape[1])
+    small = sampled_rows_bound(config.oversampling) * row_bytes <= budget
+    rounds: list[_SmallRound | _LargeRound] = [first]
     n_candidates = 1
-    state = with_nearest(points, CenterBlock(0, matrix), features).persist(config.storage)
-    cost = _cost(state)
+    state = with_nearest(points, next(first.blocks()), features).persist(config.storage)
+    cost = total_cost(state)  # fills the cache in the same job
     log.append(LogRow("seed", 0, cost, 1, 1, None, time.perf_counter() - started))
 
-    rounds = config.rounds if config.rounds is not None else planned_rounds(cost, config.alpha)
-    stacked = 0
-    for number in range(1, rounds + 1):
+    planned = config.rounds if config.rounds is not None else planned_rounds(cost, config.alpha)
+    for number in range(1, planned + 1):
         if cost <= 0.0:
             break
         started = time.perf_counter()
         sampled = sample_round(state, config, number, cost, key)
-        if sampled_rows_bound(config.oversampling) * row_bytes <= budget:
-            added = _collect_round(sampled, n_candidates, number, key, features)
+        if small:
+            added = _SmallRound(sampled, n_candidates, number, key, features)
         else:
-            added = _tabulate_round(sampled, n_candidates, number, key, features, budget)
-        if added is None:
-            # an empty round counts as a round
-            log.append(LogRow("seed", number, cost, 0, n_candidates, None, time.perf_counter() - started))
-            continue
-        parts.append(added.rows)
-        n_candidates += added.size
-        stacked += 1
-        held: list[DataFrame] = []
-        newer = update_nearest_blocks(state, points, added.blocks(), features, held)
-        if stacked % _ROUNDS_PER_CUT == 0:
-            newer = _rebase(points, parts, n_candidates * row_bytes, budget, newer, features)
-        newer = newer.persist(config.storage)
-        cost = _cost(newer)
-        for used in (state, *held):
-            used.unpersist()
-        state = newer
-        log.append(
-            LogRow("seed", number, cost, added.size, n_candidates, None, time.perf_counter() - started)
-        )
-
-    candidates = candidate_weights(_union(parts), state)
-    if n_candidates * row_bytes <= budget:
-        candidates = spark.createDataFrame(candidates.collect(), candidates.schema).coalesce(1)
-    else:
-        candidates = cut_lineage(candidates)
-    return Seeding(candidates, state, log, [state.unpersist])
-
-
-def _numbered_schema(points: DataFrame) -> StructType:
-    return StructType([StructField("idx", IntegerType()), *points.schema.fields])
-
-
-def _cost(state: DataFrame) -> float:
-    """Total cost, filling the cache of ``state`` in the same job."""
-    return float(state.agg(F.coalesce(F.sum("d2"), F.lit(0.0))).first()[0])
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
+            added = _LargeRound(sampled, n_candidates, number, key, features, budget)
+        if added.size:
+            rounds.append(added)
+            n_candidates += added.size
+            held: list[DataFrame] = []
+            newer = update_nearest_blocks(state, points, added.blocks(), features, held)
+            if (len(rounds) - 1) % _ROUNDS_PER_CUT == 0:
+                newer = _with_short_plan(points, rounds, n_candidates * row_bytes <= budget, newer, features)
+            newer = newer.persist(config.storage)
+            cost = total_cost(newer)
+            for used in (state, *held):
+                used.unpersist()
+            state = newer
+        # a round without samples counts as a round
+        elapsed = time.perf_counter() - started
+        log.append(LogRow("seed", number, cost, added.size, n_candidates, None, elapsed))
+
+    return Seeding(_weighted(spark, rounds, state), state, log, [state.unpersist])
+
+
+def _weighted(spark: SparkSession, rounds: list, state: DataFrame) -> DataFrame:
+    """All candidates with the number of points nearest to each."""
+    if all(isinstance(r, _SmallRound) for r in rounds):
+        table = pa.concat_tables(r.table for r in rounds)
+        weights = np.zeros(table.num_rows)
+        for row in nearest_frequencies(state).collect():
+            weights[row["idx"]] = row["n"]
+        return spark.createDataFrame(table.append_column("weight", pa.array(weights))).coalesce(1)
+    return cut_lineage(candidate_weights(_union(rounds), state))
+
+
+def _union(rounds: list) -> DataFrame:
+    whole = rounds[0].frame()
+    for r in rounds[1:]:
+        whole = whole.unionByName(r.frame())
     return whole
 
 
-def _rebase(
-    points: DataFrame, parts: list[DataFrame], size: int, budget: int, state: DataFrame, features: str
+def _with_short_plan(
+    points: DataFrame, rounds: list, fits_one_block: bool, state: DataFrame, features: str
 ) -> DataFrame:
     """Same state with a short plan, so that a lost executor costs one pass, not all rounds.
 
@@ -189,12 +198,6 @@ def _rebase(
     at once, so while they fit one block the state is restated from the input;
     otherwise it is written to the checkpoint folder.
     """
-    if size <= budget:
-        blocks = center_blocks(_union(parts), budget)
-        return update_nearest_blocks(None, points, blocks, features)
+    if fits_one_block and all(isinstance(r, _SmallRound) for r in rounds):
+        return with_nearest(points, CenterBlock(0, np.vstack([r.matrix for r in rounds])), features)
     return cut_lineage(state)
-
-
-def candidate_table(spark: SparkSession, seeding: Seeding) -> DataFrame:
-    """Candidates in index order, for display and storage."""
-    return seeding.candidates.orderBy("idx")

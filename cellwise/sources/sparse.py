@@ -11,6 +11,7 @@ import time
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cellwise.operators.indexing import with_consecutive_index
 from cellwise.sources.profile import PROFILE_SCHEMA, dataset_profile, megabytes_at
@@ -51,14 +52,9 @@ def term_matrix(
     df = counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     weight = (F.lit(1.0) + F.ln("tf")) * F.ln(F.lit(float(n_rows)) / F.col("df"))
     weighted = counts.join(df, "term").select("row_id", "term", weight.alias("w")).where("w > 0")
-    norms = weighted.groupBy("row_id").agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-        F.collect_list(F.struct("term", "w")).alias("entries"),
-    )
-    # a row's entries number at most its distinct terms
-    return norms.select("row_id", "norm", F.inline("entries")).select(
-        "row_id", "term", (F.col("w") / F.col("norm")).alias("value")
-    )
+    # the window sees one row of the matrix, at most its distinct terms
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("row_id")))
+    return weighted.select("row_id", "term", (F.col("w") / norm).alias("value"))
 
 
 def index_columns(entries: DataFrame, column: str = "term") -> DataFrame:
