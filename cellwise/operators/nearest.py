@@ -26,8 +26,9 @@ from cellwise.functions.scalar import sampling_probability, squared_distance, ve
 from cellwise.session import center_budget, cut_lineage
 
 NEAREST_TYPE = "struct<d2:double,idx:int>"
-# Passes over several centre blocks between two lineage cuts.
-_BLOCKS_PER_CUT = 8
+# Cached passes stacked between two lineage cuts.  Spark prints a cached adaptive plan
+# twice within the plan that reads it, so planning time doubles with every level.
+PASSES_PER_CUT = 4
 
 
 @dataclass(frozen=True)
@@ -164,7 +165,7 @@ def update_nearest_blocks(
     for number, block in enumerate(blocks):
         if number > 0:
             previous = kept
-            if number % _BLOCKS_PER_CUT == 0:
+            if number % PASSES_PER_CUT == 0:
                 state, kept = cut_lineage(state), None
             else:
                 state = kept = state.persist(StorageLevel.MEMORY_AND_DISK)

@@ -20,6 +20,7 @@ from cellwise.functions import kernels
 from cellwise.functions.scalar import planned_rounds, sampling_probability
 from cellwise.operators.indexing import with_consecutive_index
 from cellwise.operators.nearest import (
+    PASSES_PER_CUT,
     CenterBlock,
     center_blocks,
     total_cost,
@@ -31,8 +32,6 @@ from cellwise.operators.weights import candidate_weights, nearest_frequencies
 from cellwise.plans.config import LogRow, SeedConfig, Seeding
 from cellwise.session import center_budget, cut_lineage
 
-# Rounds whose updates may be stacked before the plan is cut.
-_ROUNDS_PER_CUT = 8
 
 
 def sampled_rows_bound(oversampling: float) -> int:
@@ -157,7 +156,7 @@ def seed_candidates(
             n_candidates += added.size
             held: list[DataFrame] = []
             newer = update_nearest_blocks(state, points, added.blocks(), features, held)
-            if (len(rounds) - 1) % _ROUNDS_PER_CUT == 0:
+            if not small or (len(rounds) - 1) % PASSES_PER_CUT == 0:
                 newer = _with_short_plan(points, rounds, n_candidates * row_bytes <= budget, newer, features)
             newer = newer.persist(config.storage)
             cost = total_cost(newer)
