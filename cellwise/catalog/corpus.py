@@ -11,7 +11,7 @@ from cellwise.operators.indexing import with_consecutive_index
 from cellwise.operators.sampling import sample_exact
 from cellwise.session import cut_lineage
 from cellwise.sources import profile, sparse
-from cellwise.sources.tabular import load_table
+from cellwise.sources.tabular import load_table, spread_small
 
 LABEL_COLUMNS = ["quality", "toxic"]
 SAMPLE_SIZE = 50_000
@@ -21,17 +21,22 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return load_table(spark, f"{sf}/documents.parquet")
 
 
+def spread_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents to split into terms, the heaviest work per row here."""
+    return spread_small(documents(spark, sf).select("doc_id", "text"))
+
+
 def rows(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).select(F.col("doc_id").alias("row_id"))
 
 
 def terms(spark: SparkSession, sf: str) -> DataFrame:
-    return sparse.term_matrix(documents(spark, sf))
+    whole = documents(spark, sf)
+    return sparse.term_matrix(spread_documents(spark, sf), n_rows=whole.count())
 
 
 def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    """All terms, those without weight included."""
-    return sparse.term_counts(documents(spark, sf)).select("term").distinct()
+    return sparse.vocabulary(spread_documents(spark, sf))
 
 
 def labels(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cellwise.operators.order_stats import median
+from cellwise.session import cut_lineage
 
 
 def counts_with_zeros(
@@ -60,35 +61,39 @@ def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
     values are equal the range is widened by a half to both sides.
     """
     spark = df.sparkSession
-    row = df.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
-    lo, hi = row[0], row[1]
-    if lo is None:
-        lo, hi = 0.0, 1.0
-    elif lo == hi:
-        lo, hi = lo - 0.5, hi + 0.5
-    x = F.col(column).cast("double")
-    guess = F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))).cast("int")
-    guess = F.least(guess, F.lit(bins - 1))
-    # the division may round across an edge; the edges decide
-    placed = (
-        F.when(x < _edge(guess, lo, hi, bins), guess - 1)
-        .when((guess < bins - 1) & (x >= _edge(guess + 1, lo, hi, bins)), guess + 1)
-        .otherwise(guess)
-    )
-    counts = df.where(x.isNotNull()).groupBy(placed.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return all_bins.join(counts, "bin", "left").select(
-        "bin",
-        _edge(F.col("bin"), lo, hi, bins).alias("lower"),
-        _edge(F.col("bin") + 1, lo, hi, bins).alias("upper"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-    )
+    values = df.select(F.col(column).cast("double").alias("x")).where("x is not null").persist()
+    try:
+        lo, hi = values.agg(F.min("x"), F.max("x")).first()
+        if lo is None:
+            lo, hi = 0.0, 1.0
+        elif lo == hi:
+            lo, hi = lo - 0.5, hi + 0.5
+        x = F.col("x")
+        guess = F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))).cast("int")
+        guess = F.least(guess, F.lit(bins - 1))
+        # the division may round across an edge; the edges decide
+        placed = (
+            F.when(x < _edge(guess, lo, hi, bins), guess - 1)
+            .when((guess < bins - 1) & (x >= _edge(guess + 1, lo, hi, bins)), guess + 1)
+            .otherwise(guess)
+        )
+        # at most one row per bin reaches the driver
+        counted = values.groupBy(placed.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
+    finally:
+        values.unpersist()
+    counts = {r["bin"]: r["n"] for r in counted}
+    step = (hi - lo) / bins
+    edges = [lo + i * step for i in range(bins)] + [hi]
+    rows = [(i, edges[i], edges[i + 1], counts.get(i, 0)) for i in range(bins)]
+    return spark.createDataFrame(rows, "bin int, lower double, upper double, n bigint").coalesce(1)
 
 
 def integer_histogram(df: DataFrame, column: str) -> DataFrame:
     """Rows per integer from 0 to the maximum: ``(value, n)``, empty ones too."""
-    counts = df.groupBy(F.col(column).cast("bigint").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    top = df.agg(F.coalesce(F.max(column), F.lit(-1))).first()[0]
+    value = F.col(column).cast("bigint").alias("value")
+    # one short row per distinct integer, written once because it is read twice
+    counts = cut_lineage(df.groupBy(value).agg(F.count(F.lit(1)).alias("n")))
+    top = counts.agg(F.coalesce(F.max("value"), F.lit(-1))).first()[0]
     values = df.sparkSession.range(int(top) + 1).select(F.col("id").alias("value"))
     return values.join(counts, "value", "left").select(
         "value", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")

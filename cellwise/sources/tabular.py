@@ -21,6 +21,23 @@ def load_table(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def spread_small(df: DataFrame, max_bytes: int = 256 * 1024 * 1024) -> DataFrame:
+    """Deal the rows of a few small files out to all cores.
+
+    A small file is read by one task per row group, which leaves cores idle when
+    the work per row is heavy.  Its size is checked first: input over
+    ``max_bytes``, or already in as many files as cores, is left as it is, since
+    shuffling it would cost more than it gains.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not 0 < len(files) < cores:
+        return df
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    return df.repartition(cores) if size <= max_bytes else df
+
+
 def load_points(spark: SparkSession, path: str, key: str, vector: str, *keep: str) -> DataFrame:
     """Read stored vectors as points ``(point_id, *keep, features array<double>)``."""
     return load_table(spark, path).select(

@@ -1,0 +1,5 @@
+"""No streaming operators are needed.
+
+Assigning points to fixed centres keeps no state, so
+:func:`cellwise.operators.nearest.classify` works on a streaming DataFrame as it is.
+"""
