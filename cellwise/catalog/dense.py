@@ -10,7 +10,7 @@ from cellwise.functions.uniform import keyed_uniform
 from cellwise.operators import means, nearest, validation
 from cellwise.operators.sampling import sample_by_probability, seed_point
 from cellwise.operators.weights import candidate_weights, nearest_frequencies
-from cellwise.plans.config import FitConfig, SeedConfig, log_frame
+from cellwise.plans.config import FitConfig, SeedConfig, centers_frame, log_frame
 from cellwise.plans.estimator import ParallelKMeans
 from cellwise.plans.lloyd import fit_centers
 from cellwise.plans.reduce import reduce_candidates
@@ -203,10 +203,7 @@ def q_reduce_candidates(spark, sf):
     seeding = seeded(spark, sf, 2)
     seeding.release()
     centers = reduce_candidates(seeding.candidates, K, SEED)
-    frame = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(centers)], "cluster int, center array<double>"
-    )
-    return _long(frame)
+    return _long(centers_frame(spark, centers))
 
 
 def q_cluster_means(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwise.session import cut_lineage
+from cellwise.session import cut_lineage, local_frame
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -28,7 +28,7 @@ def with_consecutive_index(df: DataFrame, key: str, start: int = 0, index_col: s
         offsets.append((row["_part"], total))
         total += row["count"]
     # one short row per partition: bounded by the number of shuffle partitions
-    table = df.sparkSession.createDataFrame(offsets, "_part bigint, _first bigint").coalesce(1)
+    table = local_frame(df.sparkSession, offsets, "_part bigint, _first bigint")
     within = F.col("_mark").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
         fixed.join(F.broadcast(table), "_part")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cellwise.operators.order_stats import median
-from cellwise.session import cut_lineage
+from cellwise.session import cut_lineage, local_frame
 
 
 def counts_with_zeros(
@@ -46,7 +46,7 @@ def summary(df: DataFrame, column: str, with_mean: bool = True) -> DataFrame:
     finally:
         values.unpersist()
     schema = ", ".join(f"{n} {'bigint' if n == 'n' else 'double'}" for n in [*names, "median"])
-    return df.sparkSession.createDataFrame([(*row, middle)], schema).coalesce(1)
+    return local_frame(df.sparkSession, [(*row, middle)], schema)
 
 
 def _edge(index: Column, lo: float, hi: float, bins: int) -> Column:
@@ -85,7 +85,7 @@ def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
     step = (hi - lo) / bins
     edges = [lo + i * step for i in range(bins)] + [hi]
     rows = [(i, edges[i], edges[i + 1], counts.get(i, 0)) for i in range(bins)]
-    return spark.createDataFrame(rows, "bin int, lower double, upper double, n bigint").coalesce(1)
+    return local_frame(spark, rows, "bin int, lower double, upper double, n bigint")
 
 
 def integer_histogram(df: DataFrame, column: str) -> DataFrame:

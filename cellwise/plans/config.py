@@ -9,6 +9,8 @@ import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from cellwise.session import local_frame
+
 LOG_SCHEMA = (
     "phase string, round int, cost double, n_sampled bigint, n_candidates bigint, "
     "shift double, elapsed_s double"
@@ -62,7 +64,7 @@ class LogRow:
 
 def log_frame(spark: SparkSession, log: list[LogRow]) -> DataFrame:
     """Iteration log as a DataFrame; one row per seeding round or Lloyd iteration."""
-    return spark.createDataFrame([row.as_tuple() for row in log], LOG_SCHEMA).coalesce(1)
+    return local_frame(spark, [row.as_tuple() for row in log], LOG_SCHEMA)
 
 
 def distance_passes(log: list[LogRow]) -> int:
@@ -109,4 +111,4 @@ class KMeansModel:
 def centers_frame(spark: SparkSession, centers: np.ndarray) -> DataFrame:
     """Centres as ``(cluster, center)`` rows."""
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]
-    return spark.createDataFrame(rows, "cluster int, center array<double>").coalesce(1)
+    return local_frame(spark, rows, "cluster int, center array<double>")

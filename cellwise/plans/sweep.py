@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from cellwise.plans.estimator import ParallelKMeans
+from cellwise.session import local_frame
 
 RESULT_SCHEMA = (
     "run_id int, workers int, parts int, k int, l double, r int, seed int, "
@@ -54,7 +55,7 @@ def sweep(points: DataFrame, configs: Iterable[SweepConfig], key: str = "point_i
     finally:
         if cached is not None:
             cached.unpersist()
-    frame = spark.createDataFrame(results, RESULT_SCHEMA).coalesce(1)
+    frame = local_frame(spark, results, RESULT_SCHEMA)
     return frame.orderBy(frame["cost"].asc_nulls_last(), "run_id")
 
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Largest block of centres (bytes of float64) that is collected and broadcast at
 # once.  A larger set of centres is processed block after block, never truncated.
@@ -48,3 +51,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small result as a DataFrame, handed over as Arrow columns rather than pickled rows."""
+    fields = StructType.fromDDL(schema).fields
+    columns = {f.name: pa.array([row[i] for row in rows]) for i, f in enumerate(fields)}
+    frame = spark.createDataFrame(pa.table(columns))
+    return frame.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellwise.functions.scalar import megabytes
+from cellwise.session import local_frame
 
 PROFILE_SCHEMA = (
     "n_samples bigint, n_features bigint, n_categories bigint, x_nnz bigint, y_nnz bigint, "
@@ -38,7 +39,7 @@ def dataset_profile(
         "n_samples bigint, n_features bigint, n_categories bigint, x_nnz bigint, y_nnz bigint, "
         "x_density_pct double, y_density_pct double"
     )
-    return spark.createDataFrame([row], schema).coalesce(1)
+    return local_frame(spark, [row], schema)
 
 
 def megabytes_at(spark: SparkSession, path: str) -> float:
@@ -98,6 +99,4 @@ def verify_profile(spark: SparkSession, out_dir: str) -> DataFrame:
     for check, expected, actual, ok in checks:
         if not ok:
             raise ValueError(f"{check} does not match the profile: recorded {expected}, found {actual}")
-    return spark.createDataFrame(
-        checks, "check string, expected bigint, actual bigint, ok boolean"
-    ).coalesce(1)
+    return local_frame(spark, checks, "check string, expected bigint, actual bigint, ok boolean")
