@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cellwise.functions.scalar import planned_rounds_column, squared_distance, squared_norm
 from cellwise.functions.uniform import keyed_uniform
 from cellwise.operators import means, nearest, validation
+from cellwise.operators.joins import join_checked
 from cellwise.operators.sampling import sample_by_probability, seed_point
 from cellwise.operators.weights import candidate_weights, nearest_frequencies
 from cellwise.plans.config import FitConfig, SeedConfig, centers_frame, log_frame
@@ -80,7 +81,7 @@ def q_seed_point(spark, sf):
 
 def q_squared_distance(spark, sf):
     own = fixed_centers(spark, sf).withColumnRenamed("cluster", "label")
-    return points(spark, sf, "label").join(own, "label").select(
+    return join_checked(points(spark, sf, "label"), own, "label", 8 * DIM).select(
         "point_id", "label", F.round(squared_distance("features", "center"), 6).alias("d2")
     )
 
@@ -144,7 +145,7 @@ def q_sample_by_probability(spark, sf):
 
 def q_planned_rounds(spark, sf):
     own = fixed_centers(spark, sf).withColumnRenamed("cluster", "label")
-    costs = points(spark, sf, "label").join(own, "label").groupBy("label").agg(
+    costs = join_checked(points(spark, sf, "label"), own, "label", 8 * DIM).groupBy("label").agg(
         F.sum(squared_distance("features", "center")).alias("psi")
     )
     alphas = F.explode(F.array(F.lit(0.5), F.lit(1.0), F.lit(2.0), F.lit(5.0)))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,7 +70,3 @@ def megabytes(n_bytes: Column | float) -> Column | float:
     if isinstance(n_bytes, Column):
         return F.round(n_bytes / F.lit(1048576.0), 1)
     return round(n_bytes / 1048576.0, 1)
-
-
-def is_finite_matrix(matrix: np.ndarray) -> bool:
-    return bool(np.isfinite(matrix).all())

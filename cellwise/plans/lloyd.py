@@ -17,7 +17,7 @@ from cellwise.operators.means import (
     keep_empty,
     merge_sums,
 )
-from cellwise.operators.nearest import as_matrix, center_blocks, nearest_center
+from cellwise.operators.nearest import as_matrix, nearest_center
 from cellwise.plans.config import FitConfig, KMeansModel, LogRow, centers_frame
 from cellwise.session import center_budget, cut_lineage
 
@@ -83,8 +83,3 @@ def fit_centers(
             converged = True
             break
     return KMeansModel(centers, log, converged)
-
-
-def iter_center_blocks(model: KMeansModel, max_bytes: int):
-    """Blocks of a model's centres, whichever way it holds them."""
-    return center_blocks(model.centers, max_bytes, "cluster")

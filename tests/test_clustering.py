@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellwise.functions.scalar import planned_rounds
 from cellwise.operators import means, nearest
 from cellwise.operators.checks import require_unique, validate_points
+from cellwise.operators.joins import join_checked
 from cellwise.plans.config import FitConfig, SeedConfig, centers_frame, distance_passes, log_frame
 from cellwise.plans.estimator import ParallelKMeans
 from cellwise.plans.lloyd import fit_centers
@@ -380,6 +381,16 @@ def test_validate_points(spark, points):
             validate_points(frame)
 
 
+def test_checked_join_is_the_same_with_and_without_broadcast(spark, points, small_blocks):
+    hot = points.withColumn("label", F.when(F.col("point_id") % 3 == 0, 0).otherwise(F.col("point_id") % 5))
+    side = spark.createDataFrame([(i, i * 10) for i in range(4)], "label int, value int")
+    within = join_checked(hot, side, "label", 8)
+    small_blocks(1)
+    beyond = join_checked(hot, side, "label", 8)
+    assert rows(within, "point_id", "value") == rows(beyond, "point_id", "value")
+    assert "Broadcast" in within._jdf.queryExecution().executedPlan().toString()
+
+
 def test_require_unique(spark, points):
     require_unique(points)
     with pytest.raises(ValueError, match="occurs 2 times"):
