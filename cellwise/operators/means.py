@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.functions import kernels
-from cellwise.session import center_budget
+from cellwise.session import center_budget, ship_package
 
 PARTIAL_SCHEMA = "cluster int, segment int, n bigint, cost double, sums array<double>"
 # Elements per partial-sum row; bounds the width of the rows that are shuffled.
@@ -20,6 +20,7 @@ SEGMENT = 64
 
 def partial_sums(assigned: DataFrame, features: str, cluster: str, d2: str | None = None) -> DataFrame:
     """Per task and cluster: count, cost and vector sum, cut into segments."""
+    ship_package(assigned.sparkSession)
     budget = center_budget(assigned.sparkSession)
 
     def sum_points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,6 +49,7 @@ def assigned_partial_sums(points: DataFrame, centers: np.ndarray, features: str)
     and summed at once, and only sums leave the Python worker.
     """
     spark = points.sparkSession
+    ship_package(spark)
     budget = center_budget(spark)
     shared = spark.sparkContext.broadcast(centers)
     segment = min(SEGMENT, centers.shape[1])

@@ -19,11 +19,10 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import ArrayType, DoubleType
 
 from cellwise.functions import kernels
 from cellwise.functions.scalar import sampling_probability, squared_distance, vector_literal
-from cellwise.session import center_budget, cut_lineage
+from cellwise.session import center_budget, cut_lineage, ship_package
 
 NEAREST_TYPE = "struct<d2:double,idx:int>"
 # Cached passes stacked between two lineage cuts.  Spark prints a cached adaptive plan
@@ -62,14 +61,19 @@ def _vector_length(df: DataFrame, column: str) -> int:
     return len(to_array(first[0]))
 
 
-@arrow_udf(ArrayType(DoubleType()))
-def as_dense(features: pa.Array) -> pa.Array:
+def as_dense(df: DataFrame, column: str) -> Column:
     """Any kind of vector as ``array<double>``; for centres, not for wide points."""
-    if not len(features):
-        return pa.array([], pa.list_(pa.float64()))
-    matrix = kernels.densify(kernels.decode_points(features))
-    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)))
+    ship_package(df.sparkSession)
+
+    @arrow_udf("array<double>")
+    def dense_of(features: pa.Array) -> pa.Array:
+        if not len(features):
+            return pa.array([], pa.list_(pa.float64()))
+        matrix = kernels.densify(kernels.decode_points(features))
+        offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)))
+
+    return dense_of(F.col(column))
 
 
 def center_blocks(
@@ -106,6 +110,7 @@ def center_blocks(
 
 
 def _broadcast(spark: SparkSession, block: CenterBlock) -> Broadcast:
+    ship_package(spark)
     return spark.sparkContext.broadcast((block.first, block.matrix))
 
 

@@ -20,7 +20,7 @@ def _as_ml_vector(candidates: DataFrame) -> Column:
     kind = candidates.schema["center"].dataType
     if isinstance(kind, VectorUDT):
         return F.col("center")
-    center = F.col("center") if isinstance(kind, ArrayType) else as_dense(F.col("center"))
+    center = F.col("center") if isinstance(kind, ArrayType) else as_dense(candidates, "center")
     return array_to_vector(center)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,27 @@ from pyspark.sql.types import StructType
 MAX_CENTER_BYTES = 128 * 1024 * 1024
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers import it to run the Arrow functions; shipping it means that neither
+    an installation on the executors nor a certain working folder is needed.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="cellwise-package-")) / "cellwise.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for source in sorted(package.rglob("*.py")):
+            target.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def center_budget(spark: SparkSession) -> int:
     """Broadcast budget in bytes; override with ``spark.cellwise.maxCenterBytes``."""
     return int(spark.conf.get("spark.cellwise.maxCenterBytes", str(MAX_CENTER_BYTES)))

@@ -68,7 +68,7 @@ def test_clustering_sparse_rows_equals_clustering_dense_rows(spark):
     rows = docs.select(F.col("doc_id").alias("row_id"))
     thin = sparse.sparse_rows(rows, sparse.with_column_ids(entries, dictionary), width)
     thin = thin.withColumnRenamed("row_id", "point_id").cache()
-    dense = thin.select("point_id", nearest.as_dense("features").alias("features")).cache()
+    dense = thin.select("point_id", nearest.as_dense(thin, "features").alias("features")).cache()
 
     config = SeedConfig(5, 2, seed=4)
     a, b = seed_candidates(thin, config), seed_candidates(dense, config)
