@@ -14,8 +14,10 @@ import numpy as np
 import pyarrow as pa
 
 _EPS = float(np.finfo(np.float64).eps)
-# Rows x centres held at once by a distance block (doubles).
-_BLOCK_CELLS = 1 << 21
+# Doubles per block of rows; blocks of this size stay in the processor's cache.
+_BLOCK_CELLS = 1 << 18
+# Up to this many clusters a product with their indicators sums faster than sorting.
+_INDICATOR_CLUSTERS = 32
 
 
 @dataclass
@@ -225,6 +227,20 @@ def distances(points: np.ndarray | SparseRows, centers: np.ndarray) -> np.ndarra
     return out
 
 
+def _sum_by_group(points: np.ndarray, group: np.ndarray, n_groups: int) -> np.ndarray:
+    """Vector sums of groups ``0..n_groups-1``, each with at least one row."""
+    if n_groups > _INDICATOR_CLUSTERS:
+        order = np.argsort(group, kind="stable")
+        starts = np.searchsorted(group[order], np.arange(n_groups))
+        return np.add.reduceat(points[order], starts, axis=0)
+    total = np.zeros((n_groups, points.shape[1]))
+    for lo, hi, block in _row_blocks(points, n_groups):
+        indicator = np.zeros((n_groups, hi - lo))
+        indicator[group[lo:hi], np.arange(hi - lo)] = 1.0
+        total += indicator @ block
+    return total
+
+
 def sums_batch(clusters, segments, n, cost, sums: np.ndarray) -> pa.RecordBatch:
     """Arrow rows ``(cluster, segment, n, cost, sums)``."""
     offsets = np.arange(len(sums) + 1, dtype=np.int32) * sums.shape[1]
@@ -306,9 +322,7 @@ class PartialSums:
             cells = np.repeat(row_slots, np.diff(points.indptr)) * dim + points.indices
             np.add.at(self.sums.reshape(-1), cells, points.values)
         else:
-            order = np.argsort(inverse, kind="stable")
-            starts = np.searchsorted(inverse[order], np.arange(len(present)))
-            self.sums[slots] += np.add.reduceat(points[order], starts, axis=0)
+            self.sums[slots] += _sum_by_group(points, inverse, len(present))
 
     def is_full(self) -> bool:
         return self.sums.nbytes >= self.max_bytes

@@ -25,9 +25,6 @@ from cellwise.functions.scalar import sampling_probability, squared_distance, ve
 from cellwise.session import center_budget, cut_lineage, ship_package
 
 NEAREST_TYPE = "struct<d2:double,idx:int>"
-# Cached passes stacked between two lineage cuts.  Spark prints a cached adaptive plan
-# twice within the plan that reads it, so planning time doubles with every level.
-PASSES_PER_CUT = 4
 
 
 @dataclass(frozen=True)
@@ -157,31 +154,19 @@ def update_nearest_blocks(
     points: DataFrame,
     blocks: Iterator[CenterBlock],
     features: str = "features",
-    held: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Run :func:`update_nearest` over many blocks.
 
-    One block gives a lazy result.  From the second block on, every pass is kept
-    on the executors and the plan is cut regularly, so that only one block is
-    held in memory at a time and the plan does not grow with their number.  A pass
-    the result still reads from is appended to ``held`` for later release.
+    One block gives a lazy result.  Before every further block the state is written
+    to the checkpoint folder, so that tasks hold one block at a time and the plan
+    does not grow with their number.
     """
-    kept: DataFrame | None = None
     for number, block in enumerate(blocks):
         if number > 0:
-            previous = kept
-            if number % PASSES_PER_CUT == 0:
-                state, kept = cut_lineage(state), None
-            else:
-                state = kept = state.persist(StorageLevel.MEMORY_AND_DISK)
-                state.agg(F.sum("d2")).collect()
-            if previous is not None:
-                previous.unpersist()
+            state = cut_lineage(state)
         state = with_nearest(points, block, features) if state is None else update_nearest(state, block, features)
     if state is None:
         raise ValueError("there are no centres")
-    if kept is not None and held is not None:
-        held.append(kept)
     return state
 
 

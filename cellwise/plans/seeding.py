@@ -20,7 +20,6 @@ from cellwise.functions import kernels
 from cellwise.functions.scalar import planned_rounds, sampling_probability
 from cellwise.operators.indexing import with_consecutive_index
 from cellwise.operators.nearest import (
-    PASSES_PER_CUT,
     CenterBlock,
     center_blocks,
     total_cost,
@@ -34,6 +33,11 @@ from cellwise.session import center_budget, cut_lineage
 
 
 
+# Cached rounds stacked before the plan is cut.  Spark prints a cached adaptive plan twice
+# within the plan that reads it, so planning time doubles with every level.
+_ROUNDS_PER_CUT = 4
+
+
 def sampled_rows_bound(oversampling: float) -> int:
     """Rows a round may sample, but for a probability below exp(-oversampling - 100).
 
@@ -134,7 +138,7 @@ def seed_candidates(
     if not first.size:
         raise ValueError("cannot seed clusters from an empty input")
     row_bytes = 8 * max(1, first.matrix.shape[1])
-    small = sampled_rows_bound(config.oversampling) * row_bytes <= budget
+    round_bound = sampled_rows_bound(config.oversampling)
     rounds: list[_SmallRound | _LargeRound] = [first]
     n_candidates = 1
     state = with_nearest(points, next(first.blocks()), features).persist(config.storage)
@@ -147,6 +151,8 @@ def seed_candidates(
             break
         started = time.perf_counter()
         sampled = sample_round(state, config, number, cost, key)
+        # collected candidates stay on the driver, so all of them count
+        small = (n_candidates + round_bound) * row_bytes <= budget
         if small:
             added = _SmallRound(sampled, n_candidates, number, key, features)
         else:
@@ -154,14 +160,15 @@ def seed_candidates(
         if added.size:
             rounds.append(added)
             n_candidates += added.size
-            held: list[DataFrame] = []
-            newer = update_nearest_blocks(state, points, added.blocks(), features, held)
-            if not small or (len(rounds) - 1) % PASSES_PER_CUT == 0:
-                newer = _with_short_plan(points, rounds, n_candidates * row_bytes <= budget, newer, features)
-            newer = newer.persist(config.storage)
+            newer = update_nearest_blocks(state, points, added.blocks(), features)
+            if not small:
+                newer = cut_lineage(newer)
+            elif (len(rounds) - 1) % _ROUNDS_PER_CUT == 0:
+                newer = _restated(points, rounds, features)
+            if small:
+                newer = newer.persist(config.storage)
             cost = total_cost(newer)
-            for used in (state, *held):
-                used.unpersist()
+            state.unpersist()
             state = newer
         # a round without samples counts as a round
         elapsed = time.perf_counter() - started
@@ -188,15 +195,10 @@ def _union(rounds: list) -> DataFrame:
     return whole
 
 
-def _with_short_plan(
-    points: DataFrame, rounds: list, fits_one_block: bool, state: DataFrame, features: str
-) -> DataFrame:
-    """Same state with a short plan, so that a lost executor costs one pass, not all rounds.
+def _restated(points: DataFrame, rounds: list[_SmallRound], features: str) -> DataFrame:
+    """The state computed from the input, so that a lost executor costs one pass, not all rounds.
 
-    Keeping the closer candidate round by round equals comparing with all of them
-    at once, so while they fit one block the state is restated from the input;
-    otherwise it is written to the checkpoint folder.
+    Keeping the closer candidate round by round equals comparing with all of them at
+    once.  Their size was checked when the last round was collected.
     """
-    if fits_one_block and all(isinstance(r, _SmallRound) for r in rounds):
-        return with_nearest(points, CenterBlock(0, np.vstack([r.matrix for r in rounds])), features)
-    return cut_lineage(state)
+    return with_nearest(points, CenterBlock(0, np.vstack([r.matrix for r in rounds])), features)

@@ -38,10 +38,18 @@ def spread_small(df: DataFrame, max_bytes: int = 256 * 1024 * 1024) -> DataFrame
     return df.repartition(cores) if size <= max_bytes else df
 
 
-def load_points(spark: SparkSession, path: str, key: str, vector: str, *keep: str) -> DataFrame:
-    """Read stored vectors as points ``(point_id, *keep, features array<double>)``."""
+def load_points(
+    spark: SparkSession, path: str, key: str, vector: str, *keep: str, as_double: bool = True
+) -> DataFrame:
+    """Read stored vectors as points ``(point_id, *keep, features)``.
+
+    Column expressions need ``array<double>``.  The Arrow operators compute in double
+    precision from ``array<float>`` as well: with ``as_double=False`` such vectors are
+    cached and sent to the workers at half the size.
+    """
+    features = F.col(vector).cast("array<double>") if as_double else F.col(vector)
     return load_table(spark, path).select(
-        F.col(key).alias("point_id"), *keep, F.col(vector).cast("array<double>").alias("features")
+        F.col(key).alias("point_id"), *keep, features.alias("features")
     )
 
 

@@ -18,6 +18,7 @@ from cellwise.plans.reduce import reduce_candidates
 from cellwise.plans.seeding import append_candidates, sampled_rows_bound, seed_candidates
 from cellwise.plans.sweep import SweepConfig, spread, sweep
 from cellwise.sources.synthetic import blobs
+from cellwise.sources.tabular import load_points
 
 RNG = np.random.default_rng(0)
 MATRIX = RNG.normal(size=(400, 6)) + RNG.integers(0, 4, (400, 1)) * 8
@@ -307,6 +308,18 @@ def test_one_point_and_empty_partitions(spark):
     assert clusterer.inertia(one) == 0.0
 
 
+def test_float_vectors_give_the_same_clusters(spark):
+    path = f"{DATA}/embeddings.parquet"
+    single = load_points(spark, path, "vec_id", "embedding", as_double=False)
+    double = load_points(spark, path, "vec_id", "embedding")
+    assert single.schema["features"].dataType.simpleString() == "array<float>"
+    one = ParallelKMeans(5, 10, 2).seed(single, seed=1).fit(single, max_iter=3)
+    two = ParallelKMeans(5, 10, 2).seed(double, seed=1).fit(double, max_iter=3)
+    assert rows(one.candidates, "idx", "point_id", "weight") == rows(two.candidates, "idx", "point_id", "weight")
+    np.testing.assert_allclose(one.final_centers, two.final_centers, rtol=1e-9, atol=1e-12)
+    one.release(), two.release()
+
+
 # --- estimator and sweep -------------------------------------------------------------
 
 

@@ -122,6 +122,16 @@ def test_bad_vectors_are_refused(rows, message):
         kernels.decode_points(pa.array(rows, pa.list_(pa.float64())))
 
 
+@pytest.mark.parametrize("groups", [1, 5, 32, 33, 80])
+def test_group_sums_by_product_and_by_sorting(groups):
+    rng = np.random.default_rng(5)
+    group = np.concatenate([np.arange(groups), rng.integers(0, groups, 500)])
+    points = rng.normal(size=(len(group), 7))
+    got = kernels._sum_by_group(points, group, groups)
+    want = np.array([points[group == g].sum(axis=0) for g in range(groups)])
+    np.testing.assert_allclose(got, want, atol=1e-12)
+
+
 @pytest.mark.parametrize("sparse", [False, True])
 @pytest.mark.parametrize("max_bytes", [1 << 20, 1])
 def test_partial_sums_merge_to_the_true_sums(sparse, max_bytes):
