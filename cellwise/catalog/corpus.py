@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from cellwise.catalog.dense import u_sql
 from cellwise.operators import nearest, summarize
 from cellwise.operators.indexing import with_consecutive_index
 from cellwise.operators.sampling import sample_exact
-from cellwise.session import cut_lineage
+from cellwise.session import cut_lineage, ensure_checkpoint_dir
 from cellwise.sources import profile, sparse
 from cellwise.sources.tabular import load_table, spread_small
 
@@ -43,8 +45,16 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
     return sparse.label_entries(load_table(spark, f"{sf}/labels.parquet"), "doc_id", LABEL_COLUMNS)
 
 
+def _new_folder(spark: SparkSession) -> str:
+    """A folder all executors share, for a stored copy of the matrices."""
+    return f"{ensure_checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
+
+
 def q_load_sparse(spark, sf):
-    return terms(spark, sf).groupBy("row_id").agg(
+    """Store the term matrix and read it back."""
+    path = f"{_new_folder(spark)}/x"
+    sparse.write_sparse(terms(spark, sf), path)
+    return sparse.load_sparse(spark, path).groupBy("row_id").agg(
         F.count(F.lit(1)).alias("nnz"), F.round(F.sum(F.col("value") * F.col("value")), 6).alias("sum_squares")
     )
 
@@ -58,10 +68,12 @@ def q_dataset_profile(spark, sf):
 
 
 def q_verify_profile(spark, sf):
-    """Recount everything from the texts and compare with the profile of the stored matrices."""
-    x, y, dims = terms(spark, sf), labels(spark, sf), _dimensions(spark, sf)
-    expected = profile.dataset_profile(x, y, *dims)
-    return profile.profile_checks(x, y, *dims, expected)
+    """Ingest both matrices, then compare what was stored with the stored profile."""
+    dims = _dimensions(spark, sf)
+    stored = sparse.ingest_sparse(terms(spark, sf), labels(spark, sf), _new_folder(spark), *dims)
+    paths = stored.select("x_path", "y_path").first()
+    x, y = (sparse.load_sparse(spark, path) for path in paths)
+    return profile.profile_checks(x, y, *dims, stored)
 
 
 def q_nnz_per_row(spark, sf):
