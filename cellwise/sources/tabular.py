@@ -31,6 +31,8 @@ def spread_small(df: DataFrame, max_bytes: int = 256 * 1024 * 1024) -> DataFrame
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() > 4 * cores:
+        return df  # plenty of tasks; do not even list the files
     files = df.inputFiles()
     if not 0 < len(files) < cores:
         return df

@@ -97,6 +97,18 @@ def test_text_formats_need_a_schema(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == [(1, "tcp"), (2, "udp")]
 
 
+def test_only_small_inputs_are_spread(spark, tmp_path):
+    path = str(tmp_path / "one")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    frame = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    assert tabular.spread_small(frame).rdd.getNumPartitions() == cores
+    assert tabular.spread_small(frame).count() == 1000
+    assert tabular.spread_small(frame, max_bytes=10) is frame
+    many = spark.range(1000).repartition(5 * cores)
+    assert tabular.spread_small(many) is many
+
+
 def test_blobs_are_the_same_for_any_partitioning(spark):
     def rows(frame):
         return sorted((r[0], tuple(r[1]), r[2]) for r in frame.collect())
