@@ -9,7 +9,7 @@ from cellwise.operators import prep
 from cellwise.operators.sampling import sample_fraction
 from cellwise.sources import tabular
 
-# Share of rows the official ordinal split gives to training.
+# Rows the official ordinal split gives to training, of all rows.
 TRAIN_ROWS, ALL_ROWS = 23_149, 804_414
 
 
