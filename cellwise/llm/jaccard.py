@@ -13,7 +13,8 @@ each such shingle.  The order puts shingles of many documents last.
 
 1. :func:`describe`   size, signature and point of each document; frequent shingles
 2. :func:`members`    first shingles of each distinct set, those of one set dropped
-3. first links        neighbours by size under one shingle, verified exactly
+3. first links        the smallest set and the next smaller one under a shingle, if the
+                      points allow it, verified exactly
 4. :func:`tree_pairs` leaves of the trees, boxes joined by bound, points of surviving
                       leaves compared; only between documents not yet connected
 5. verification on whole sets, connected components
@@ -226,46 +227,83 @@ def _packed(width: int, batches):
             yield pa.record_batch({"sig": sig[keep], "size": np.array([r.size for r in raw], np.int64), "packed": pa.array(packed, pa.binary())})
 
 
-def _unpacked(width: int, batches):
-    codec = pa.Codec("zstd")
-    for batch in batches:
-        sizes = batch.column(1).to_pylist()
-        for at in range(0, len(sizes), 256):
-            part = batch.slice(at, 256)
-            raw = [codec.decompress(p.as_buffer(), s, asbytes=True) for p, s in zip(part.column(2), sizes[at : at + 256], strict=True)]
-            for row, total, bounds in sets_of(pa.array(raw, pa.binary()), width):
-                n = len(bounds) - 1
-                values = [total[bounds[i] : bounds[i + 1]].tobytes() for i in range(n)]
-                yield pa.record_batch({"sig": part.column(0).slice(row, n), "elements": pa.array(values, pa.binary())})
+def packed_texts(docs: DataFrame, text_col: str, wanted: DataFrame, width: int = SHINGLE) -> DataFrame:
+    """``sig, size, packed``: one compressed text of each set in ``wanted`` (distinct ``sig``)."""
+    texts = docs.select(text_col).mapInArrow(partial(_packed, width), "sig bigint, size bigint, packed binary")
+    found = texts.join(wanted.hint("merge"), "sig")
+    return found.groupBy("sig").agg(F.any_value(F.struct("size", "packed")).alias("x")).select("sig", "x.size", "x.packed")
 
 
-def whole_sets(docs: DataFrame, text_col: str, wanted: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """``sig, elements`` of the sets in ``wanted`` (distinct ``sig``); texts travel compressed."""
-    texts = docs.select(text_col).mapInArrow(partial(_packed, width), "sig bigint, size bigint, packed binary")
-    found = texts.join(wanted.hint("merge"), "sig").select("sig", "size", "packed")
-    found = found.mapInArrow(partial(_unpacked, width), "sig bigint, elements binary")
-    return found.groupBy("sig").agg(F.any_value("elements").alias("elements"))
+def _points_of(sized: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``sig, n, point`` of each set that shares a first shingle."""
+    found = sized.select("sig", "n", "point").join(grouped.select("sig").distinct().hint("merge"), "sig")
+    return found.groupBy("sig").agg(F.any_value(F.struct("n", "point")).alias("x")).select("sig", "x.n", "x.point")
 
 
-def _linked(percent: int, batches):
+def apart(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The pairs whose sets are not in one component yet."""
+    if roots is None:
+        return pairs
+    for side in ("a", "b"):
+        named = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+        pairs = pairs.join(named.hint("merge"), side, "left")
+    return pairs.where("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b")
+
+
+def _pairs_in_bound(percent: int, batches):
     for batch in batches:
-        a, b = batch.column(2), batch.column(3)
-        good = np.zeros(batch.num_rows, bool)
+        n, m = (batch.column(c).to_numpy() for c in ("an", "bn"))
+        near = np.flatnonzero(100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+        batch, n, m = batch.take(pa.array(near)), n[near], m[near]
+        x, y = (_stacked(batch.column(c)) for c in ("ap", "bp"))
+        good = pa.array(_bound(x, y) >= needed_overlap(n, m, percent))
+        yield pa.record_batch({c: batch.column(c).filter(good) for c in ("a", "b")})
+
+
+def within_bound(pairs: DataFrame, point_of: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs that sizes and points allow to be linked."""
+    for side in ("a", "b"):
+        points_ = point_of.select(F.col("sig").alias(side), F.col("n").alias(f"{side}n"), F.col("point").alias(f"{side}p"))
+        pairs = pairs.join(points_.hint("merge"), side)
+    return pairs.select("a", "b", "an", "bn", "ap", "bp").mapInArrow(partial(_pairs_in_bound, percent), "a bigint, b bigint")
+
+
+def _linked(percent: int, width: int, batches):
+    codec = pa.Codec("zstd")
+    for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
+        rows = batch.to_pydict()
+        sizes = {}
         for i in range(batch.num_rows):
-            x, y = np.frombuffer(a[i].as_buffer(), np.uint64), np.frombuffer(b[i].as_buffer(), np.uint64)
+            sizes.setdefault(rows["a"][i], (rows["a_size"][i], rows["a_packed"][i]))
+            sizes.setdefault(rows["b"][i], (rows["b_size"][i], rows["b_packed"][i]))
+        names, sets = list(sizes), {}
+        for at in range(0, len(names), 128):
+            part = names[at : at + 128]
+            raw = [codec.decompress(sizes[s][1], sizes[s][0], asbytes=True) for s in part]
+            for row, total, bounds in sets_of(pa.array(raw, pa.binary()), width):
+                for i in range(len(bounds) - 1):
+                    sets[part[row + i]] = total[bounds[i] : bounds[i + 1]]
+        good = np.zeros(batch.num_rows, bool)
+        for i, (a, b) in enumerate(zip(rows["a"], rows["b"], strict=True)):
+            x, y = sets[a], sets[b]
             if len(x) > len(y):
                 x, y = y, x
             both = int(np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x))
             good[i] = 100 * both >= percent * (len(x) + len(y) - both)
-        yield pa.record_batch({"a": batch.column(0).filter(pa.array(good)), "b": batch.column(1).filter(pa.array(good))})
+        yield pa.record_batch({c: batch.column(c).filter(pa.array(good)) for c in ("a", "b")})
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """The pairs ``a, b`` whose whole sets reach the similarity."""
-    first = sets.select(F.col("sig").alias("a"), F.col("elements").alias("a_set"))
-    second = sets.select(F.col("sig").alias("b"), F.col("elements").alias("b_set"))
-    both = pairs.join(first.hint("merge"), "a").join(second.hint("merge"), "b").select("a", "b", "a_set", "b_set")
-    return both.mapInArrow(partial(_linked, percent), "a bigint, b bigint")
+    for side in ("a", "b"):
+        own = texts.select(F.col("sig").alias(side), F.col("size").alias(f"{side}_size"), F.col("packed").alias(f"{side}_packed"))
+        pairs = pairs.join(own.hint("merge"), side)
+    kept = pairs.select("a", "b", "a_size", "b_size", "a_packed", "b_packed")
+    return kept.mapInArrow(partial(_linked, percent, width), "a bigint, b bigint")
+
+
+def _stacked(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
 
 
 def _boxes(key, rows):
@@ -285,7 +323,7 @@ def _bound(a, b):
 
 def _box_pairs(percent: int, batches):
     for batch in batches:
-        corner = [np.stack([np.frombuffer(v.as_buffer(), np.uint8) for v in batch.column(c)]) if batch.num_rows else np.zeros((0, GROUPS), np.uint8) for c in ("corner", "corner2")]
+        corner = [_stacked(batch.column(c)) for c in ("corner", "corner2")]
         n, m = (batch.column(c).to_numpy() for c in ("least", "least2"))
         good = pa.array(_bound(*corner) >= needed_overlap(n, m, percent))
         yield pa.record_batch({k: batch.column(k).filter(good) for k in ("token", "leaf", "leaf2")})
@@ -311,7 +349,7 @@ def _leaf_pairs(percent: int, batches):
         if part is None or part.num_rows < 2:
             continue
         cell, sig, root, n, side, home = (part.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "sig", "root", "n", "leaf", "home"))
-        point = np.stack([np.frombuffer(v.as_buffer(), np.uint8) for v in part.column("point")])
+        point = _stacked(part.column("point"))
         step, last = 1, np.flatnonzero(np.concatenate([cell[1:] != cell[:-1], [True]]))
         size = int(np.diff(np.concatenate([[-1], last])).max())
         while step < size:
@@ -344,7 +382,7 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
     rows = grouped.select("token", "sig", "n").join(roots.hint("merge"), F.col("sig") == F.col("node"), "left")
     rows = rows.select("token", "sig", "n", F.coalesce("root", "sig").alias("root"))
     mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-    rows = rows.join(mixed.hint("merge"), "token").join(point_of.hint("merge"), "sig")
+    rows = rows.join(mixed.hint("merge"), "token").join(point_of.select("sig", "point").hint("merge"), "sig")
     rank = F.row_number().over(Window.partitionBy("token").orderBy("root", "n", "sig"))
     rows = cut_lineage(rows.withColumn("leaf", ((rank - 1) / LEAF).cast("int")))
     split = rows.where("leaf > 0").select("token").distinct()
@@ -375,21 +413,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     component; a null id never is a component id unless it stands alone.  Other
     columns are not read.  An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    ship_package(spark)
+    ship_package(docs.sparkSession)
     described = cut_lineage(describe(docs, id_col, text_col, width))
     frequent = frequent_shingles(described)
     sized = described.where("n is not null")
     grouped = cut_lineage(members(docs, text_col, frequent, width, percent))
-    sets = cut_lineage(whole_sets(docs, text_col, grouped.select("sig").distinct(), width))
-    ends = grouped.select(F.col("sig").alias("x"), F.explode(F.array("before", "first")).alias("y")).where("y is not null and x <> y")
-    tried = cut_lineage(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    links = cut_lineage(verified(tried, sets, percent))
-    roots = components(links)
-    point_of = sized.where("n > 0").groupBy("sig").agg(F.any_value("point").alias("point"))
-    more = tree_pairs(grouped, point_of, roots, percent).join(tried, ["a", "b"], "left_anti")
-    more = cut_lineage(verified(more, sets, percent))
-    roots = components(roots.toDF("a", "b").union(more))
+    point_of = cut_lineage(_points_of(sized, grouped))
+    texts = cut_lineage(packed_texts(docs, text_col, grouped.select("sig").distinct(), width))
+    tried = roots = None
+    for search in ("first", "before", "tree"):
+        if search == "tree":
+            pairs = tree_pairs(grouped, point_of, roots, percent)
+        else:
+            pairs = grouped.select(F.least("sig", search).alias("a"), F.greatest("sig", search).alias("b")).where("a <> b").distinct()
+            pairs = within_bound(apart(pairs, roots), point_of, percent)
+        pairs = cut_lineage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        found = verified(pairs, texts, percent, width)
+        tried = pairs if tried is None else tried.union(pairs)
+        roots = components(found if roots is None else roots.toDF("a", "b").union(found))
     classes = sized.join(roots, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("class"))
     least = classes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("component_id"))
     named = classes.where("n > 0").join(least, "class").select("doc_id", "n", "component_id")

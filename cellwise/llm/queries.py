@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwise.llm import jaccard, toxicity
+from cellwise.llm import contamination, jaccard, mixture, secrets, toxicity
+from cellwise.llm.oracle import ORACLE as ORACLE
+from cellwise.session import ensure_checkpoint_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources with the same share of the text, in an order without sources."""
+    return mixture.mix(_table(spark, sf_dir, "documents"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside windows of 13 benchmark words."""
+    found = contamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contamination.is_contaminated().alias("contaminated"),
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingles are similar to 0.8 or more."""
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
@@ -31,8 +49,27 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents, from a ledger that starts empty."""
+    docs = _table(spark, sf_dir, "documents")
+    ledger = f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    secrets.update_ledger(docs, ledger)
+    found = secrets.findings(docs, ledger)
+
+    def of(kind):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE]))
+    return found.select(
+        "doc_id", *[F.size(of(r.kind)).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixture": op3_mixture,
+    "op5_decontaminate": op5_decontaminate,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
+    "op9_secrets": op9_secrets,
 }
-ORACLE: dict[str, str] = {}

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwise.llm import jaccard, toxicity
-
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+from cellwise.llm import contamination, jaccard, mixture, secrets, toxicity
+from cellwise.session import ensure_checkpoint_dir
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,3 +33,24 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     once = kept.join(again.hint("merge"), kept["doc_id"].eqNullSafe(again["doc_id"]), "left_semi")
     rest = kept.join(again.hint("merge"), kept["doc_id"].eqNullSafe(again["doc_id"]), "left_anti")
     return rest.unionByName(once.dropDuplicates(["doc_id"]))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words lie in benchmark windows."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = contamination.find_contamination(docs, benchmark, keep=tuple(docs.columns))
+    return found.where(~contamination.is_contaminated()).select(*docs.columns)
+
+
+def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in whose text no rule finds a secret."""
+    ledger = f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    secrets.update_ledger(docs, ledger)
+    leaking = secrets.leaking_blobs(spark, ledger)
+    marked = docs.withColumn("_blob", secrets.address("text"))
+    return marked.join(leaking.hint("merge"), marked["_blob"] == leaking["blob"], "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated so that all sources have the same share of the text, shuffled."""
+    return mixture.mix(docs)

@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.llm import textgrid
-from cellwise.session import ship_package
+from cellwise.session import cut_lineage, ship_package
 
 SAMPLE_ROWS = 10_000  # labelled documents that the weights are fitted to; the only bound
+TRAIN_TASKS = 8  # the sample is bounded, and so is the number of tasks that count its features
 DIMENSIONS = 1 << 18
 STEMS = (4, 5, 6)  # bytes of a word's beginning that make features of their own
 
@@ -56,48 +57,50 @@ def features(data: np.ndarray, offsets: np.ndarray):
     return first, last, owner, np.concatenate(owners), feature
 
 
-def _bags(batches):
+def _counts(batches):
+    """Documents with each feature, and how many of them have label 1; one row a feature and task."""
+    docs, marked = np.zeros(DIMENSIONS, np.int64), np.zeros(DIMENSIONS, np.int64)
     for batch in batches:
-        ids = batch.column(0)
+        label = batch.column(2).to_numpy()
         for row, data, offsets in textgrid.blocks(batch.column(1)):
-            first, _, owner, sentence, feature = features(data, offsets)
-            pair = np.unique(sentence * DIMENSIONS + feature)
-            at = np.searchsorted(owner[pair // DIMENSIONS], np.arange(len(offsets)))
-            base = np.searchsorted(owner, np.arange(len(offsets) - 1))
-            bags = []
-            for i in range(len(offsets) - 1):
-                own = pair[at[i] : at[i + 1]]
-                own = np.stack([own // DIMENSIONS - base[i], own % DIMENSIONS], axis=1).astype(np.int32)
-                bags.append(own.tobytes())
-            n = len(bags)
-            yield pa.record_batch({"doc_id": ids.slice(row, n), "toxic": batch.column(2).slice(row, n), "bag": pa.array(bags, pa.binary())})
+            _, _, owner, sentence, feature = features(data, offsets)
+            pair = np.unique(owner[sentence] * DIMENSIONS + feature)
+            docs += np.bincount(pair % DIMENSIONS, minlength=DIMENSIONS)
+            marked += np.bincount(pair % DIMENSIONS, label[row + pair // DIMENSIONS], minlength=DIMENSIONS).astype(np.int64)
+    seen = np.flatnonzero(docs)
+    yield pa.record_batch({"feature": seen, "docs": docs[seen], "marked": marked[seen]})
+
+
+def _bags(useful, batches):
+    """The useful features of each document as (sentence, index) pairs, and its number of sentences."""
+    known = useful.value
+    for batch in batches:
+        for row, data, offsets in textgrid.blocks(batch.column(1)):
+            n = len(offsets) - 1
+            _, _, owner, sentence, feature = features(data, offsets)
+            index = np.minimum(np.searchsorted(known, feature), len(known) - 1)
+            hit = known[index] == feature
+            pair = np.unique(sentence[hit] * len(known) + index[hit])
+            own = owner[pair // len(known)]
+            base = np.searchsorted(owner, np.arange(n + 1))
+            at = np.searchsorted(own, np.arange(n + 1))
+            pair = np.stack([pair // len(known) - base[own], pair % len(known)], axis=1).astype(np.int32)
+            bags = pa.array([pair[at[i] : at[i + 1]].tobytes() for i in range(n)], pa.binary())
+            yield pa.record_batch({"doc_id": batch.column(0).slice(row, n), "toxic": batch.column(2).slice(row, n), "sentences": np.diff(base), "bag": bags})
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 0.5, evidence: float = 1.5) -> Model:
-    """Weights by adaptive gradient steps with an L1 penalty of ``evidence`` documents.
+def fit(sentences: np.ndarray, bags: list[np.ndarray], labels: np.ndarray, size: int, rounds: int = 150, rate: float = 0.5, evidence: float = 1.5):
+    """Weights by adaptive gradient steps with an L1 penalty of ``evidence`` documents; bias; leak.
 
     A leak, one probability for all documents, takes up labels that no sentence
-    explains, so that a long text is not suspect for its many sentences.  Features
-    less than twice as common in documents of label 1 are left out at once.
-    Without both labels, the model scores 0.
+    explains, so that a long text is not suspect for its many sentences.
     """
-    weights = np.zeros(DIMENSIONS, np.float64)
-    if not len(bags) or labels.min() == labels.max():
-        return Model(weights.astype(np.float32), -30.0, -30.0)
     y, n = labels.astype(np.float64), len(bags)
-    count = np.array([b[:, 0].max() + 1 if len(b) else 0 for b in bags])
-    start = np.concatenate([[0], np.cumsum(count)])
+    start = np.concatenate([[0], np.cumsum(sentences)])
     sentence = np.concatenate([b[:, 0] + start[i] for i, b in enumerate(bags)])
     feature = np.concatenate([b[:, 1] for b in bags])
-    doc = np.repeat(np.arange(n), [len(b) for b in bags])
-    pair = np.unique(doc.astype(np.int64) * DIMENSIONS + feature)
-    spread = np.bincount(pair % DIMENSIONS, minlength=DIMENSIONS)
-    marked = np.bincount(pair % DIMENSIONS, y[pair // DIMENSIONS], minlength=DIMENSIONS)
-    useful = (marked >= 2) & (marked >= 2 * y.mean() * spread)
-    known = useful[feature]
-    sentence, feature = sentence[known], np.cumsum(useful)[feature[known]] - 1
-    w, seen = np.zeros(useful.sum()), np.full(useful.sum(), 1e-8)
-    of = np.repeat(np.arange(n), count)
+    w, seen = np.zeros(size), np.full(size, 1e-8)
+    of = np.repeat(np.arange(n), sentences)
     free, free_seen = np.array([-8.0, np.log(y.mean() / 10)]), np.full(2, 1e-8)  # bias, leak
     for _ in range(rounds):
         z = np.clip(free[0] + np.bincount(sentence, w[feature], minlength=start[-1]), -30, 30)
@@ -105,7 +108,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: flo
         none = (1 - leak) * np.exp(np.bincount(of, np.log1p(-p), minlength=n))
         pull = np.where(y > 0, -none / np.maximum(1 - none, 1e-9), 1.0) / n
         step = pull[of] * p
-        slope = np.bincount(feature, step[sentence], minlength=len(w))
+        slope = np.bincount(feature, step[sentence], minlength=size)
         seen += slope**2
         pace = rate / np.sqrt(seen)
         w -= pace * slope
@@ -113,23 +116,40 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: flo
         slope = np.array([step.sum(), (pull * leak).sum()])
         free_seen += slope**2
         free -= 0.3 * rate * slope / np.sqrt(free_seen)
-    weights[useful] = w
-    return Model(weights.astype(np.float32), float(free[0]), float(free[1]))
+    return w, float(free[0]), float(free[1])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit to the ``sample_rows`` labelled ids that come first by hash; a repeated id counts once, its larger label."""
-    ship_package(docs.sparkSession)
+    """Fit to the ``sample_rows`` labelled ids that come first by hash; a repeated id counts once, its larger label.
+
+    Features that are not twice as common in documents of label 1 are left out at
+    once.  Without both labels, or without such a feature, the model scores 0.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).cast("int").alias("toxic"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("toxic").alias("toxic"))
+    texts = cut_lineage(texts.coalesce(TRAIN_TASKS))
+    size = texts.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
+    weights = np.zeros(DIMENSIONS, np.float32)
+    none = Model(weights, -30.0, -30.0)
+    if not size["n"] or not 0 < size["t"] < size["n"]:
+        return none
+    counts = texts.mapInArrow(_counts, "feature bigint, docs bigint, marked bigint").groupBy("feature").agg(F.sum("docs").alias("docs"), F.sum("marked").alias("marked"))
+    useful = counts.where((F.col("marked") >= 2) & (F.col("marked") >= F.col("docs") * (2 * size["t"] / size["n"])))
+    useful = np.sort(useful.select("feature").toArrow().column(0).to_numpy())
+    if not len(useful):
+        return none
+    shared = spark.sparkContext.broadcast(useful)
     kind = docs.schema[id_col].dataType.simpleString()
-    bags = texts.select("doc_id", "text", "toxic").mapInArrow(_bags, f"doc_id {kind}, toxic int, bag binary")
-    rows = bags.groupBy("doc_id").agg(F.max(F.struct("toxic", "bag")).alias("x")).select("doc_id", "x.toxic", "x.bag").toArrow().sort_by("doc_id")
-    rows = rows.combine_chunks()
-    pairs = [np.frombuffer(b.as_buffer(), np.int32).reshape(-1, 2) for b in rows.column("bag")]
-    return fit(pairs, rows.column("toxic").to_numpy())
+    bags = texts.mapInArrow(partial(_bags, shared), f"doc_id {kind}, toxic int, sentences bigint, bag binary").toArrow().sort_by("doc_id").combine_chunks()
+    pairs = [np.frombuffer(b.as_buffer(), np.int32).reshape(-1, 2) for b in bags.column("bag")]
+    w, bias, leak = fit(bags.column("sentences").to_numpy(), pairs, bags.column("toxic").to_numpy(), len(useful))
+    weights[useful] = w
+    return Model(weights, bias, leak)
 
 
 def _scores(shared, extra, batches):

@@ -13,6 +13,9 @@ from cellwise.session import cut_lineage
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", stages.reject_toxic),
     ("near_duplicates", stages.drop_near_duplicates),
+    ("decontamination", stages.drop_contaminated),
+    ("secrets", stages.drop_secrets),
+    ("mixture", stages.mix_sources),
 ]
 
 # The stages fit a model and search components of a similarity graph: not expressible in SQL.
