@@ -41,6 +41,7 @@ from cellwise.session import cut_lineage, ship_package
 SHINGLE = 5
 PERCENT = 80
 GROUPS = 256
+FOLDED = 64  # coordinates of the points in the trees, sums of four groups each
 LEAF = 256  # points of one leaf
 FREQUENT = 64  # a shingle counted in so many documents goes to the end of the order ...
 MAX_FREQUENT = 100_000  # ... the most frequent ones of them; the order changes cost, never results
@@ -99,21 +100,23 @@ def _describe(width: int, batches):
         for row, total, bounds in sets_of(batch.column(1), width):
             n = len(bounds) - 1
             vectors = points(total, bounds)
+            folded = np.minimum(vectors.reshape(n, GROUPS // FOLDED, FOLDED).sum(axis=1), 255).astype(np.uint8)
             yield pa.record_batch({
                 "doc_id": ids.slice(row, n), "sig": textgrid.as_long(signatures(total, bounds)),
                 "n": np.diff(bounds), "point": pa.array([v.tobytes() for v in vectors], pa.binary()),
+                "folded": pa.array([v.tobytes() for v in folded], pa.binary()),
                 "token": pa.nulls(n, pa.int64()), "docs": pa.nulls(n, pa.int64()),
             })
             token, docs = np.unique(total, return_counts=True)
             token, docs = token[docs > 1], docs[docs > 1]
-            none = {k: pa.nulls(len(token), t) for k, t in (("doc_id", ids.type), ("sig", pa.int64()), ("n", pa.int64()), ("point", pa.binary()))}
+            none = {k: pa.nulls(len(token), t) for k, t in (("doc_id", ids.type), ("sig", pa.int64()), ("n", pa.int64()), ("point", pa.binary()), ("folded", pa.binary()))}
             yield pa.record_batch({**none, "token": textgrid.as_long(token), "docs": docs})
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE) -> DataFrame:
-    """Per document ``doc_id, sig, n, point``; with null ``n``, counts ``token, docs`` of repeated shingles."""
+    """Per document ``doc_id, sig, n, point, folded``; with null ``n``, counts ``token, docs`` of repeated shingles."""
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, sig bigint, n bigint, point binary, token bigint, docs bigint"
+    schema = f"doc_id {kind}, sig bigint, n bigint, point binary, folded binary, token bigint, docs bigint"
     return docs.select(id_col, text_col).mapInArrow(partial(_describe, width), schema)
 
 
@@ -157,61 +160,65 @@ def _first_shingles(width: int, percent: int, frequent, batches):
                 })
 
 
+GROUPED = "token bigint, sig bigint, n int, before bigint, before_n int, first bigint, first_n int"
+
+
 def _grouped(batches):
-    """Rows sorted by token, n, sig: those whose token has another set, with the neighbour before and the first."""
-    rest = None  # the last row, not yet decided: token, sig, n, before, first
-    open_token, first = None, 0
-    for batch in batches:
-        token, sig, n = (batch.column(i).to_numpy() for i in range(3))
+    """Rows sorted by token, n, sig: those whose token has another set, with the set before and the first one.
+
+    The last row is held back until the next one shows whether its token goes on; the
+    first set of an open token is carried along.  Nothing else is kept.
+    """
+    held = None  # token, sig, n, before, before_n, first, first_n of the last row; before is 0 for a first row
+    for batch in _with_end(batches):
+        if batch is None:
+            token = np.zeros(0, np.int64)
+        else:
+            token, sig, n = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
+        if held is not None and len(token):
+            token, sig, n = (np.concatenate([[h], x]) for h, x in zip(held[:3], (token, sig, n), strict=True))
+        elif held is not None:
+            if batch is None and held[7]:
+                yield _grouped_rows([np.array([h]) for h in held[:7]], np.array([True]))
+            continue
         if not len(token):
             continue
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (sig[1:] != sig[:-1])
-        if rest is not None:
-            new[0] = token[0] != rest[0] or sig[0] != rest[1]
         token, sig, n = token[new], sig[new], n[new]
-        if not len(token):
-            continue
-        if rest is not None:
-            token, sig, n = (np.concatenate([[r], x]) for r, x in zip(rest, (token, sig, n), strict=True))
-        same = np.zeros(len(token), bool)
-        same[1:] = token[1:] == token[:-1]
-        start = ~same
-        if rest is not None and token[0] == open_token:
-            start[0] = False
-        lead = np.maximum.accumulate(np.where(start, np.arange(len(token)), -1))
-        firsts = np.where(lead >= 0, sig[lead], first)
-        joined = same.copy()
-        joined[:-1] |= same[1:]
-        if rest is not None and not start[0]:
-            joined[0] = True
-        has_before = same
-        before = np.where(same, np.concatenate([sig[:1], sig[:-1]]), 0)
-        if rest is not None and not start[0]:
-            has_before = same.copy()
-            has_before[0], before[0] = True, rest_before
-        out = np.flatnonzero(joined[:-1])
-        yield pa.record_batch({
-            "token": token[out], "sig": sig[out], "n": n[out].astype(np.int32),
-            "before": pa.array(before[out], mask=~has_before[out]), "first": pa.array(firsts[out], mask=start[out]),
-        })
-        rest = (token[-1], sig[-1], n[-1])
-        rest_before = before[-1]
-        rest_has = bool(has_before[-1])
-        open_token, first = (token[-1] if rest_has else None), firsts[-1]
-    if rest is not None and rest_has:
-        yield pa.record_batch({
-            "token": np.array([rest[0]]), "sig": np.array([rest[1]]), "n": np.array([rest[2]], np.int32),
-            "before": np.array([rest_before]), "first": np.array([first]),
-        })
+        later = np.zeros(len(token), bool)  # not the first row of its token
+        later[1:] = token[1:] == token[:-1]
+        lead = np.maximum.accumulate(np.where(later, 0, np.arange(len(token))))
+        columns = [token, sig, n, np.roll(sig, 1), np.roll(n, 1), sig[lead], n[lead]]
+        if held is not None and held[7]:
+            later[0] = True
+            own = token == token[0]
+            for i in (3, 4):
+                columns[i][0] = held[i]
+            for i in (5, 6):
+                columns[i] = np.where(own, held[i], columns[i])
+        joined = later.copy()
+        joined[:-1] |= later[1:]
+        yield _grouped_rows([c[:-1][joined[:-1]] for c in columns], later[:-1][joined[:-1]])
+        held = (*[int(c[-1]) for c in columns], bool(later[-1]))
+
+
+def _grouped_rows(columns, later):
+    token, sig, n, before, before_n, first, first_n = columns
+    none = ~later
+    return pa.record_batch({
+        "token": token, "sig": sig, "n": n.astype(np.int32),
+        "before": pa.array(before, mask=none), "before_n": pa.array(before_n.astype(np.int32), mask=none),
+        "first": pa.array(first, mask=none), "first_n": pa.array(first_n.astype(np.int32), mask=none),
+    })
 
 
 def members(docs: DataFrame, text_col: str, frequent: np.ndarray, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``token, sig, n, before, first``: distinct sets under a first shingle that another set shares."""
+    """Distinct sets under a first shingle that another set shares, with two others of it (``GROUPED``)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     rows = docs.select(text_col).mapInArrow(partial(_first_shingles, width, percent, shared), "token bigint, sig bigint, n int")
     rows = rows.repartition("token").sortWithinPartitions("token", "n", "sig")
-    return rows.mapInArrow(_grouped, "token bigint, sig bigint, n int, before bigint, first bigint")
+    return rows.mapInArrow(_grouped, GROUPED)
 
 
 def _packed(width: int, batches):
@@ -235,19 +242,16 @@ def packed_texts(docs: DataFrame, text_col: str, wanted: DataFrame, width: int =
 
 
 def _points_of(sized: DataFrame, grouped: DataFrame) -> DataFrame:
-    """``sig, n, point`` of each set that shares a first shingle."""
-    found = sized.select("sig", "n", "point").join(grouped.select("sig").distinct().hint("merge"), "sig")
-    return found.groupBy("sig").agg(F.any_value(F.struct("n", "point")).alias("x")).select("sig", "x.n", "x.point")
+    """``sig, n, point, folded`` of each set that shares a first shingle."""
+    found = sized.select("sig", "n", "point", "folded").join(grouped.select("sig").distinct().hint("merge"), "sig")
+    return found.groupBy("sig").agg(F.any_value(F.struct("n", "point", "folded")).alias("x")).select("sig", "x.*")
 
 
-def apart(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """The pairs whose sets are not in one component yet."""
-    if roots is None:
-        return pairs
-    for side in ("a", "b"):
-        named = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-        pairs = pairs.join(named.hint("merge"), side, "left")
-    return pairs.where("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b")
+def neighbours(grouped: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Distinct pairs ``a, b``: each set with the smallest and the next smaller one of a shingle, if sizes allow."""
+    near = F.array(F.struct(F.col("before").alias("y"), F.col("before_n").alias("m")), F.struct(F.col("first").alias("y"), F.col("first_n").alias("m")))
+    pairs = grouped.select("sig", "n", F.explode(near).alias("x")).where(f"x.y is not null and x.y <> sig and 100 * x.m >= {percent} * n")
+    return pairs.select(F.least("sig", "x.y").alias("a"), F.greatest("sig", "x.y").alias("b")).distinct()
 
 
 def _pairs_in_bound(percent: int, batches):
@@ -303,7 +307,8 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width:
 
 
 def _stacked(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1 if rows else GROUPS)
 
 
 def _boxes(key, rows):
@@ -377,12 +382,14 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
 
     The points of a shingle are cut into leaves of ``LEAF``, ordered by component and
     size; leaves get boxes (upper corner, size range), and pairs of leaves that pass
-    the bound become cells.  A shingle whose sets are all connected is left out.
+    the bound become cells.  A shingle whose sets are all connected is left out, and one
+    of up to three sets, all pairs of which the first links have tried.
     """
     rows = grouped.select("token", "sig", "n").join(roots.hint("merge"), F.col("sig") == F.col("node"), "left")
     rows = rows.select("token", "sig", "n", F.coalesce("root", "sig").alias("root"))
-    mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-    rows = rows.join(mixed.hint("merge"), "token").join(point_of.select("sig", "point").hint("merge"), "sig")
+    mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
+    mixed = mixed.where("lo <> hi and c > 3").select("token")
+    rows = rows.join(mixed.hint("merge"), "token").join(point_of.select("sig", F.col("folded").alias("point")).hint("merge"), "sig")
     rank = F.row_number().over(Window.partitionBy("token").orderBy("root", "n", "sig"))
     rows = cut_lineage(rows.withColumn("leaf", ((rank - 1) / LEAF).cast("int")))
     split = rows.where("leaf > 0").select("token").distinct()
@@ -420,17 +427,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     grouped = cut_lineage(members(docs, text_col, frequent, width, percent))
     point_of = cut_lineage(_points_of(sized, grouped))
     texts = cut_lineage(packed_texts(docs, text_col, grouped.select("sig").distinct(), width))
-    tried = roots = None
-    for search in ("first", "before", "tree"):
-        if search == "tree":
-            pairs = tree_pairs(grouped, point_of, roots, percent)
-        else:
-            pairs = grouped.select(F.least("sig", search).alias("a"), F.greatest("sig", search).alias("b")).where("a <> b").distinct()
-            pairs = within_bound(apart(pairs, roots), point_of, percent)
-        pairs = cut_lineage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        found = verified(pairs, texts, percent, width)
-        tried = pairs if tried is None else tried.union(pairs)
-        roots = components(found if roots is None else roots.toDF("a", "b").union(found))
+    tried = cut_lineage(within_bound(neighbours(grouped, percent), point_of, percent))
+    roots = components(verified(tried, texts, percent, width))
+    met = within_bound(tree_pairs(grouped, point_of, roots, percent), point_of, percent)
+    more = verified(met.join(tried, ["a", "b"], "left_anti"), texts, percent, width)
+    roots = components(roots.toDF("a", "b").union(more))
     classes = sized.join(roots, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("class"))
     least = classes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("component_id"))
     named = classes.where("n > 0").join(least, "class").select("doc_id", "n", "component_id")
