@@ -48,6 +48,31 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
+
+OP6 = rf"""
+WITH p AS (
+  SELECT page_id, url, url LIKE '%://%' AS whole,
+    translate(regexp_extract(coalesce(url, ''), '{_PARTS}', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '{_PARTS}', 2) AS path, regexp_extract(coalesce(url, ''), '{_PARTS}', 3) AS query FROM pages),
+q AS (
+  SELECT *, list_sort(list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref)='))) AS args FROM p),
+k AS (
+  SELECT *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '')
+    || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END AS key FROM q),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule FROM k)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN whole AND key IN (SELECT key FROM k WHERE whole AND regexp_matches(url, '(?i)://([^/?#]*[.])?spam')) THEN 'block'
+  ELSE 'allow' END AS verdict
+FROM r
+"""
+
 OP7 = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -90,7 +115,7 @@ FROM documents d LEFT JOIN found USING (doc_id) GROUP BY d.doc_id"""
 def _all() -> dict[str, str]:
     from cellwise.llm import secrets
 
-    return {"op3_mixture": OP3, "op5_decontaminate": OP5, "op7_jaccard_join": OP7, "op9_secrets": op9(secrets.RULES, secrets.BASE)}
+    return {"op3_mixture": OP3, "op5_decontaminate": OP5, "op6_url_filter": OP6, "op7_jaccard_join": OP7, "op9_secrets": op9(secrets.RULES, secrets.BASE)}
 
 
 ORACLE: dict[str, str] = _all()

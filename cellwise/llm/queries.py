@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwise.llm import contamination, jaccard, mixture, secrets, toxicity
+from cellwise.llm import contamination, jaccard, mixture, quality, secrets, toxicity, urlfilter, warc
 from cellwise.llm.oracle import ORACLE as ORACLE
 from cellwise.session import ensure_checkpoint_dir
 
@@ -17,11 +17,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written to the shared folder and read back."""
+    pages = _table(spark, sf_dir, "pages")
+    path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archive(pages, path)
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archive(spark, path).select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources with the same share of the text, in an order without sources."""
     return mixture.mix(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of all documents, and the verdict of a decision list learnt from ``labels.quality``."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    rules = quality.learn_rules(docs, labels, "doc_id", "text", "quality")
+    return quality.judge(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside windows of 13 benchmark words."""
     found = contamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -32,6 +53,13 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page URLs against the rules and the list of the URLs seen on spam hosts."""
+    pages = _table(spark, sf_dir, "pages")
+    listed = pages.where(F.col("url").rlike("(?i)://([^/?#]*[.])?spam"))
+    return urlfilter.filter_urls(pages, listed).drop("listed")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingles are similar to 0.8 or more."""
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
@@ -67,8 +95,11 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
     "op3_mixture": op3_mixture,
+    "op4_quality_rules": op4_quality_rules,
     "op5_decontaminate": op5_decontaminate,
+    "op6_url_filter": op6_url_filter,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_secrets": op9_secrets,
