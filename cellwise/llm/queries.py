@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwise.llm import contamination, jaccard, mixture, quality, secrets, toxicity, urlfilter, warc
+from cellwise.llm import contamination, jaccard, mixture, quality, repeats, secrets, toxicity, urlfilter, warc
 from cellwise.llm.oracle import ORACLE as ORACLE
 from cellwise.session import ensure_checkpoint_dir
 
@@ -17,6 +17,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the strings of 200 bytes that occur again."""
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, written to the shared folder and read back."""
     pages = _table(spark, sf_dir, "pages")
@@ -95,6 +101,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeated_strings": op1_repeated_strings,
     "op2_warc": op2_warc,
     "op3_mixture": op3_mixture,
     "op4_quality_rules": op4_quality_rules,
