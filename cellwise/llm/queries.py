@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwise.llm import contamination, jaccard, mixture, quality, repeats, secrets, toxicity, urlfilter, warc
+from cellwise.llm import contamination, htmltext, jaccard, mixture, quality, repeats, secrets, toxicity, urlfilter, warc
 from cellwise.llm.oracle import ORACLE as ORACLE
 from cellwise.session import ensure_checkpoint_dir
 
@@ -100,6 +100,11 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return htmltext.main_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_strings": op1_repeated_strings,
     "op2_warc": op2_warc,
@@ -110,4 +115,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_secrets": op9_secrets,
+    "op10_html_text": op10_html_text,
 }
