@@ -13,6 +13,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellwise.llm.expressions import let
+
 WINDOW = 13
 MAX_WINDOWS = 200_000  # some 30 MB of table; a larger one goes through a join
 
@@ -83,6 +85,24 @@ def _hits_in_row(tokens: Column, windows: list) -> Column:
     return F.array_sort(F.concat(none, *found))
 
 
+def _summary(tokens: Column, hits: Column) -> Column:
+    """``n_words, n_hit, items, spans`` of one document; hits are in the order of positions."""
+    none = F.array().cast("array<struct<first:int,end:int>>")
+
+    def add(out, x):
+        last = F.get(out, F.size(out) - 1)
+        longer = F.struct(last["first"].alias("first"), F.greatest(last["end"], x["at"] + x["len"]).alias("end"))
+        more = F.array(F.struct(x["at"].alias("first"), (x["at"] + x["len"]).alias("end")))
+        return F.when(last["end"] >= x["at"], F.concat(F.slice(out, 1, F.size(out) - 1), F.array(longer))).otherwise(F.concat(out, more))
+
+    def put(spans):
+        n_hit = F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["first"])
+        items = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda x: x["items"]))))
+        return F.struct(F.size(tokens).cast("bigint").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"), spans.alias("spans"))
+
+    return let(F.when(F.size(hits) > 0, F.aggregate(hits, none, add)).otherwise(none), put)
+
+
 def _hits_by_join(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
     """The same hits through a join, for benchmarks without a bound; rows are known by id and text."""
     key = docs.withColumn("_key", F.sha2(F.concat_ws("\0", F.col("_id").cast("string"), F.array_join("_ws", " ")), 256))
@@ -107,26 +127,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """
     windows = benchmark_windows(benchmark, item_col, "text", width)
     names = [id_col, *[c for c in keep if c != id_col]]
-    source = docs.select(F.col(id_col).alias("_id"), F.struct(*[F.col(c).alias(c) for c in names]).alias("_kept"), words(F.col(text_col)).alias("_ws"))
+    source = docs.select(F.struct(*[F.col(c).alias(c) for c in names]).alias("_kept"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     small = windows.limit(max_windows + 1).collect()
     if len(small) <= max_windows:
-        found = source.withColumn("_hits", _hits_in_row(F.col("_ws"), small))
+        found = source.withColumn("_found", let(words(F.col("_text")), lambda ws: let(_hits_in_row(ws, small), lambda hits: _summary(ws, hits))))
     else:
+        source = source.withColumn("_ws", words(F.col("_text")))
         found = _hits_by_join(source, windows, sorted(r["len"] for r in windows.select("len").distinct().collect()))
-    merged = F.aggregate(
-        "_hits", F.array().cast("array<struct<first:int,end:int>>"),
-        lambda out, x: F.when(
-            F.get(out, F.size(out) - 1)["end"] >= x["at"],
-            F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.get(out, F.size(out) - 1)["first"].alias("first"), F.greatest(F.get(out, F.size(out) - 1)["end"], x["at"] + x["len"]).alias("end")))),
-        ).otherwise(F.concat(out, F.array(F.struct(x["at"].alias("first"), (x["at"] + x["len"]).alias("end"))))),
-    )
-    merged = F.when(F.size("_hits") > 0, merged).otherwise(F.array().cast("array<struct<first:int,end:int>>"))
-    found = found.withColumn("spans", merged)
-    count = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["first"])
-    return found.select(
-        *[F.col("_kept").getField(c).alias(c) for c in names], F.size("_ws").cast("bigint").alias("n_words"), count.alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.transform("_hits", lambda x: x["items"])))).alias("items"), "spans",
-    )
+        found = found.withColumn("_found", _summary(F.col("_ws"), F.col("_hits")))
+    return found.select(*[F.col("_kept").getField(c).alias(c) for c in names], "_found.*")
 
 
 def is_contaminated() -> Column:

@@ -14,16 +14,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellwise.llm.expressions import let
+
 SAMPLE_ROWS = 20_000  # labelled documents that the list is learnt from; the only bound
 CUTS = 32  # thresholds a feature
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _covered(sorted_windows: Column) -> Column:
     """Words inside windows that share their hash with another one; input sorted by hash."""
 

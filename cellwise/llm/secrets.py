@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cellwise.llm.expressions import let
+
 LEDGER = "blob string, rules array<string>, spans array<struct<kind:string,start:bigint,end:bigint>>"
 
 
@@ -54,12 +56,15 @@ def _pieces(rule: Rule) -> Column:
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     group = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
     both = F.zip_with(whole, group, lambda m, g: F.struct(F.length(m).alias("m"), F.length(g).alias("g")))
-    return F.transform(
-        both,
-        lambda x, i: F.struct(
-            F.lit(rule.kind).alias("kind"), i.alias("i"), F.length(F.get(gaps, i)).alias("gap"), x["m"].alias("m"), (x["g"] >= rule.least).alias("good")
-        ),
-    )
+
+    def put(before):
+        def one(x, i):
+            good = (x["g"] >= rule.least).alias("good")
+            return F.struct(F.lit(rule.kind).alias("kind"), i.alias("i"), F.length(F.get(before, i)).alias("gap"), x["m"].alias("m"), good)
+
+        return F.transform(both, one)
+
+    return let(gaps, put)
 
 
 def _first_look(rule: Rule) -> str:
