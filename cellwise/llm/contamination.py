@@ -106,10 +106,12 @@ def _summary(tokens: Column, hits: Column) -> Column:
 def _hits_by_join(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
     """The same hits through a join, for benchmarks without a bound; rows are known by id and text."""
     key = docs.withColumn("_key", F.sha2(F.concat_ws("\0", F.col("_id").cast("string"), F.array_join("_ws", " ")), 256))
-    parts = []
-    for length in lengths:
-        strings = F.transform(window_hashes(F.col("_ws"), length), lambda h, i, n=length: F.struct(h.alias("h"), i.alias("at"), F.array_join(F.slice("_ws", i + 1, n), " ").alias("w")))
-        parts.append(key.select("_key", F.lit(length).alias("len"), F.explode(strings).alias("x")).select("_key", "len", "x.*"))
+
+    def of_length(length):
+        strings = F.transform(window_hashes(F.col("_ws"), length), lambda h, i: F.struct(h.alias("h"), i.alias("at"), F.array_join(F.slice("_ws", i + 1, length), " ").alias("w")))
+        return key.select("_key", F.lit(length).alias("len"), F.explode(strings).alias("x")).select("_key", "len", "x.*")
+
+    parts = [of_length(length) for length in lengths]
     each = parts[0]
     for part in parts[1:]:
         each = each.union(part)
