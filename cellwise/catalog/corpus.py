@@ -16,7 +16,7 @@ from cellwise.sources import profile, sparse
 from cellwise.sources.tabular import load_table, spread_small
 
 LABEL_COLUMNS = ["quality", "toxic"]
-SAMPLE_SIZE = 50_000
+SAMPLE_SIZE = 500_000
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:

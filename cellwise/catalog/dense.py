@@ -225,9 +225,7 @@ def _lloyd(spark, sf, iterations: int, extra: DataFrame | None = None):
 
 
 def q_lloyd_step_empty_cluster(spark, sf):
-    far = points(spark, sf).agg(
-        F.lit(K).alias("cluster"), F.array_repeat(F.lit(100.0), DIM).alias("center"), F.count(F.lit(1)).alias("n")
-    ).drop("n")
+    far = spark.range(1).select(F.lit(K).alias("cluster"), F.array_repeat(F.lit(100.0), DIM).alias("center"))
     return _long(_lloyd(spark, sf, 1, far).centers_frame(spark))
 
 
@@ -280,7 +278,9 @@ def q_blobs(spark, sf):
     )
 
 
-SWEEP = (SweepConfig(parts=5, l=2, r=5), SweepConfig(parts=20, l=2, r=5), SweepConfig(parts=20, l=5, r=2))
+# Partitions, oversampling factor and rounds of the published grid.
+GRID = [(5, 2, 5), (20, 2, 5), (100, 2, 5), (20, 5, 2), (20, 1, 1), (20, 2, 15)]
+SWEEP = tuple(SweepConfig(parts=parts, l=l, r=r) for parts, l, r in GRID)
 
 
 def q_sweep(spark, sf):

@@ -8,9 +8,11 @@ special care: a range with one distinct value is the answer.
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType
+from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralType
 
 _BUCKETS = 1024
 
@@ -34,14 +36,27 @@ def _bucket(column: str, kind: DataType, lo, hi) -> Column:
 
 
 def value_at_rank(df: DataFrame, column: str, rank: int):
-    """The value at zero-based ``rank`` among the non-NULL values in ascending order."""
+    """The value at zero-based ``rank`` among the non-NULL values in ascending order.
+
+    Infinities stand at the ends and NaN after them, as in Spark's order; the search is
+    over the finite values only.
+    """
     kind = df.schema[column].dataType
     values = df.where(F.col(column).isNotNull()).select(column)
-    row = values.agg(F.count(F.lit(1)), F.min(column), F.max(column)).first()
-    n, lo, hi = row[0], row[1], row[2]
+    n, ends = values.count(), (0, 0)
     if not 0 <= rank < n:
         raise ValueError(f"rank {rank} is outside 0..{n - 1}")
+    if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType):
+        x, top = F.col(column).cast("double"), F.lit(float("inf"))
+        ends = values.agg(F.count_if(x == -top), F.count_if(x <= F.lit(sys.float_info.max))).first()
+        if rank < ends[0]:
+            return float("-inf")
+        if rank >= ends[1]:
+            return float("inf") if rank < values.where(x <= top).count() else float("nan")
+        values, rank = values.where((x > -top) & (x < top)), rank - ends[0]
+    lo, hi = values.agg(F.min(column), F.max(column)).first()
     while lo != hi:
+        before = (lo, hi)
         inside = values.where(F.col(column).between(F.lit(lo), F.lit(hi)))
         counted = (
             inside.groupBy(_bucket(column, kind, lo, hi).alias("bucket"))
@@ -53,6 +68,8 @@ def value_at_rank(df: DataFrame, column: str, rank: int):
                 lo, hi = part["lo"], part["hi"]
                 break
             rank -= part["n"]
+        if (lo, hi) == before and len(counted) == 1:
+            raise ArithmeticError(f"values of {column} between {lo} and {hi} can't be told apart as doubles")
     return lo
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -58,7 +60,8 @@ def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
     """Equal-width bins over ``[min, max]``: ``(bin, lower, upper, n)``, empty ones too.
 
     Bins are half-open but for the last, which includes the maximum.  When all
-    values are equal the range is widened by a half to both sides.
+    values are equal the range is widened by a half to both sides.  Infinity, NaN and
+    a range too wide for a double are errors.
     """
     spark = df.sparkSession
     values = df.select(F.col(column).cast("double").alias("x")).where("x is not null").persist()
@@ -66,6 +69,8 @@ def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
         lo, hi = values.agg(F.min("x"), F.max("x")).first()
         if lo is None:
             lo, hi = 0.0, 1.0
+        elif not math.isfinite(hi - lo):
+            raise ValueError(f"a histogram needs a finite range, not {lo} to {hi}")
         elif lo == hi:
             lo, hi = lo - 0.5, hi + 0.5
         x = F.col("x")
@@ -89,11 +94,16 @@ def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
 
 
 def integer_histogram(df: DataFrame, column: str) -> DataFrame:
-    """Rows per integer from 0 to the maximum: ``(value, n)``, empty ones too."""
+    """Rows per integer from 0 to the maximum: ``(value, n)``, empty ones too.
+
+    The table is as long as the maximum; NULL is not counted, a negative value is an error.
+    """
     value = F.col(column).cast("bigint").alias("value")
     # one short row per distinct integer, written once because it is read twice
     counts = cut_lineage(df.groupBy(value).agg(F.count(F.lit(1)).alias("n")))
-    top = counts.agg(F.coalesce(F.max("value"), F.lit(-1))).first()[0]
+    low, top = counts.agg(F.coalesce(F.min("value"), F.lit(0)), F.coalesce(F.max("value"), F.lit(-1))).first()
+    if low < 0:
+        raise ValueError(f"a histogram of counts can't hold {low}")
     values = df.sparkSession.range(int(top) + 1).select(F.col("id").alias("value"))
     return values.join(counts, "value", "left").select(
         "value", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")

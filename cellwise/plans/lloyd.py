@@ -58,7 +58,10 @@ def fit_centers(
     """
     spark = points.sparkSession
     if isinstance(start, DataFrame):
-        rows = start.count()
+        bounds = start.agg(F.count("*"), F.countDistinct("cluster"), F.min("cluster"), F.max("cluster")).first()
+        rows = bounds[0]
+        if rows and tuple(bounds[1:]) != (rows, 0, rows - 1):
+            raise ValueError(f"clusters must be numbered from 0 to {rows - 1}, each once")
         dim = len(start.select("center").first()[0]) if rows else 0
         if 8 * rows * dim <= center_budget(spark):
             start = as_matrix(
