@@ -41,7 +41,6 @@ from cellwise.session import cut_lineage, ship_package
 SHINGLE = 5
 PERCENT = 80
 GROUPS = 256
-FOLDED = 64  # coordinates of the points in the trees, sums of four groups each
 LEAF = 256  # points of one leaf
 FREQUENT = 64  # a shingle counted in so many documents goes to the end of the order ...
 MAX_FREQUENT = 100_000  # ... the most frequent ones of them; the order changes cost, never results
@@ -100,23 +99,21 @@ def _describe(width: int, batches):
         for row, total, bounds in sets_of(batch.column(1), width):
             n = len(bounds) - 1
             vectors = points(total, bounds)
-            folded = np.minimum(vectors.reshape(n, GROUPS // FOLDED, FOLDED).sum(axis=1), 255).astype(np.uint8)
             yield pa.record_batch({
                 "doc_id": ids.slice(row, n), "sig": textgrid.as_long(signatures(total, bounds)),
                 "n": np.diff(bounds), "point": pa.array([v.tobytes() for v in vectors], pa.binary()),
-                "folded": pa.array([v.tobytes() for v in folded], pa.binary()),
                 "token": pa.nulls(n, pa.int64()), "docs": pa.nulls(n, pa.int64()),
             })
             token, docs = np.unique(total, return_counts=True)
             token, docs = token[docs > 1], docs[docs > 1]
-            none = {k: pa.nulls(len(token), t) for k, t in (("doc_id", ids.type), ("sig", pa.int64()), ("n", pa.int64()), ("point", pa.binary()), ("folded", pa.binary()))}
+            none = {k: pa.nulls(len(token), t) for k, t in (("doc_id", ids.type), ("sig", pa.int64()), ("n", pa.int64()), ("point", pa.binary()))}
             yield pa.record_batch({**none, "token": textgrid.as_long(token), "docs": docs})
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE) -> DataFrame:
-    """Per document ``doc_id, sig, n, point, folded``; with null ``n``, counts ``token, docs`` of repeated shingles."""
+    """Per document ``doc_id, sig, n, point``; with null ``n``, counts ``token, docs`` of repeated shingles."""
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, sig bigint, n bigint, point binary, folded binary, token bigint, docs bigint"
+    schema = f"doc_id {kind}, sig bigint, n bigint, point binary, token bigint, docs bigint"
     return docs.select(id_col, text_col).mapInArrow(partial(_describe, width), schema)
 
 
@@ -242,9 +239,9 @@ def packed_texts(docs: DataFrame, text_col: str, wanted: DataFrame, width: int =
 
 
 def _points_of(sized: DataFrame, grouped: DataFrame) -> DataFrame:
-    """``sig, n, point, folded`` of each set that shares a first shingle."""
-    found = sized.select("sig", "n", "point", "folded").join(grouped.select("sig").distinct().hint("merge"), "sig")
-    return found.groupBy("sig").agg(F.any_value(F.struct("n", "point", "folded")).alias("x")).select("sig", "x.*")
+    """``sig, n, point`` of each set that shares a first shingle."""
+    found = sized.select("sig", "n", "point").join(grouped.select("sig").distinct().hint("merge"), "sig")
+    return found.groupBy("sig").agg(F.any_value(F.struct("n", "point")).alias("x")).select("sig", "x.*")
 
 
 def neighbours(grouped: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -389,7 +386,7 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
     rows = rows.select("token", "sig", "n", F.coalesce("root", "sig").alias("root"))
     mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
     mixed = mixed.where("lo <> hi and c > 3").select("token")
-    rows = rows.join(mixed.hint("merge"), "token").join(point_of.select("sig", F.col("folded").alias("point")).hint("merge"), "sig")
+    rows = rows.join(mixed.hint("merge"), "token").join(point_of.select("sig", "point").hint("merge"), "sig")
     rank = F.row_number().over(Window.partitionBy("token").orderBy("root", "n", "sig"))
     rows = cut_lineage(rows.withColumn("leaf", ((rank - 1) / LEAF).cast("int")))
     split = rows.where("leaf > 0").select("token").distinct()
@@ -429,7 +426,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = cut_lineage(packed_texts(docs, text_col, grouped.select("sig").distinct(), width))
     tried = cut_lineage(within_bound(neighbours(grouped, percent), point_of, percent))
     roots = components(verified(tried, texts, percent, width))
-    met = within_bound(tree_pairs(grouped, point_of, roots, percent), point_of, percent)
+    met = tree_pairs(grouped, point_of, roots, percent)
     more = verified(met.join(tried, ["a", "b"], "left_anti"), texts, percent, width)
     roots = components(roots.toDF("a", "b").union(more))
     classes = sized.join(roots, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("class"))
