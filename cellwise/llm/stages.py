@@ -11,13 +11,17 @@ from cellwise.llm import contamination, jaccard, mixture, secrets, toxicity
 from cellwise.session import ensure_checkpoint_dir
 
 
+def _with_row(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and the whole row as ``row``, so that no column can clash with what an operator adds."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below a half; null and empty texts are kept."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out())
     model = toxicity.train(docs, labels, "doc_id", "text", "toxic")
-    names = docs.columns
-    scored = toxicity.score(docs.withColumn("_text", F.col("text")), model, "doc_id", "_text", keep=tuple(names))
-    return scored.where("score < 0.5").select(*names)
+    scored = toxicity.score(_with_row(docs), model, keep=("row",))
+    return scored.where("score < 0.5").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +42,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lie in benchmark windows."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = contamination.find_contamination(docs, benchmark, keep=tuple(docs.columns))
-    return found.where(~contamination.is_contaminated()).select(*docs.columns)
+    found = contamination.find_contamination(_with_row(docs), benchmark, keep=("row",))
+    return found.where(~contamination.is_contaminated()).select("row.*")
 
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +51,8 @@ def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     ledger = f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
     secrets.update_ledger(docs, ledger)
     leaking = secrets.leaking_blobs(spark, ledger)
-    marked = docs.withColumn("_blob", secrets.address("text"))
-    return marked.join(leaking.hint("merge"), marked["_blob"] == leaking["blob"], "left_anti").select(*docs.columns)
+    marked = _with_row(docs).select(secrets.address("text").alias("blob"), "row")
+    return marked.join(leaking.hint("merge"), "blob", "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
