@@ -9,6 +9,7 @@ NaN or wrong-length vector fails the task instead of skewing a result silently.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -160,33 +161,42 @@ def _nearest_dense(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray,
     return d2, best
 
 
-def _sparse_products(points: SparseRows, centers: np.ndarray) -> np.ndarray:
+class SparseSide(NamedTuple):
+    """What blocks of sparse rows need of the centres: one row a column, and squared norms."""
+
+    columns: np.ndarray
+    norms: np.ndarray
+
+
+def _sparse_side(centers: np.ndarray) -> SparseSide:
+    return SparseSide(np.ascontiguousarray(centers.T), np.einsum("ij,ij->i", centers, centers))
+
+
+def _sparse_products(points: SparseRows, side: SparseSide) -> np.ndarray:
     """Dot products of every sparse row with every centre."""
-    columns = np.ascontiguousarray(centers.T)
-    return points.sum_by_row(columns[points.indices] * points.values[:, None])
+    return points.sum_by_row(side.columns[points.indices] * points.values[:, None])
 
 
-def _nearest_sparse(points: SparseRows, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _nearest_sparse(points: SparseRows, side: SparseSide) -> tuple[np.ndarray, np.ndarray]:
     """Nearest centre by expanding the square, touching only stored entries.
 
     Distances closer than the rounding error of the expansion count as equal, and
     the lowest index wins.
     """
-    d2, noise = _distances_sparse(points, centers)
+    d2, noise = _distances_sparse(points, side)
     smallest = d2.min(axis=1)
     return smallest, (d2 <= smallest[:, None] + noise).argmax(axis=1)
 
 
-def _distances_sparse(points: SparseRows, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _distances_sparse(points: SparseRows, side: SparseSide) -> tuple[np.ndarray, np.ndarray]:
     """Squared distances and their rounding error; below the error they are zero.
 
     So a point that is itself a centre has distance zero to it.
     """
-    center_norms = np.einsum("ij,ij->i", centers, centers)
     point_norms = points.squared_norms()[:, None]
-    d2 = point_norms - 2.0 * _sparse_products(points, centers) + center_norms
+    d2 = point_norms - 2.0 * _sparse_products(points, side) + side.norms
     longest = int(np.diff(points.indptr).max(initial=0))
-    noise = 4.0 * (longest + 4) * _EPS * (point_norms + center_norms)
+    noise = 4.0 * (longest + 4) * _EPS * (point_norms + side.norms)
     d2[d2 < noise] = 0.0
     return d2, noise
 
@@ -209,18 +219,20 @@ def nearest(points: np.ndarray | SparseRows, centers: np.ndarray) -> tuple[np.nd
     """``(squared distance, index)`` of the nearest centre of every row."""
     d2 = np.empty(len(points))
     index = np.empty(len(points), dtype=np.int64)
-    kernel = _nearest_sparse if isinstance(points, SparseRows) else _nearest_dense
+    sparse = isinstance(points, SparseRows)
+    side = _sparse_side(centers) if sparse else centers
     for lo, hi, block in _row_blocks(points, len(centers)):
-        d2[lo:hi], index[lo:hi] = kernel(block, centers)
+        d2[lo:hi], index[lo:hi] = _nearest_sparse(block, side) if sparse else _nearest_dense(block, side)
     return d2, index
 
 
 def distances(points: np.ndarray | SparseRows, centers: np.ndarray) -> np.ndarray:
     """Squared distances of every row to every centre, ``n x m``."""
     out = np.empty((len(points), len(centers)))
+    side = _sparse_side(centers) if isinstance(points, SparseRows) else None
     for lo, hi, block in _row_blocks(points, len(centers)):
         if isinstance(block, SparseRows):
-            out[lo:hi], _ = _distances_sparse(block, centers)
+            out[lo:hi], _ = _distances_sparse(block, side)
         else:
             for j, center in enumerate(centers):
                 out[lo:hi, j] = _exact(block, center)

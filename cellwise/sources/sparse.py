@@ -128,7 +128,9 @@ def _stored_profile(spark: SparkSession, x_path: str, y_path: str, profile_path:
         spark.read.parquet(y_path)
         stored = spark.read.schema(PROFILE_SCHEMA).json(profile_path)
         return stored if stored.head(1) else None
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
 
 
@@ -144,8 +146,8 @@ def ingest_sparse(
     """Write both matrices and their profile once; return the profile.
 
     When everything is there already, the stored profile is returned and nothing
-    is computed, unless ``force``.  The profile is written last, so a run that
-    died half-way is recognised and repeated.  Reading the source and writing are
+    is computed, unless ``force``.  An old profile is emptied first and the new one
+    written last, so a run that died half-way is recognised and repeated.  Reading the source and writing are
     one job, hence ``download_time_s`` is zero and ``save_time_s`` covers both.
     """
     spark = x.sparkSession
@@ -154,6 +156,7 @@ def ingest_sparse(
     stored = None if force else _stored_profile(spark, x_path, y_path, profile_path)
     if stored is not None:
         return stored
+    spark.createDataFrame([], PROFILE_SCHEMA).write.mode("overwrite").json(profile_path)
     started = time.perf_counter()
     write_sparse(x, x_path, "overwrite")
     write_sparse(y, y_path, "overwrite")

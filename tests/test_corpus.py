@@ -112,6 +112,19 @@ def test_ingest_is_idempotent_and_verified(spark, corpus, tmp_path):
         profile.verify_profile(spark, out)
 
 
+def test_forced_ingest_that_dies_is_repeated(spark, corpus, tmp_path, monkeypatch):
+    _, _, _, long, width = corpus
+    y = spark.createDataFrame([(0, 1)], "row_id bigint, category_id int")
+    out = str(tmp_path / "corpus")
+    sparse.ingest_sparse(long, y, out, 5, width, 2)
+    shorter = long.where("row_id <> 0")
+    with monkeypatch.context() as patch:
+        patch.setattr(sparse, "dataset_profile", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sparse.ingest_sparse(shorter, y, out, 5, width, 2, force=True)
+    assert sparse.ingest_sparse(shorter, y, out, 5, width, 2).first()["x_nnz"] == shorter.count()
+
+
 def test_profile_checks_report_mismatches(spark, corpus):
     _, _, _, long, width = corpus
     y = spark.createDataFrame([(0, 1)], "row_id bigint, category_id int")
