@@ -10,9 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellwise.session import center_budget, cut_lineage
+
 SEED = 42
 STEP = 32  # a mean above is drawn as a sum of draws with a mean of at most this
 TAIL = 160  # the chance of more at a mean of 32 is below 1e-50
+RATE_BYTES = 1400  # of a source's row beside its name: TAIL + 1 doubles and some more
 
 
 def uniform(*parts: Column | str) -> Column:
@@ -41,6 +44,7 @@ def source_rates(docs: DataFrame, source_col: str, text_col: str, weights: dict[
     text of the input.  A source without text (all null or empty) keeps each row once.
     """
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias("size"))
+    sizes = cut_lineage(sizes)  # read for the total, the check of its size and the join
     if weights is None:
         weight = F.lit(1.0)
     else:
@@ -54,6 +58,16 @@ def source_rates(docs: DataFrame, source_col: str, text_col: str, weights: dict[
     return rates.withColumn("steps", _steps(F.col("mean") / F.col("draws")))
 
 
+def _with_rate(docs: DataFrame, rates: DataFrame, source_col: str) -> DataFrame:
+    """Add ``_rate``; documents stay where they are if the rates fit the broadcast budget."""
+    name = F.coalesce(F.octet_length(F.col("source").cast("string")), F.lit(0))
+    size = rates.agg(F.sum(F.lit(RATE_BYTES) + name)).first()[0] or 0
+    rates = rates.select(F.struct("mean", "draws", "steps").alias("_rate"), F.col("source").alias("_source"))
+    if size <= center_budget(docs.sparkSession):
+        rates = F.broadcast(rates)
+    return docs.join(rates, docs[source_col].eqNullSafe(rates["_source"]))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: dict[str, float] | None = None, budget: float = 1.0, seed: int = SEED) -> DataFrame:
     """All columns of ``docs``, ``copy`` (from 1), ``n_copies`` and ``shuffle_key``, in the order of the key.
 
@@ -63,8 +77,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     """
     docs = docs.drop("copy", "n_copies", "shuffle_key")
     rates = source_rates(docs, source_col, text_col, weights, budget)
-    rates = rates.select(F.struct("mean", "draws", "steps").alias("_rate"), F.col("source").alias("_source"))
-    drawn = docs.join(rates, docs[source_col].eqNullSafe(rates["_source"]))
+    drawn = _with_rate(docs, rates, source_col)
 
     draws = F.transform(F.sequence(F.lit(1), F.col("_rate.draws")), lambda j: uniform(F.lit(str(seed)), F.col(id_col).cast("string"), j.cast("string")))
     count = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("_rate.steps", lambda c: u >= c)))
