@@ -110,7 +110,8 @@ def q_value_summary(spark, sf):
 
 def q_sample_values(spark, sf):
     key = F.concat_ws(":", F.col("row_id").cast("string"), "term")
-    drawn = sample_exact(terms(spark, sf), key, SAMPLE_SIZE, 42, "md5")
+    entries = cut_lineage(terms(spark, sf))  # read by the search and for the result
+    drawn = sample_exact(entries, key, SAMPLE_SIZE, 42, "md5")
     return drawn.select("row_id", "term", F.round("value", 6).alias("value"))
 
 
@@ -127,7 +128,7 @@ def q_labels_histogram(spark, sf):
 
 
 def q_rows_per_category(spark, sf):
-    return summarize.rows_per_category(vocabulary(spark, sf), terms(spark, sf), "term")
+    return sparse.rows_per_term(spread_documents(spark, sf), n_rows=documents(spark, sf).count())
 
 
 def q_category_summary(spark, sf):

@@ -87,9 +87,8 @@ def q_squared_distance(spark, sf):
 
 
 def q_all_distances(spark, sf):
-    centers = fixed_centers(spark, sf)
-    (block,) = nearest.center_blocks(centers, nearest.center_budget(spark), "cluster")
-    table = nearest.all_distances(points(spark, sf), block.matrix)
+    centers = fixed_centers(spark, sf).withColumnRenamed("cluster", "idx")
+    table = nearest.all_distances(points(spark, sf), centers)
     return table.select(
         "point_id", *[F.round(F.get("distances", F.lit(i)), 6).alias(f"d{i}") for i in range(K)]
     )
@@ -100,8 +99,9 @@ def q_min_distances(spark, sf):
 
 
 def q_argmin_center(spark, sf):
-    (block,) = nearest.center_blocks(fixed_centers(spark, sf), nearest.center_budget(spark), "cluster")
-    found = nearest.nearest_center_sql(points(spark, sf), block.matrix)
+    # K centres: they become literals of the plan, whatever the size of a block
+    chosen = fixed_centers(spark, sf).orderBy("cluster").select("center").collect()
+    found = nearest.nearest_center_sql(points(spark, sf), nearest.as_matrix(r[0] for r in chosen))
     return found.select("point_id", F.col("idx").alias("cluster"), F.round("d2", 6).alias("d2"))
 
 

@@ -186,11 +186,9 @@ def nearest_center(
 def nearest_center_sql(points: DataFrame, centers: np.ndarray, features: str = "features") -> DataFrame:
     """:func:`nearest_center` as plain column expressions, for few short centres.
 
-    Stays inside the JVM; the centres become literals of the plan, so their
-    number is limited to what a plan can carry.
+    Stays inside the JVM; the centres become literals of the plan, so their number is
+    limited to what a plan can carry.  For more, call :func:`nearest_center`.
     """
-    if centers.size > 20_000:
-        return nearest_center(points, centers, features)
     pairs = F.array(*[center_distance_struct(features, i, c) for i, c in enumerate(centers)])
     return points.withColumn("_near", F.array_min(pairs)).select(
         *points.columns, F.col("_near.d2"), F.col("_near.idx")
@@ -203,7 +201,7 @@ def center_distance_struct(features: str, index: int, center: np.ndarray) -> Col
 
 
 def all_distances(
-    points: DataFrame, centers: np.ndarray, features: str = "features", output: str = "distances"
+    points: DataFrame, centers: np.ndarray | DataFrame, features: str = "features", output: str = "distances"
 ) -> DataFrame:
     """Add the vector of squared distances to every centre, in centre order.
 

@@ -24,6 +24,10 @@ def _as_ml_vector(candidates: DataFrame) -> Column:
     return array_to_vector(center)
 
 
+class TooFewCandidates(ValueError):
+    """Seeding left fewer distinct candidates than centres are wanted."""
+
+
 def reduce_candidates(candidates: DataFrame, k: int, seed: int = 42) -> np.ndarray:
     """Weighted k-means of the candidates ``(center, weight)``; returns ``k x d``.
 
@@ -34,16 +38,18 @@ def reduce_candidates(candidates: DataFrame, k: int, seed: int = 42) -> np.ndarr
         raise ValueError("k must be at least 1")
     weighted = candidates.where(F.col("weight") > 0)
     vector = _as_ml_vector(candidates)
-    data = weighted.select(vector.alias("features"), "weight").cache()
+    order = [c for c in ("idx",) if c in candidates.columns]
+    data = weighted.select(vector.alias("features"), "weight", *order).cache()
     try:
         n = data.count()
         if n < k:
-            raise ValueError(
+            raise TooFewCandidates(
                 f"k={k} centres need at least {k} distinct candidates, but seeding gave {n}; "
                 "raise the oversampling factor or the number of rounds"
             )
         if n == k:
-            return np.vstack([row[0].toArray() for row in data.select("features").collect()])
+            chosen = data.orderBy(*order) if order else data
+            return np.vstack([row[0].toArray() for row in chosen.select("features").collect()])
         if k == 1:  # k-means in Spark ML starts at two clusters
             mean = Summarizer.mean(F.col("features"), F.col("weight"))
             return data.agg(mean.alias("mean")).first()[0].toArray().reshape(1, -1)

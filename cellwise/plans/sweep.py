@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from cellwise.plans.estimator import ParallelKMeans
+from cellwise.plans.reduce import TooFewCandidates
 from cellwise.session import local_frame
 
 RESULT_SCHEMA = (
@@ -68,7 +69,7 @@ def _run(run_id: int, workers: int, points: DataFrame, c: SweepConfig, key: str)
         clusterer.fit(points, max_iter=c.max_iter)
         elapsed = time.perf_counter() - started
         cost = clusterer.inertia(points)
-    except ValueError as problem:
+    except TooFewCandidates as problem:
         elapsed, error = time.perf_counter() - started, str(problem)
     finally:
         clusterer.release()

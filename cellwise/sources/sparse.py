@@ -41,6 +41,18 @@ def term_counts(documents: DataFrame, row: str = "doc_id", text: str = "text") -
     return occurrences.groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def rows_per_term(documents: DataFrame, text: str = "text", n_rows: int | None = None) -> DataFrame:
+    """``(term, n)``: rows of :func:`term_matrix` with an entry for each term of the vocabulary.
+
+    A term has an entry in every text that contains it, or in none if all do, so one scan
+    and one shuffle of terms give the counts without the matrix.  One text a row.
+    """
+    n_rows = documents.count() if n_rows is None else n_rows
+    distinct = F.array_distinct(F.transform(F.split(F.col(text), TERM_SEPARATOR), F.lower))
+    counts = documents.select(F.explode(distinct).alias("term")).where("term <> ''").groupBy("term").agg(F.count("*").alias("df"))
+    return counts.select("term", F.when(F.col("df") < n_rows, F.col("df")).otherwise(0).cast("bigint").alias("n"))
+
+
 def term_matrix(
     documents: DataFrame, row: str = "doc_id", text: str = "text", n_rows: int | None = None
 ) -> DataFrame:

@@ -169,3 +169,15 @@ def test_summary_and_ranking(spark):
     assert summarize.summary(frame, "n", with_mean=False).columns == ["n", "min", "max", "median"]
     top = sorted(tuple(r) for r in summarize.top_ranked(frame, "n", "c", 3).collect())
     assert top == [(1, 4, 9), (2, 0, 5), (3, 2, 5)]
+
+
+def test_rows_per_term_counts_the_entries_of_the_matrix(spark):
+    texts = [(1, "all One one two"), (2, "all two"), (3, "ALL three"), (4, "all"), (5, " all . ")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    entries = sparse.term_matrix(docs)
+    wanted = {r["term"]: 0 for r in sparse.vocabulary(docs).collect()}
+    wanted |= {r["term"]: r["count"] for r in entries.groupBy("term").count().collect()}
+    assert {r["term"]: r["n"] for r in sparse.rows_per_term(docs).collect()} == wanted
+    assert wanted["all"] == 0 and wanted["two"] == 2
+    gaps = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert sparse.rows_per_term(gaps).count() == 0 == sparse.rows_per_term(gaps.limit(0)).count()
