@@ -297,6 +297,26 @@ def test_html_text(spark):
     assert got == collections.Counter((i, t, len(t)) for i, t in want)
 
 
+def test_html_articles_in_wrappers():
+    cases = [
+        ("<body><form id=aspnetForm><div class=header>logo</div><article><p>whole page</p></article><footer>f</footer></form>", ["whole page"]),
+        ("<div class='layout sidebar-right'><article>whole <div class=ad>buy</div>page</article><div class=sidebar>s</div></div>", ["whole", "page"]),
+        ("<div class='layout sidebar-right'><div class=related><article>a teaser</article></div><article>whole page</article></div>", ["whole page"]),
+        ("<form><main><p>whole page</p><nav>n</nav></main></form>", ["whole page"]),
+        ("<main><div class=has-sidebar><article>the whole page</article></div></main>", ["the whole page"]),
+        ("<article>the text</article><article class='comment'>a reader with more words</article>", ["the text"]),
+        ("<article>the text<section class=comments><article>a reader</article></section></article>", ["the text"]),
+        ("<article>the text<article role=complementary>other</article></article>", ["the text"]),
+        ("<main><p>the text</p><article class='comment-body'>a reader with more words</article></main>", ["the text"]),
+        ("<article class='post tag-cookies has-sidebar'>the text</article>", ["the text"]),
+        ("<aside><article>a teaser</article></aside><p>open</p>", None),
+        ("<div class=related><article>a teaser</article></div><p>open text of the page</p>", None),
+        ("<p>open</p><article class=comment>a reader with more words</article>", None),
+    ]
+    for html, want in cases:
+        assert htmltext._article(htmltext.blocks_of(html)) == want, html
+
+
 def test_pipeline_stages(spark, odd):
     kept = odd
     for stage in (stages.reject_toxic, stages.drop_near_duplicates, stages.drop_contaminated, stages.drop_secrets):
