@@ -406,17 +406,8 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
     return cells.mapInArrow(partial(_leaf_pairs, percent), "a bigint, b bigint").distinct()
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
-    """One row a document: ``doc_id, n_shingles, component_id``.
-
-    Two documents are linked when their sets of ``width``-word shingles have
-    ``100 * intersection >= percent * union``; the component id is the smallest id
-    that links reach.  Words are runs of bytes outside ASCII white space, A-Z lower-cased.
-    A text of fewer words is one shingle; null, empty and blank texts have none, are
-    linked with nothing and keep their own id.  Repeated rows stay rows of one
-    component; a null id never is a component id unless it stands alone.  Other
-    columns are not read.  An empty table gives no rows.
-    """
+def set_classes(docs: DataFrame, id_col: str, text_col: str, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
+    """One row a document: ``doc_id, n, sig, class``; linked sets have the same class, documents without shingles ``n = 0``."""
     ship_package(docs.sparkSession)
     described = cut_lineage(describe(docs, id_col, text_col, width))
     frequent = frequent_shingles(described)
@@ -429,7 +420,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     met = tree_pairs(grouped, point_of, roots, percent)
     more = verified(met.join(tried, ["a", "b"], "left_anti"), texts, percent, width)
     roots = components(roots.toDF("a", "b").union(more))
-    classes = sized.join(roots, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("class"))
+    return sized.join(roots, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("class"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
+    """One row a document: ``doc_id, n_shingles, component_id``.
+
+    Two documents are linked when their sets of ``width``-word shingles have
+    ``100 * intersection >= percent * union``; the component id is the smallest id
+    that links reach.  Words are runs of bytes outside ASCII white space, A-Z lower-cased.
+    A text of fewer words is one shingle; null, empty and blank texts have none, are
+    linked with nothing and keep their own id.  Repeated rows stay rows of one
+    component; a null id never is a component id unless it stands alone.  Other
+    columns are not read.  An empty table gives no rows.
+    """
+    classes = set_classes(docs, id_col, text_col, percent, width)
     least = classes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("component_id"))
     named = classes.where("n > 0").join(least, "class").select("doc_id", "n", "component_id")
     alone = classes.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellwise.llm import contamination, jaccard, mixture, secrets, toxicity
-from cellwise.session import ensure_checkpoint_dir
+from cellwise.session import cut_lineage, ensure_checkpoint_dir
 
 
 def _with_row(docs: DataFrame) -> DataFrame:
@@ -25,18 +25,23 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: that with the smallest id.
+    """One row of each component of near duplicates: that with the smallest id, null last.
 
-    Documents without words are kept as they are.  Of repeated rows of an id that
-    stays, one is kept; a document of null id stays if it has no partner.
+    Rows are judged by id and text, never by id alone: rows of one id and different texts stay
+    if they are not linked, and so does a row of null id that has no partner.  Of rows of
+    the smallest id of a component one is kept.  Documents without words are kept as they are.
     """
-    classes = jaccard.jaccard_components(docs)
-    gone = classes.where("n_shingles > 0 and not (doc_id <=> component_id)").select("doc_id").distinct()
-    again = classes.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    once = kept.join(again.hint("merge"), kept["doc_id"].eqNullSafe(again["doc_id"]), "left_semi")
-    rest = kept.join(again.hint("merge"), kept["doc_id"].eqNullSafe(again["doc_id"]), "left_anti")
-    return rest.unionByName(once.dropDuplicates(["doc_id"]))
+    marked = _with_row(docs).withColumn("mark", F.xxhash64("text"))
+    keyed = marked.select(F.struct("doc_id", "mark").alias("key"), "text")
+    classes = jaccard.set_classes(keyed, "key", "text").where("n > 0")
+    counted = classes.groupBy("class", F.col("doc_id").alias("key")).agg(F.count("*").alias("times"))
+    least = F.min(F.struct(F.col("key.doc_id").isNull().alias("none"), "key", "times")).alias("x")
+    kept = cut_lineage(counted.groupBy("class").agg(least).select(F.col("x.key.doc_id").alias("id"), F.col("x.key.mark").alias("own"), "x.times"))
+    has_words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    found = marked.where(has_words).join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("own")))
+    once = found.where("times = 1").select("row.*")
+    again = found.where("times > 1").dropDuplicates(["id", "own"]).select("row.*")
+    return once.unionByName(again).unionByName(marked.where(~has_words).select("row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -327,6 +327,23 @@ def test_pipeline_stages(spark, odd):
     assert stages.mix_sources(spark, kept, SF).count() > 0
 
 
+def test_near_duplicates_by_row(spark, odd):
+    def words(name, n=30):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    rows = [
+        (None, words("a")), (1, words("a") + " tail"), (None, words("b")), (None, words("c")), (None, words("c")), (None, "alone"), (None, None), (None, " \n"),
+        (7, words("d")), (7, words("e")), (3, words("d") + " tail"), (8, words("f")), (8, words("f") + " tail"), (9, words("g")), (9, words("g")), (10, words("h")), (10, None), (10, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], DOCS).repartition(3)
+    got = collections.Counter((r["doc_id"], r["text"]) for r in stages.drop_near_duplicates(spark, docs, SF).collect())
+    eighth = [k for k in got if k[0] == 8]
+    assert len(eighth) == 1 and eighth[0] in rows
+    want = [rows[k] for k in (1, 2, 3, 5, 6, 7, 9, 10, 13, 15, 16, 17)]
+    assert got == collections.Counter([*want, *eighth])
+    assert "single null id" in [r["text"] for r in stages.drop_near_duplicates(spark, odd, SF).where("doc_id is null").collect()]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_match_sql(spark, name):
     import duckdb
