@@ -257,7 +257,7 @@ def _pairs_in_bound(percent: int, batches):
         near = np.flatnonzero(100 * np.minimum(n, m) >= percent * np.maximum(n, m))
         batch, n, m = batch.take(pa.array(near)), n[near], m[near]
         x, y = (_stacked(batch.column(c)) for c in ("ap", "bp"))
-        good = pa.array(_bound(x, y) >= needed_overlap(n, m, percent))
+        good = pa.array(_bound(x, y, np.minimum(n, m)) >= needed_overlap(n, m, percent))
         yield pa.record_batch({c: batch.column(c).filter(good) for c in ("a", "b")})
 
 
@@ -317,17 +317,21 @@ def _boxes(key, rows):
     return rows[["token", "leaf", "least", "most", "one", "corner"]].astype({"one": "Int64"})
 
 
-def _bound(a, b):
-    """Upper bounds of the overlap, from arrays of points."""
-    a, b = (np.where(x == 255, np.uint16(65535), x).astype(np.uint32) for x in (a, b))
-    return np.minimum(a, b).sum(axis=1)
+def _bound(a, b, most):
+    """Upper bounds of the overlap, from arrays of points and the most elements that the smaller sets have.
+
+    A group that is full in both points may hold any number, so it counts as ``most``.
+    """
+    both = np.minimum(a, b)
+    known = both.sum(axis=1, dtype=np.int64)
+    return np.where((both == 255).any(axis=1), most, np.minimum(known, most))
 
 
 def _box_pairs(percent: int, batches):
     for batch in batches:
         corner = [_stacked(batch.column(c)) for c in ("corner", "corner2")]
-        n, m = (batch.column(c).to_numpy() for c in ("least", "least2"))
-        good = pa.array(_bound(*corner) >= needed_overlap(n, m, percent))
+        n, m, most, most2 = (batch.column(c).to_numpy() for c in ("least", "least2", "most", "most2"))
+        good = pa.array(_bound(*corner, np.minimum(most, most2)) >= needed_overlap(n, m, percent))
         yield pa.record_batch({k: batch.column(k).filter(good) for k in ("token", "leaf", "leaf2")})
 
 
@@ -362,7 +366,7 @@ def _leaf_pairs(percent: int, batches):
             near = 100 * low >= percent * high
             i, j = i[near], j[near]
             if len(i):
-                near = _bound(point[i], point[j]) >= needed_overlap(n[i], n[j], percent)
+                near = _bound(point[i], point[j], np.minimum(n[i], n[j])) >= needed_overlap(n[i], n[j], percent)
                 i, j = i[near], j[near]
                 pairs = np.unique(np.stack([np.minimum(sig[i], sig[j]), np.maximum(sig[i], sig[j])], axis=1), axis=0)
                 yield pa.record_batch({"a": pairs[:, 0].copy(), "b": pairs[:, 1].copy()})
@@ -397,7 +401,7 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
     met = boxes.join(other, "token").where(
         f"leaf < leaf2 and 100 * most >= {percent} * least2 and 100 * most2 >= {percent} * least and not (one <=> one2 and one is not null)"
     )
-    kept = met.select("token", "leaf", "leaf2", "least", "least2", "corner", "corner2").mapInArrow(partial(_box_pairs, percent), "token bigint, leaf int, leaf2 int")
+    kept = met.select("token", "leaf", "leaf2", "least", "least2", "most", "most2", "corner", "corner2").mapInArrow(partial(_box_pairs, percent), "token bigint, leaf int, leaf2 int")
     apart = kept.select("token", F.explode(F.array("leaf", "leaf2")).alias("leaf"), F.xxhash64("token", "leaf", "leaf2").alias("cell"))
     columns = ["cell", "leaf", "sig", "root", "n", "point", "home"]
     at_home = rows.withColumns({"cell": F.xxhash64("token", "leaf"), "home": F.lit(True)}).select(*columns)

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,6 +233,16 @@ def test_jaccard(odd, empty, spark, monkeypatch, leaf):
         assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_overlap_bound_at_any_size():
+    n, m = np.array([20_000_000, 300, 300]), np.array([20_000_000, 300, 300])
+    point = np.full((3, jaccard.GROUPS), 255, np.uint8)
+    point[1:] = 1
+    point[2, 0] = 255
+    assert (jaccard._bound(point, point, np.minimum(n, m)) >= [20_000_000, 256, 300]).all()
+    batch = pa.record_batch({"a": [1], "b": [2], "an": n[:1], "bn": m[:1], "ap": [point[0].tobytes()], "bp": [point[0].tobytes()]})
+    assert sum(b.num_rows for b in jaccard._pairs_in_bound(80, [batch])) == 1
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (5, 5), (9, 8), (8, 7), (7, 1), (3, 1)], "a bigint, b bigint")
     got = {r["node"]: r["root"] for r in graph.components(links).collect()}
