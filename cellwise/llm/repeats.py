@@ -35,24 +35,22 @@ from cellwise.session import cut_lineage, ship_package
 
 LENGTH = 200
 CORE = 64
-PART = 8 << 20  # longer texts are sampled in parts that overlap by LENGTH - 1 bytes
+PART = 1 << 19  # longer texts are sampled in parts that overlap by LENGTH - 1 bytes
 GROUP = 20_000  # stretches of one name that a task compares at once; more go through a shuffle
 
 _SAMPLE = "name bigint, stretch bigint, text_key bigint, sample bigint, first bigint, last bigint"
 
 
 def _parts(data: np.ndarray, offsets: np.ndarray, length: int):
-    """Bytes and row bounds with long rows cut into overlapping parts: row and base of each."""
+    """Bytes, row bounds, row and base of each: all rows at once, or long rows alone, in overlapping parts."""
     sizes = np.diff(offsets)
     if not len(sizes) or sizes.max() <= PART:
-        return data, offsets, np.arange(len(sizes)), np.zeros(len(sizes), np.int64)
-    pieces, rows, bases = [], [], []
+        yield data, offsets, np.arange(len(sizes)), np.zeros(len(sizes), np.int64)
+        return
     for i, size in enumerate(sizes.tolist()):
         for base in range(0, max(size - length + 1, 1), PART):
-            pieces.append(data[offsets[i] + base : offsets[i] + min(size, base + PART + length - 1)])
-            rows.append(i)
-            bases.append(base)
-    return np.concatenate(pieces), np.concatenate([[0], np.cumsum([len(p) for p in pieces])]), np.array(rows), np.array(bases)
+            piece = data[offsets[i] + base : offsets[i] + min(size, base + PART + length - 1)]
+            yield piece, np.array([0, len(piece)]), np.array([i]), np.array([base])
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -68,7 +66,11 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 def samples(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, core: int = CORE):
     """Sampled positions with the range of string starts that belong to each: row, sample, first, last, name, stretch."""
-    data, offsets, rows, bases = _parts(data, offsets, length)
+    parts = [_samples(*part, length, core) for part in _parts(data, offsets, length)]
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+
+def _samples(data, offsets, rows, bases, length: int, core: int):
     cover = length - core + 1
     if len(data) < length:
         return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
@@ -76,15 +78,18 @@ def samples(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, core: i
     n = len(data) - core + 1
     names = textgrid.mix((sums[core:] - sums[:-core]) * scale[:n])
     low = np.uint64((1 << 24) - 1)
-    position = np.arange(n, dtype=np.uint64)
-    start_of = np.searchsorted(offsets, np.arange(n), "right") - 1
-    inside = (position - offsets[start_of].astype(np.uint64)) & low
-    least = _least((names & ~low) | inside, cover)
-    starts = np.arange(len(least))
-    row = start_of[: len(least)]
-    valid = starts + length <= offsets[row + 1]
-    starts, row = starts[valid], row[valid]
-    sample = offsets[row] + (least[valid] & low).astype(np.int64)
+    sizes = np.diff(offsets)
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[:n]
+    inside = np.arange(n, dtype=np.uint64)
+    inside -= np.repeat(offsets[:-1], sizes)[:n].astype(np.uint64)
+    inside &= low
+    inside |= names & ~low
+    least = _least(inside, cover)
+    del inside
+    starts = np.flatnonzero(np.arange(length, len(least) + length) <= offsets[1:][row[: len(least)]])
+    row = row[starts]
+    sample = offsets[row] + (least[starts] & low).astype(np.int64)
+    del least
     new = np.ones(len(starts), bool)
     new[1:] = (sample[1:] != sample[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
