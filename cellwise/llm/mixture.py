@@ -59,29 +59,31 @@ def source_rates(docs: DataFrame, source_col: str, text_col: str, weights: dict[
 
 
 def _with_rate(docs: DataFrame, rates: DataFrame, source_col: str) -> DataFrame:
-    """Add ``_rate``; documents stay where they are if the rates fit the broadcast budget."""
+    """Whole rows as ``row``, and their ``rate``; documents stay where they are if the rates fit the broadcast budget."""
     name = F.coalesce(F.octet_length(F.col("source").cast("string")), F.lit(0))
     size = rates.agg(F.sum(F.lit(RATE_BYTES) + name)).first()[0] or 0
-    rates = rates.select(F.struct("mean", "draws", "steps").alias("_rate"), F.col("source").alias("_source"))
+    rates = rates.select(F.struct("mean", "draws", "steps").alias("rate"), "source")
     if size <= center_budget(docs.sparkSession):
         rates = F.broadcast(rates)
-    return docs.join(rates, docs[source_col].eqNullSafe(rates["_source"]))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(rates, F.col(f"row.`{source_col}`").eqNullSafe(F.col("source")))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: dict[str, float] | None = None, budget: float = 1.0, seed: int = SEED) -> DataFrame:
     """All columns of ``docs``, ``copy`` (from 1), ``n_copies`` and ``shuffle_key``, in the order of the key.
 
     A null source is a source, a null id is drawn like an id; rows of one id are drawn
-    alike.  Text may be null.  Columns named like the three new ones are replaced.
-    An empty table gives no rows.
+    alike.  Text may be null.  Columns named like the three new ones are replaced, other names
+    cannot clash.  An empty table gives no rows.
     """
     docs = docs.drop("copy", "n_copies", "shuffle_key")
     rates = source_rates(docs, source_col, text_col, weights, budget)
     drawn = _with_rate(docs, rates, source_col)
 
-    draws = F.transform(F.sequence(F.lit(1), F.col("_rate.draws")), lambda j: uniform(F.lit(str(seed)), F.col(id_col).cast("string"), j.cast("string")))
-    count = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("_rate.steps", lambda c: u >= c)))
-    drawn = drawn.withColumn("n_copies", F.when(F.col("_rate.mean").isNull(), 1).otherwise(count))
+    own_id = F.col(f"row.`{id_col}`").cast("string")
+    draws = F.transform(F.sequence(F.lit(1), F.col("rate.draws")), lambda j: uniform(F.lit(str(seed)), own_id, j.cast("string")))
+    count = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("rate.steps", lambda c: u >= c)))
+    drawn = drawn.select("row", F.when(F.col("rate.mean").isNull(), 1).otherwise(count).alias("n_copies"))
     copies = drawn.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    key = F.md5(F.concat_ws(":", F.lit(f"{seed} order"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col("copy").cast("string")))
-    return copies.withColumn("shuffle_key", key).select(*docs.columns, "copy", "n_copies", "shuffle_key").orderBy("shuffle_key")
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed} order"), F.coalesce(own_id, F.lit("null")), F.col("copy").cast("string")))
+    return copies.select("row.*", "copy", "n_copies", key.alias("shuffle_key")).orderBy("shuffle_key")

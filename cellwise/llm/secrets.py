@@ -1,8 +1,9 @@
 """Secret scans with a ledger: each distinct text is scanned once for each version of a rule.
 
 A text's address is the SHA-256 of its bytes.  The ledger, a Parquet folder, holds what
-each rule found in each address; a scan looks only at pairs of address and rule that
-are not in it, adds them, and joins the findings back to all rows with the address.
+each version of a rule found in each address; a scan looks only at pairs of address and rule that
+are not in it, adds them, and joins the findings of the versions asked for back to all
+rows with the address.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql.window import Window
 
 from cellwise.llm.expressions import let
 
-LEDGER = "blob string, rules array<string>, spans array<struct<kind:string,start:bigint,end:bigint>>"
+LEDGER = "blob string, rules array<string>, spans array<struct<rule:string,start:bigint,end:bigint>>"
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,7 @@ def _pieces(rule: Rule) -> Column:
     def put(before):
         def one(x, i):
             good = (x["g"] >= rule.least).alias("good")
-            return F.struct(F.lit(rule.kind).alias("kind"), i.alias("i"), F.length(F.get(before, i)).alias("gap"), x["m"].alias("m"), good)
+            return F.struct(F.lit(rule.name).alias("rule"), i.alias("i"), F.length(F.get(before, i)).alias("gap"), x["m"].alias("m"), good)
 
         return F.transform(both, one)
 
@@ -74,16 +75,16 @@ def _first_look(rule: Rule) -> str:
 
 def scan(texts: DataFrame, rules: list[Rule]) -> DataFrame:
     """``blob, spans``: what the rules in column ``rules`` find in ``text``; only blobs with a finding."""
-    none = F.array().cast("array<struct<kind:string,i:int,gap:int,m:int,good:boolean>>")
+    none = F.array().cast("array<struct<rule:string,i:int,gap:int,m:int,good:boolean>>")
     looked = [
         F.when(F.array_contains("rules", r.name) & F.col("text").rlike(_first_look(r)), _pieces(r)).otherwise(none) for r in rules
     ]
     each = texts.select("blob", F.explode(F.concat(*looked)).alias("x")).select("blob", "x.*")
-    so_far = Window.partitionBy("blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     each = each.withColumn("end", F.sum((F.col("gap") + F.col("m")).cast("bigint")).over(so_far)).where("good")
-    order = F.array_position(F.array(*[F.lit(r.kind) for r in rules]), F.col("kind"))
-    span = F.struct((F.col("end") - F.col("m")).alias("start"), order.alias("order"), "kind", "end")
-    spans = F.transform(F.array_sort(F.collect_list(span)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    order = F.array_position(F.array(*[F.lit(r.name) for r in rules]), F.col("rule"))
+    span = F.struct((F.col("end") - F.col("m")).alias("start"), order.alias("order"), "rule", "end")
+    spans = F.transform(F.array_sort(F.collect_list(span)), lambda s: F.struct(s["rule"].alias("rule"), s["start"].alias("start"), s["end"].alias("end")))
     return each.groupBy("blob").agg(spans.alias("spans"))
 
 
@@ -92,9 +93,11 @@ def address(text_col: str) -> Column:
     return F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
 
 
-def leaking_blobs(spark, ledger_path: str) -> DataFrame:
-    """Addresses, each once, in which a rule found something."""
-    return read_ledger(spark, ledger_path).where(F.size("spans") > 0).select("blob").distinct()
+def leaking_blobs(spark, ledger_path: str, rules: list[Rule] = RULES) -> DataFrame:
+    """Addresses, each once, in which one of the rules, in its version, found something."""
+    names = [r.name for r in rules]
+    hit = F.exists("spans", lambda s: s["rule"].isin(names))
+    return read_ledger(spark, ledger_path).where(hit).select("blob").distinct()
 
 
 def read_ledger(spark, path: str) -> DataFrame:
@@ -122,21 +125,23 @@ def update_ledger(docs: DataFrame, ledger_path: str, text_col: str = "text", rul
     found = scan(todo, rules)
     fresh = docs.select(address(text_col).alias("blob")).distinct().join(seen.hint("merge"), "blob", "left")
     fresh = fresh.withColumn("rules", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))).where(F.size("rules") > 0)
-    rows = fresh.join(found.hint("merge"), "blob", "left").select("blob", "rules", F.coalesce("spans", F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")).alias("spans"))
+    rows = fresh.join(found.hint("merge"), "blob", "left").select("blob", "rules", F.coalesce("spans", F.array().cast("array<struct<rule:string,start:bigint,end:bigint>>")).alias("spans"))
     rows.write.mode("append").parquet(ledger_path)
 
 
 def findings(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] = RULES) -> DataFrame:
     """``id, spans`` of every row: all spans of its text by start, then kind in the order of ``rules``.
 
-    Start and end are code points, the end exclusive.  Repeated rows and null ids are
-    kept; null and empty texts have no span.
+    Only findings of the given versions count.  Start and end are code points, the end
+    exclusive.  Repeated rows and null ids are kept; null and empty texts have no span;
+    an empty table gives no rows; other columns are not read.
     """
-    kinds = [r.kind for r in rules]
     held = read_ledger(docs.sparkSession, ledger_path)
-    order = F.array(*[F.lit(k) for k in kinds])
-    each = held.select("blob", F.explode("spans").alias("s")).select("blob", "s.*").where(F.col("kind").isin(kinds)).distinct()
-    span = F.struct("start", F.array_position(order, F.col("kind")).alias("order"), "kind", "end")
+    names = F.array(*[F.lit(r.name) for r in rules])
+    kinds = F.array(*[F.lit(r.kind) for r in rules])
+    each = held.select("blob", F.explode("spans").alias("s")).select("blob", "s.*").where(F.col("rule").isin([r.name for r in rules])).distinct()
+    order = F.array_position(names, F.col("rule")).cast("int")
+    span = F.struct("start", order.alias("order"), F.get(kinds, order - 1).alias("kind"), "end")
     each = each.groupBy("blob").agg(F.transform(F.array_sort(F.collect_list(span)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
     rows = docs.select(F.col(id_col), address(text_col).alias("blob"))
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")

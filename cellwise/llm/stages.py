@@ -29,7 +29,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows are judged by id and text, never by id alone: rows of one id and different texts stay
     if they are not linked, and so does a row of null id that has no partner.  Of rows of
-    the smallest id of a component one is kept.  Documents without words are kept as they are.
+    the smallest id of a component one is kept; of rows with equal id and text, the one whose
+    columns have the smallest hash.  A text stands for itself by a 64-bit hash.  Documents without words are kept as they are.
     """
     marked = _with_row(docs).withColumn("mark", F.xxhash64("text"))
     keyed = marked.select(F.struct("doc_id", "mark").alias("key"), "text")
@@ -40,7 +41,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     has_words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     found = marked.where(has_words).join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("own")))
     once = found.where("times = 1").select("row.*")
-    again = found.where("times > 1").dropDuplicates(["id", "own"]).select("row.*")
+    again = found.where("times > 1").groupBy("id", "own").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
     return once.unionByName(again).unionByName(marked.where(~has_words).select("row.*"))
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cellwise.llm import contamination, graph, htmltext, jaccard, mixture, quality, queries, repeats, secrets, stages, toxicity, urlfilter, warc
+from cellwise.llm import contamination, graph, htmltext, jaccard, mixture, quality, queries, repeats, secrets, stages, textgrid, toxicity, urlfilter, warc
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -367,3 +367,83 @@ def test_queries_match_sql(spark, name):
     got = queries.QUERIES[name](spark, SF).select(*columns).collect()
     rows = con.sql(queries.ORACLE[name]).select(*[duckdb.ColumnExpression(c) for c in columns]).fetchall()
     assert collections.Counter(map(tuple, got)) == collections.Counter(rows)
+
+
+def test_blocks_of_text_stay_small():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    texts = pa.array([" ".join(f"w{k}" for k in rng.integers(0, 5000, 60_000)) for _ in range(3)] + ["ab cd " * 400] * 300)
+    for f, limit in ((repeats.samples, 80e6), (toxicity.features, 40e6)):
+        tracemalloc.start()
+        for _, data, offsets in textgrid.blocks(texts):
+            f(data, offsets)
+        assert tracemalloc.get_traced_memory()[1] < limit
+        tracemalloc.stop()
+
+
+def test_findings_are_those_of_the_version_asked_for(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "f" * 30), (2, "a" * 44), (3, "none")], "doc_id bigint, text string")
+    ledger = str(tmp_path / "ledger")
+    secrets.update_ledger(docs, ledger)
+    strict = [secrets.Rule("hex", r"[0-9a-f]+", 40, version=2)]
+    secrets.update_ledger(docs, ledger, rules=strict)
+
+    def found(rules):
+        return {r["doc_id"]: r["s"] for r in secrets.findings(docs, ledger, rules=rules).select("doc_id", secrets.listed(F.col("spans")).alias("s")).collect()}
+
+    assert found(strict) == {1: "", 2: "hex:0:44", 3: ""}
+    assert found(secrets.RULES) == {1: "hex:0:30", 2: "hex:0:44", 3: ""}
+    assert secrets.leaking_blobs(spark, ledger, strict).count() == 1 and secrets.leaking_blobs(spark, ledger).count() == 2
+
+
+def test_columns_that_clash_and_empty_tables(spark, odd, empty, tmp_path):
+    names = "_rate _source rate row mean draws steps key mark id own times blob rules spans score offending n sig class n_words n_hit items token stretch copies"
+    wide = odd
+    for name in names.split():
+        wide = wide.withColumn(name, F.lit(1))
+    plain, more = mixture.mix(odd), mixture.mix(wide)
+    assert collections.Counter(map(str, more.select(*plain.columns).collect())) == collections.Counter(map(str, plain.collect()))
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet").withColumn("n_hit", F.lit(1)).withColumn("token", F.lit(1))
+    assert repeats.remove_repeats(wide).count() == odd.count()
+    assert contamination.find_contamination(wide, benchmark).count() == odd.count()
+    assert jaccard.jaccard_components(wide).count() == odd.count()
+    ledger = str(tmp_path / "ledger")
+    secrets.update_ledger(wide, ledger)
+    assert secrets.findings(wide, ledger).count() == odd.count()
+    assert quality.judge(wide, []).count() == odd.count()
+    kept, kept_wide = odd, wide
+    for stage in (stages.reject_toxic, stages.drop_near_duplicates, stages.drop_contaminated, stages.drop_secrets):
+        kept, kept_wide = stage(spark, kept, SF), stage(spark, kept_wide, SF)
+        assert kept_wide.columns == wide.columns
+        assert sorted(str(r["text"]) for r in kept_wide.collect()) == sorted(str(r["text"]) for r in kept.collect())
+        assert stage(spark, empty, SF).count() == 0
+    assert stages.mix_sources(spark, empty, SF).count() == 0
+    pages = spark.createDataFrame([(1, "http://a/", "<article>x</article>", 1, 1)], "page_id bigint, url string, html string, begin int, text int")
+    assert [r["text"] for r in htmltext.main_text(pages).collect()] == ["x"]
+    assert htmltext.main_text(pages.limit(0)).count() == 0
+    assert urlfilter.filter_urls(pages.withColumn("host", F.lit(1)), pages.limit(0)).count() == 1
+    assert urlfilter.filter_urls(pages.limit(0), pages.limit(0)).count() == 0
+
+
+def test_odd_markup():
+    text = htmltext._article
+    assert text(htmltext.blocks_of("<article>a<![foo[ b]]>c<![ x</article>")) == ["ac"] or text(htmltext.blocks_of("<article>a<![foo[ b]]>c<![ x>d</article>")) == ["acd"]
+    for bad in ("<![", "<![x", "<![CDATA[x]]>", "<!x", "<![if IE]>y<![endif]>"):
+        htmltext.blocks_of(f"<article>a{bad}")
+    import time
+
+    started = time.perf_counter()
+    htmltext.blocks_of("<b>" * 20_000 + "<br>" * 20_000 + "</i>" * 20_000 + "<article>" * 2_000)
+    assert time.perf_counter() - started < 5
+    for name in ("ad-break-free story", "share-price", "header-image-story"):
+        assert text(htmltext.blocks_of(f"<article><div class='{name}'>kept</div></article>")) == ["kept"], name
+    for name in ("ad", "ad-slot-2", "site_footer", "x comments-list", "cookie-banner"):
+        assert text(htmltext.blocks_of(f"<article>kept<div id='{name}'>gone</div></article>")) == ["kept"], name
+
+
+def test_of_equal_rows_one_stays_in_any_partitioning(spark):
+    rows = [(1, "a b c d e f g", None, f"s{k}", k) for k in range(9)]
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = {stages.drop_near_duplicates(spark, docs.repartition(n, "n_chars"), SF).first()["source"] for n in (1, 4, 9)}
+    assert len(kept) == 1
