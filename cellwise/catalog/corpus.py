@@ -225,7 +225,10 @@ ORACLE = {
     "label_summary": f"with {Y}, {LAB} " + _summary("n_labels", "lab"),
     "labels_histogram": f"with {Y}, {LAB} select value, count(n_labels) as n from"
     " (select unnest(range((select max(n_labels) from lab) + 1)) as value) left join lab on n_labels = value group by all",
-    "rows_per_category": f"with {T}, {CAT} select term, n from cat",
+    "rows_per_category": "with tok as (select distinct doc_id, lower(raw) as term from (select doc_id,"
+    r" unnest(string_split_regex(text, '[^\p{L}\p{N}]+')) as raw from documents) where raw <> ''),"
+    " df as (select term, count(*) as df from tok group by term)"
+    " select term, case when df < (select count(*) from documents) then df else 0 end as n from df",
     "category_summary": f"with {T}, {CAT} " + _summary("n", "cat", False),
     "top_categories": f"with {T}, {CAT} select (row_number() over (order by n desc, term))::int as rank, term, n"
     " from cat order by n desc, term limit 15",

@@ -8,8 +8,10 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as contract
+from cellwise.catalog import corpus, dense, tables
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES = {**dense.QUERIES, **tables.QUERIES, **corpus.QUERIES}
+ORACLE = {**dense.ORACLE, **tables.ORACLE, **corpus.ORACLE}
 WITHOUT_SQL = {"reduce_candidates", "sweep", "iteration_log"}
 
 
@@ -34,6 +36,7 @@ def canonical(rows):
 def test_only_library_backed_queries_lack_sql():
     assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
     assert set(ORACLE) <= set(QUERIES)
+    assert QUERIES.items() <= contract.queries().items() and ORACLE.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
