@@ -119,3 +119,43 @@ def _all() -> dict[str, str]:
 
 
 ORACLE: dict[str, str] = _all()
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Integer k-means by parts, one round after the other."""
+    steps = [
+        "k as materialized (select vec_id, label, list_transform(embedding, lambda x: floor(4096*x::double)::bigint) as x from embeddings"
+        " where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)",
+        "p as materialized (select vec_id, part, list_slice(x, part*(len(x)//8) + 1, (part + 1)*(len(x)//8)) as v from k, range(8) t(part))",
+        "b0 as materialized (select part, row_number() over (partition by part order by vec_id) - 1 as e, v from p"
+        " where vec_id in (select vec_id from k order by vec_id limit 16))",
+    ]
+    for r in range(rounds + 1):
+        distance = "list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2])*(z[1] - z[2])))::bigint"
+        steps.append(f"d{r} as (select vec_id, p.part, p.v, b.e, {distance} as d from p join b{r} b on p.part = b.part)")
+        steps.append(f"a{r} as materialized (select vec_id, part, any_value(v) as v, arg_min(e, (d, e)) as e, min(d) as d from d{r} group by vec_id, part)")
+        if r < rounds:
+            steps.append(f"m{r} as (select part, e, pos, floor(sum(x)::double/count(*))::bigint as x from (select part, e, unnest(v) as x, unnest(range(len(v))) as pos from a{r}) group by all)")
+            steps.append(f"n{r} as (select part, e, list(x order by pos) as v from m{r} group by part, e)")
+            steps.append(f"b{r + 1} as materialized (select b.part, b.e, coalesce(n.v, b.v) as v from b{r} b left join n{r} n on n.part = b.part and n.e = b.e)")
+    steps.append(f"c as (select vec_id, string_agg(format('{{:02x}}', e), '' order by part) as code, sum(d)::bigint as error from a{rounds} group by vec_id)")
+    steps.append(f"h as (select sha256(string_agg(x::varchar, ',' order by part, e, pos)) as codebooks_sha256 from (select part, e, unnest(v) as x, unnest(range(len(v))) as pos from b{rounds}))")
+    return (
+        f"with {', '.join(steps)} select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256"
+        " from c join k using (vec_id), h"
+    )
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLE["op11_vector_codes"] = _codes_sql()
+ORACLE["op13_lexical_search"] = (
+    f"with q as (select item_id, unnest({_TERMS}) as term from benchmark), d as (select doc_id, unnest({_TERMS}) as term from documents),"
+    " n as (select doc_id, count(*) as n from d group by doc_id), s as (select count(*) as docs, sum(n)::bigint as words from n),"
+    " tf as (select doc_id, term, count(*) as tf from d where term in (select term from q) group by all),"
+    " w as (select term, floor(1000*ln((2*docs + 2)/(2*count(*) + 1)))::bigint as w from tf, s group by term, docs),"
+    " sc as (select item_id, doc_id, sum(w*((1000000000*tf)//(1000*tf + 8*(25 + (75*n*docs)//words))))::bigint as score"
+    " from q join tf using (term) join w using (term) join n using (doc_id), s group by item_id, doc_id)"
+    " select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score from sc where score > 0"
+    " qualify rank <= 10"
+)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwise.llm import contamination, htmltext, jaccard, mixture, quality, repeats, secrets, toxicity, urlfilter, warc
+from cellwise.llm import bpe, codebooks, contamination, htmltext, jaccard, lexical, mixture, quality, repeats, secrets, toxicity, urlfilter, warc
 from cellwise.llm.oracle import ORACLE as ORACLE
 from cellwise.session import ensure_checkpoint_dir
 
@@ -105,6 +105,30 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors: eight parts, sixteen entries, six rounds."""
+    codes, books = codebooks.compress(_table(spark, sf_dir, "embeddings"))
+    known = F.lit(books.sha256() if books else None).cast("string")
+    found = codebooks.with_label_errors(codes)
+    return found.select(F.col("id").alias("vec_id"), "code", "error", "label_error", known.alias("codebooks_sha256"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in ids of the public vocabulary for many languages, and back."""
+    import public_tokenizers
+
+    shared = bpe.share(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), shared, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, shared).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return lexical.search(lexical.build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_strings": op1_repeated_strings,
     "op2_warc": op2_warc,
@@ -116,4 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_secrets": op9_secrets,
     "op10_html_text": op10_html_text,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_lexical_search": op13_lexical_search,
 }

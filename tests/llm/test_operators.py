@@ -360,7 +360,7 @@ def test_queries_match_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.sql(queries.ORACLE[name])
     columns = sorted(want.columns)
