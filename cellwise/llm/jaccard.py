@@ -20,10 +20,8 @@ each such shingle.  The order puts shingles of many documents last.
                       only under the first shingle that two sets share
 5. verification on whole sets, connected components
 
-Steps 4 and 5 run twice: first with the strongest pairs that could connect the components
-of a leaf, fewer than its sets; then with all pairs that are still in doubt.  No step lists the
-pairs of a group: copies are one point, and a family that is connected is not compared
-with itself.
+No step lists the pairs of a group: copies are one point, and a family that the first
+links have connected is not compared with itself.
 """
 
 from __future__ import annotations
@@ -338,13 +336,12 @@ def _box_pairs(percent: int, batches):
         yield pa.record_batch({k: batch.column(k).filter(good) for k in ("token", "leaf", "leaf2")})
 
 
-def _leaf_pairs(percent: int, forest: bool, batches):
+def _leaf_pairs(percent: int, batches):
     """Rows sorted by cell: pairs of points of different components whose bound allows a link.
 
     Compares each row with the one ``step`` rows on, for all cells of a batch at once.
     A cell that goes on in the next batch is held back; it has two leaves at most.
-    A pair is given under the first shingle of its sets only, and with ``forest`` only
-    if no stronger pairs of the cell connect its components.
+    A pair is given only under the first shingle that both sets have.
     """
     rest = None
     for batch in _with_end(batches):
@@ -362,7 +359,6 @@ def _leaf_pairs(percent: int, forest: bool, batches):
         columns = ("cell", "sig", "root", "n", "leaf", "home", "token")
         cell, sig, root, n, side, home, token = (part.column(c).to_numpy(zero_copy_only=False) for c in columns)
         point, owned = _stacked(part.column("point")), _Owned(part.column("owned"), token)
-        found, waiting, joined = [], 0, {}
         step, last = 1, np.flatnonzero(np.concatenate([cell[1:] != cell[:-1], [True]]))
         size = int(np.diff(np.concatenate([[-1], last])).max())
         while step < size:
@@ -375,24 +371,11 @@ def _leaf_pairs(percent: int, forest: bool, batches):
             step += 1
             if not len(i):
                 continue
-            over = _bound(point[i], point[j], np.minimum(n[i], n[j])) - needed_overlap(n[i], n[j], percent)
-            near = owned.first(i, j, over >= 0)
-            i, j, over = i[near], j[near], over[near]
-            if forest:
-                found.append((over, i, j))
-                waiting += len(i)
-                if waiting > 100_000 or step == size:
-                    keep = _strongest(found, cell, root, joined)
-                    found, waiting = [], 0
-                    i, j = keep[:, 0], keep[:, 1]
-                else:
-                    continue
+            good = _bound(point[i], point[j], np.minimum(n[i], n[j])) >= needed_overlap(n[i], n[j], percent)
+            near = owned.first(i, j, good)
+            i, j = i[near], j[near]
             if len(i):
                 yield pa.record_batch({"a": np.minimum(sig[i], sig[j]), "b": np.maximum(sig[i], sig[j])})
-        if waiting:
-            keep = _strongest(found, cell, root, joined)
-            i, j = keep[:, 0], keep[:, 1]
-            yield pa.record_batch({"a": np.minimum(sig[i], sig[j]), "b": np.maximum(sig[i], sig[j])})
 
 
 class _Owned:
@@ -414,38 +397,18 @@ class _Owned:
         return at[np.array(keep, bool)]
 
 
-def _strongest(found: list, cell: np.ndarray, root: np.ndarray, joined: dict) -> np.ndarray:
-    """Pairs by falling strength that connect components of a cell that none before has connected."""
-    over, i, j = (np.concatenate(c) for c in zip(*found, strict=True))
-    order = np.argsort(-over, kind="stable")
-
-    def top(node):
-        while joined.get(node, node) != node:
-            node = joined[node] = joined.get(joined[node], joined[node])
-        return node
-
-    keep = []
-    for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
-        a, b = top((cell[x], root[x])), top((cell[x], root[y]))
-        if a != b:
-            joined[a] = b
-            keep.append((x, y))
-    return np.array(keep, np.int64).reshape(-1, 2)
-
-
 def _with_end(batches):
     yield from batches
     yield None
 
 
-def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percent: int = PERCENT, forest: bool = False) -> DataFrame:
+def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs ``a, b`` that share a shingle, of different components, that the points can't rule out; each once.
 
     The points of a shingle are cut into leaves of ``LEAF``, ordered by component and
     size; leaves get boxes (upper corner, size range), and pairs of leaves that pass
     the bound become cells.  A shingle whose sets are all connected is left out, and one
-    of up to three sets, all pairs of which the first links have tried.  ``forest``: only
-    pairs that connect components of a cell, the strongest first.
+    of up to three sets, all pairs of which the first links have tried.
     """
     rows = grouped.select("token", "sig", "n").join(roots.hint("merge"), F.col("sig") == F.col("node"), "left")
     rows = rows.select("token", "sig", "n", F.coalesce("root", "sig").alias("root"))
@@ -470,7 +433,7 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
     at_home = rows.withColumns({"cell": F.xxhash64("token", "leaf"), "home": F.lit(True)}).select(*columns)
     across = rows.join(apart, ["token", "leaf"]).withColumn("home", F.lit(False)).select(*columns)
     cells = at_home.union(across).repartition("cell").sortWithinPartitions("cell", "leaf", "root", "n", "sig")
-    return cells.mapInArrow(partial(_leaf_pairs, percent, forest), "a bigint, b bigint")
+    return cells.mapInArrow(partial(_leaf_pairs, percent), "a bigint, b bigint")
 
 
 def set_classes(docs: DataFrame, id_col: str, text_col: str, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
@@ -484,11 +447,8 @@ def set_classes(docs: DataFrame, id_col: str, text_col: str, percent: int = PERC
     texts = cut_lineage(packed_texts(docs, text_col, grouped.select("sig").distinct(), width))
     tried = cut_lineage(within_bound(neighbours(grouped, percent), point_of, percent))
     roots = components(verified(tried, texts, percent, width))
-    for forest in (True, False):
-        met = cut_lineage(tree_pairs(grouped, point_of, roots, percent, forest).join(tried.hint("merge"), ["a", "b"], "left_anti"))
-        more = verified(met, texts, percent, width)
-        roots = components(roots.toDF("a", "b").union(more))
-        tried = tried.union(met)
+    met = tree_pairs(grouped, point_of, roots, percent).join(tried.hint("merge"), ["a", "b"], "left_anti")
+    roots = components(roots.toDF("a", "b").union(verified(met, texts, percent, width)))
     return sized.join(roots, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("class"))
 
 

@@ -12,16 +12,21 @@ from cellwise.session import cut_lineage, ensure_checkpoint_dir
 
 
 def _with_row(docs: DataFrame) -> DataFrame:
-    """``doc_id, text`` and the whole row as ``row``, so that no column can clash with what an operator adds."""
-    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    """``doc_id, text`` and the other columns as ``row``, so that none can clash with what an operator adds."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+
+
+def _rows_of(marked: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, each text carried once."""
+    return marked.select(*["text" if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below a half; null and empty texts are kept."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out())
     model = toxicity.train(docs, labels, "doc_id", "text", "toxic")
-    scored = toxicity.score(_with_row(docs), model, keep=("row",))
-    return scored.where("score < 0.5").select("row.*")
+    scored = toxicity.score(_with_row(docs), model, keep=("row", "text"))
+    return _rows_of(scored.where("score < 0.5"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,16 +45,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kept = cut_lineage(counted.groupBy("class").agg(least).select(F.col("x.key.doc_id").alias("id"), F.col("x.key.mark").alias("own"), "x.times"))
     has_words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     found = marked.where(has_words).join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("own")))
-    once = found.where("times = 1").select("row.*")
-    again = found.where("times > 1").groupBy("id", "own").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
-    return once.unionByName(again).unionByName(marked.where(~has_words).select("row.*"))
+    once = found.where("times = 1").select("text", "row")
+    again = found.where("times > 1").groupBy("id", "own").agg(F.any_value("text").alias("text"), F.min_by("row", F.xxhash64("row")).alias("row")).select("text", "row")
+    return _rows_of(once.unionByName(again).unionByName(marked.where(~has_words).select("text", "row")), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lie in benchmark windows."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = contamination.find_contamination(_with_row(docs), benchmark, keep=("row",))
-    return found.where(~contamination.is_contaminated()).select("row.*")
+    found = contamination.find_contamination(_with_row(docs), benchmark, keep=("row", "text"))
+    return _rows_of(found.where(~contamination.is_contaminated()), docs)
 
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +62,8 @@ def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     ledger = f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
     secrets.update_ledger(docs, ledger)
     leaking = secrets.leaking_blobs(spark, ledger)
-    marked = _with_row(docs).select(secrets.address("text").alias("blob"), "row")
-    return marked.join(leaking.hint("merge"), "blob", "left_anti").select("row.*")
+    marked = _with_row(docs).select(secrets.address("text").alias("blob"), "text", "row")
+    return _rows_of(marked.join(leaking.hint("merge"), "blob", "left_anti"), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
