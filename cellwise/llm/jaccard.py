@@ -414,25 +414,27 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
     rows = rows.select("token", "sig", "n", F.coalesce("root", "sig").alias("root"))
     mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
     mixed = mixed.where("lo <> hi and c > 3").select("token")
-    rows = rows.join(mixed.hint("merge"), "token").join(point_of.select("sig", "point").hint("merge"), "sig")
-    owned = rows.groupBy("sig").agg(F.collect_list("token").alias("owned"))
-    rows = rows.join(owned.hint("merge"), "sig")
+    rows = rows.join(mixed.hint("merge"), "token")
     rank = F.row_number().over(Window.partitionBy("token").orderBy("root", "n", "sig"))
     rows = cut_lineage(rows.withColumn("leaf", ((rank - 1) / LEAF).cast("int")))
+    owned = rows.groupBy("sig").agg(F.collect_list("token").alias("owned"))
+    known = cut_lineage(point_of.select("sig", "point").join(owned.hint("merge"), "sig"))
     split = rows.where("leaf > 0").select("token").distinct()
     box_kind = "token bigint, leaf int, least bigint, most bigint, one bigint, corner binary"
-    boxes = rows.join(split, "token").select("token", "leaf", "n", "root", "point").groupBy("token", "leaf").applyInPandas(_boxes, box_kind)
-    boxes = cut_lineage(boxes)
+    boxes = rows.join(split, "token").join(known.select("sig", "point").hint("merge"), "sig")
+    boxes = cut_lineage(boxes.select("token", "leaf", "n", "root", "point").groupBy("token", "leaf").applyInPandas(_boxes, box_kind))
     other = boxes.select("token", *[F.col(c).alias(f"{c}2") for c in ("leaf", "least", "most", "one", "corner")])
     met = boxes.join(other, "token").where(
         f"leaf < leaf2 and 100 * most >= {percent} * least2 and 100 * most2 >= {percent} * least and not (one <=> one2 and one is not null)"
     )
     kept = met.select("token", "leaf", "leaf2", "least", "least2", "most", "most2", "corner", "corner2").mapInArrow(partial(_box_pairs, percent), "token bigint, leaf int, leaf2 int")
     apart = kept.select("token", F.explode(F.array("leaf", "leaf2")).alias("leaf"), F.xxhash64("token", "leaf", "leaf2").alias("cell"))
-    columns = ["cell", "leaf", "sig", "root", "n", "point", "home", "token", "owned"]
+    columns = ["cell", "leaf", "sig", "root", "n", "home", "token"]
     at_home = rows.withColumns({"cell": F.xxhash64("token", "leaf"), "home": F.lit(True)}).select(*columns)
     across = rows.join(apart, ["token", "leaf"]).withColumn("home", F.lit(False)).select(*columns)
-    cells = at_home.union(across).repartition("cell").sortWithinPartitions("cell", "leaf", "root", "n", "sig")
+    # points join last and only once: they are most of a row; of the tokens, those before the row's own are asked for
+    cells = at_home.union(across).join(known.hint("merge"), "sig").withColumn("owned", F.filter("owned", lambda x: x <= F.col("token")))
+    cells = cells.repartition("cell").sortWithinPartitions("cell", "leaf", "root", "n", "sig")
     return cells.mapInArrow(partial(_leaf_pairs, percent), "a bigint, b bigint")
 
 
