@@ -7,10 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwise.catalog.dense import u_sql
+from cellwise.catalog.dense import OVERSAMPLING, SEED, u_sql
 from cellwise.operators import nearest, summarize
 from cellwise.operators.indexing import with_consecutive_index
 from cellwise.operators.sampling import sample_exact
+from cellwise.plans.config import FitConfig, SeedConfig
+from cellwise.plans.lloyd import fit_centers
+from cellwise.plans.seeding import seed_candidates
+from cellwise.plans.sparse_lloyd import long_centers
 from cellwise.session import cut_lineage, ensure_checkpoint_dir
 from cellwise.sources import profile, sparse
 from cellwise.sources.tabular import load_table, spread_small
@@ -143,24 +147,49 @@ def q_column_ids(spark, sf):
     return sparse.index_columns(terms(spark, sf))
 
 
-def q_sparse_nearest(spark, sf):
-    """Nearest of the first documents of each language, by sparse distances."""
+def _matrix(spark, sf):
+    """Term matrix by columns, its dictionary, and one sparse vector a document."""
     entries = cut_lineage(terms(spark, sf))  # read by the dictionary, the centres and the points
     dictionary = sparse.index_columns(entries)
     width = dictionary.count()
     long = sparse.with_column_ids(entries, dictionary)
-    data = sparse.sparse_rows(rows(spark, sf), long, width)
+    return long, dictionary, width, sparse.sparse_rows(rows(spark, sf), long, width)
 
+
+def _language_centers(spark, sf, long, width):
+    """The first document of each language: ``(cluster, center)``."""
     firsts = documents(spark, sf).groupBy("lang").agg(F.min("doc_id").alias("row_id"))
     numbered = with_consecutive_index(firsts, "lang").select("row_id", "idx")
     chosen = sparse.sparse_rows(numbered, long.join(numbered.select("row_id"), "row_id"), width)
-    centers = chosen.join(numbered, "row_id").select("idx", F.col("features").alias("center"))
-    near = nearest.nearest_center(data, centers)
+    return chosen.join(numbered, "row_id").select(F.col("idx").cast("int").alias("cluster"), F.col("features").alias("center"))
+
+
+def q_sparse_nearest(spark, sf):
+    """Nearest of the first documents of each language, by sparse distances."""
+    long, _, width, data = _matrix(spark, sf)
+    near = nearest.nearest_center(data, _language_centers(spark, sf, long, width), index_col="cluster")
     return near.select(
         F.col("row_id").alias("doc_id"), F.col("idx").alias("cluster"), F.round("d2", 6).alias("d2")
     )
 
 
+def q_sparse_seed_candidates(spark, sf):
+    """Two rounds of seeding over all documents, each a sparse vector."""
+    _, _, _, data = _matrix(spark, sf)
+    data = cut_lineage(data.withColumnRenamed("row_id", "point_id"))  # read in every round
+    seeding = seed_candidates(data, SeedConfig(OVERSAMPLING, 2, seed=SEED, rng="md5"))
+    seeding.release()
+    return seeding.candidates.select("idx", F.col("point_id").alias("doc_id"), "round", "weight")
+
+
+def q_sparse_lloyd_1(spark, sf):
+    """One Lloyd iteration over all documents from the first one of each language."""
+    long, dictionary, width, data = _matrix(spark, sf)
+    model = fit_centers(data, _language_centers(spark, sf, long, width), FitConfig(1, 0.0))
+    found = long_centers(model.centers).join(dictionary, "col_id")
+    return found.select("cluster", "term", F.round("value", 9).alias("value"))
+
+
 T = (
     "tok as (select doc_id as row_id, lower(raw) as term from (select doc_id,"
     r" unnest(string_split_regex(text, '[^\p{L}\p{N}]+')) as raw from documents) where raw <> ''),"
@@ -207,6 +236,52 @@ def _histogram(column: str, table: str) -> str:
     )
 
 
+# Documents and their nearest of the first documents of each language.
+NEAR = (
+    "f as (select (row_number() over (order by lang) - 1)::int as cluster, row_id from"
+    " (select lang, min(doc_id) as row_id from documents group by lang)),"
+    " n as (select r.row_id, coalesce(sum(value*value), 0) as s from r left join t using (row_id) group by all),"
+    " dots as (select f.cluster, t.row_id, sum(t.value*c.value) as dot from t join t c using (term)"
+    " join f on f.row_id = c.row_id group by all),"
+    " pairs as (select n.row_id as doc_id, f.cluster, greatest(0.0, n.s - 2*coalesce(dot, 0) + cn.s) as d2"
+    " from n cross join f join n cn on cn.row_id = f.row_id left join dots on dots.cluster = f.cluster"
+    " and dots.row_id = n.row_id),"
+    " a as materialized (select doc_id, arg_min(cluster, (round(d2, 9), cluster)) as cluster, min(d2) as d2 from pairs group by doc_id)"
+)
+
+
+def _stored(ctes: str) -> str:
+    """The term matrix computed once."""
+    return ctes.replace(" t as (", " t as materialized (")
+
+
+def _sparse_seeding_sql(rounds: int) -> str:
+    """CTEs ``st0..stN`` (state) and ``candN`` over the long form; distances by dot products, equal to nine digits."""
+    near = (
+        "(select n.row_id, w.idx, round(greatest(0.0, n.s - 2*coalesce(dot, 0) + cn.s), 12) as d2 from n cross join {new} w"
+        " join n cn on cn.row_id = w.row_id left join (select w.idx, t.row_id, sum(t.value*c.value) as dot from {new} w"
+        " join t c on c.row_id = w.row_id join t on t.term = c.term group by all) d on d.idx = w.idx and d.row_id = n.row_id)"
+    )
+    ctes = [
+        "n as materialized (select r.row_id, coalesce(sum(value*value), 0) as s from r left join t using (row_id) group by all)",
+        f"new0 as materialized (select 0::int as idx, row_id, 0::int as round from r order by {u_sql(0, 'row_id')}, row_id limit 1)",
+        "cand0 as (select * from new0)",
+        "st0 as materialized (select row_id, d2, idx from " + near.format(new="new0") + ")",
+    ]
+    for t in range(1, rounds + 1):
+        p = t - 1
+        ctes += [
+            f"cost{t} as (select sum(d2) as cost from st{p})",
+            f"new{t} as materialized (select ((select count(*) from cand{p}) - 1 + row_number() over (order by row_id))::int as idx, row_id, {t}::int as round"
+            f" from st{p}, cost{t} where {u_sql(t, 'row_id')} < least(1.0, d2*{OVERSAMPLING}/cost))",
+            f"cand{t} as (select * from cand{p} union all select * from new{t})",
+            f"near{t} as (select row_id, arg_min(idx, (round(d2, 9), idx)) as idx, min(d2) as d2 from " + near.format(new=f"new{t}") + " group by row_id)",
+            f"st{t} as materialized (select s.row_id, case when round(n.d2, 9) < round(s.d2, 9) then n.d2 else s.d2 end as d2,"
+            f" case when round(n.d2, 9) < round(s.d2, 9) then n.idx else s.idx end as idx from st{p} s left join near{t} n using (row_id))",
+        ]
+    return ", ".join(ctes)
+
+
 KEY_UNIFORM = u_sql(0, "row_id||':'||term")
 ORACLE = {
     "load_sparse": f"with {T} select row_id, count(*) as nnz, round(sum(value*value), 6) as sum_squares from t group by all",
@@ -234,15 +309,12 @@ ORACLE = {
     " from cat order by n desc, term limit 15",
     "column_ids": f"with {T} select term, (row_number() over (order by term) - 1)::int as col_id"
     " from (select distinct term from t)",
-    "sparse_nearest": f"with {T}, f as (select (row_number() over (order by lang) - 1)::int as cluster, row_id from"
-    " (select lang, min(doc_id) as row_id from documents group by lang)),"
-    " n as (select r.row_id, coalesce(sum(value*value), 0) as s from r left join t using (row_id) group by all),"
-    " dots as (select f.cluster, t.row_id, sum(t.value*c.value) as dot from t join t c using (term)"
-    " join f on f.row_id = c.row_id group by all),"
-    " pairs as (select n.row_id as doc_id, f.cluster, greatest(0.0, n.s - 2*coalesce(dot, 0) + cn.s) as d2"
-    " from n cross join f join n cn on cn.row_id = f.row_id left join dots on dots.cluster = f.cluster"
-    " and dots.row_id = n.row_id)"
-    " select doc_id, arg_min(cluster, (round(d2, 9), cluster)) as cluster, round(min(d2), 6) as d2 from pairs group by doc_id",
+    "sparse_nearest": f"with {T}, {NEAR} select doc_id, cluster, round(d2, 6) as d2 from a",
+    "sparse_seed_candidates": f"with {_stored(T)}, {_sparse_seeding_sql(2)} select c.idx, c.row_id as doc_id, c.round,"
+    " coalesce(n, 0)::double as weight from cand2 c left join (select idx, count(*) as n from st2 group by idx) using (idx)",
+    "sparse_lloyd_1": f"with {_stored(T)}, {NEAR} select cluster, term, round(v/n, 9) as value from"
+    " (select cluster, term, sum(value) as v from a join t on t.row_id = a.doc_id group by all)"
+    " join (select cluster, count(*) as n from a group by cluster) using (cluster)",
 }
 
 QUERIES = {

@@ -14,7 +14,7 @@ from cellwise.operators.weights import candidate_weights, nearest_frequencies
 from cellwise.plans.config import FitConfig, SeedConfig, centers_frame, log_frame
 from cellwise.plans.estimator import ParallelKMeans
 from cellwise.plans.lloyd import fit_centers
-from cellwise.plans.reduce import reduce_candidates
+from cellwise.plans.reduce import REDUCE_ITERATIONS, reduce_candidates
 from cellwise.plans.seeding import append_candidates, sample_round, seed_candidates
 from cellwise.plans.sweep import SweepConfig, spread, sweep
 from cellwise.sources.synthetic import add_blobs
@@ -203,7 +203,7 @@ def q_kmeans_seed_candidates(spark, sf):
 def q_reduce_candidates(spark, sf):
     seeding = seeded(spark, sf, 2)
     seeding.release()
-    centers = reduce_candidates(seeding.candidates, K, SEED)
+    centers = reduce_candidates(seeding.candidates, K, SEED, "md5")
     return _long(centers_frame(spark, centers))
 
 
@@ -280,11 +280,13 @@ def q_blobs(spark, sf):
 
 # Partitions, oversampling factor and rounds of the published grid.
 GRID = [(5, 2, 5), (20, 2, 5), (100, 2, 5), (20, 5, 2), (20, 1, 1), (20, 2, 15)]
-SWEEP = tuple(SweepConfig(parts=parts, l=l, r=r) for parts, l, r in GRID)
+SWEEP = tuple(SweepConfig(parts=parts, l=l, r=r, rng="md5") for parts, l, r in GRID)
 
 
 def q_sweep(spark, sf):
-    return sweep(points(spark, sf), SWEEP)
+    """What the grid gives, without the times; too few candidates for ``k`` leave no cost."""
+    found = sweep(points(spark, sf), SWEEP)
+    return found.select("run_id", "parts", "k", "l", "r", "n_candidates", "distance_passes", F.round("cost", 6).alias("cost"), F.col("error").isNotNull().alias("failed"))
 
 
 def q_iteration_log(spark, sf):
@@ -293,7 +295,7 @@ def q_iteration_log(spark, sf):
     clusterer.fit(data, max_iter=5)
     log = clusterer.iteration_log(data)
     clusterer.release()
-    return log
+    return log.select("phase", "round", F.round("cost", 6).alias("cost"), "n_sampled", "n_candidates", F.round("shift", 6).alias("shift"))
 
 
 # --- the same in SQL -------------------------------------------------------------
@@ -323,7 +325,7 @@ def near_sql(name: str, centers: str = "c") -> str:
     )
 
 
-def seeding_sql(rounds: int) -> str:
+def seeding_sql(rounds: int, oversampling: float = OVERSAMPLING) -> str:
     """CTEs ``st0..stN`` (state), ``cand`` (all candidates) for N unrolled rounds."""
     ctes = [
         f"s0 as (select point_id, features from e order by {u_sql(0, 'point_id')}, point_id limit 1)",
@@ -336,7 +338,7 @@ def seeding_sql(rounds: int) -> str:
         ctes += [
             f"cost{t} as (select sum(d2) as cost from st{p})",
             f"smp{t} as (select point_id, features from st{p}, cost{t} where"
-            f" {u_sql(t, 'point_id')} < least(1.0, d2*{OVERSAMPLING}/cost))",
+            f" {u_sql(t, 'point_id')} < least(1.0, d2*{oversampling}/cost))",
             f"new{t} as (select ((select count(*) from cand{p}) - 1 + row_number() over"
             f" (order by point_id))::int as idx, point_id, {t}::int as round, features as center from smp{t})",
             f"cand{t} as (select * from cand{p} union all select * from new{t})",
@@ -356,6 +358,26 @@ def weights_sql(rounds: int) -> str:
     )
 
 
+def reduce_sql(k: int, iterations: int, rounds: int = 2) -> str:
+    """CTEs ``r0`` (weighted candidates), ``pick1..pickK`` (draws) and ``start`` (centres) from ``w`` and ``candN``."""
+    ctes = [f"r0 as materialized (select w.idx, w.weight, c.center, 1.0::double as d2 from w join cand{rounds} c using (idx) where weight > 0)"]
+    for j in range(k):
+        u = u_sql("reduce", f"idx||':{j}'")
+        ctes += [
+            f"pick{j} as materialized (select {j} as cluster, idx, center from r{j} where weight*d2 > 0 order by -ln(1 - {u})/(weight*d2), idx limit 1)",
+            f"r{j + 1} as materialized (select r.idx, r.weight, r.center, {'' if j == 0 else 'least(r.d2, '}{d2_sql('r.center', 'p.center')}{'' if j == 0 else ')'} as d2 from r{j} r, pick{j} p)",
+        ]
+    ctes.append("g0 as materialized (" + " union all ".join(f"select cluster, center from pick{j}" for j in range(k)) + ")")
+    for i in range(iterations):
+        ctes += [
+            f"h{i} as (select r.idx, any_value(r.center) as center, any_value(weight) as weight, arg_min(cluster, ({d2_sql('r.center', 'g.center')}, cluster)) as cluster from r0 r, g{i} g group by r.idx)",
+            f"g{i + 1} as materialized (select g.cluster, coalesce(n.center, g.center) as center from g{i} g left join (select cluster, list(v order by dim) as center from"
+            f" (select cluster, dim, sum(weight*v)/sum(weight) as v from (select cluster, weight, unnest(center) as v, generate_subscripts(center, 1) as dim from h{i}) group by cluster, dim) group by cluster) n using (cluster))",
+        ]
+    ctes.append(f"start as (select cluster::int as cluster, center from g{iterations})")
+    return ", ".join(ctes)
+
+
 def lloyd_sql(iterations: int, start: str = "c") -> str:
     """CTEs ``k0..kN`` (centres after each iteration) and ``shift1..shiftN``."""
     ctes = [f"k0 as (select cluster, center from {start})"]
@@ -380,6 +402,30 @@ def long_sql(centers: str, value: str = "value") -> str:
     )
 
 
+def log_sql(rounds: int, iterations: int) -> str:
+    """Rows of the log, from CTEs of :func:`seeding_sql` and :func:`lloyd_sql`."""
+    rows = [f"select 'seed' as phase, 0::int as round, (select sum(d2) from st0) as cost, 1::bigint as n_sampled, 1::bigint as n_candidates, null::double as shift"]
+    rows += [
+        f"select 'seed', {t}::int, (select sum(d2) from st{t}), (select count(*) from new{t}), (select count(*) from cand{t}), null" for t in range(1, rounds + 1)
+    ]
+    rows += [f"select 'lloyd', {t}::int, (select sum(d2) from a{t}), null, null, (select shift from shift{t})" for t in range(1, iterations + 1)]
+    return "select phase, round, round(cost, 6) as cost, n_sampled, n_candidates, round(shift, 6) as shift from (" + " union all ".join(rows) + ")"
+
+
+def sweep_sql() -> str:
+    """One row a configuration: candidates, passes, cost of the last centres, whether candidates were too few."""
+    rows = []
+    for run_id, c in enumerate(SWEEP):
+        passes = " + ".join(["1", *[f"(select count(*) > 0 from new{t})::int" for t in range(1, c.r + 1)]])
+        rows.append(
+            f"(with {E}, {seeding_sql(c.r, c.l)}, {weights_sql(c.r)}, {reduce_sql(c.k, REDUCE_ITERATIONS, c.r)}, {lloyd_sql(c.max_iter, 'start')}, {near_sql('fin', f'k{c.max_iter}')},"
+            f" enough as (select count(*) >= {c.k} as ok from r0) select {run_id}::int as run_id, {c.parts}::int as parts, {c.k}::int as k, {float(c.l)}::double as l, {c.r}::int as r,"
+            f" (select count(*) from cand{c.r}) as n_candidates, ({passes})::int as distance_passes, case when ok then round((select sum(d2) from fin), 6) end as cost, not ok as failed from enough)"
+        )
+    return " union all ".join(rows)
+
+
+SEEDED_SQL = f"with {E}, {seeding_sql(2)}, {weights_sql(2)}, {reduce_sql(K, REDUCE_ITERATIONS)}"
 MEANS_SQL = f"with {E}, {C}, {lloyd_sql(1)} " + long_sql("k1", "mean")
 TABLE = f"{E}, {C}, {near_sql('a')}, t as (select idx as cluster, label, count(*) as n from a group by all)"
 STATE0 = f"{E}, {seeding_sql(0)}"
@@ -427,6 +473,9 @@ ORACLE = {
     "nearest_frequencies": f"with {E}, {seeding_sql(1)} select idx, count(*) as n from st1 group by idx",
     "candidate_weights": f"with {E}, {seeding_sql(1)}, {weights_sql(1)} select idx, point_id, weight from w",
     "kmeans_seed_candidates": f"with {E}, {seeding_sql(2)}, {weights_sql(2)} select * from w",
+    "reduce_candidates": f"{SEEDED_SQL} " + long_sql("start"),
+    "sweep": sweep_sql(),
+    "iteration_log": f"{SEEDED_SQL}, {lloyd_sql(5, 'start')} " + log_sql(2, 5),
     "cluster_means": MEANS_SQL,
     "cluster_means_sql": MEANS_SQL,
     "lloyd_step_empty_cluster": f"with {E}, {C}, far as (select * from c union all select {K}::int,"

@@ -53,7 +53,7 @@ class ParallelKMeans:
         self.candidates = self._seeding.candidates
         self.min_distances = self._seeding.state.select(key, "d2")
         self.model = None
-        self.starting_centers = reduce_candidates(self.candidates, self.k, seed)
+        self.starting_centers = reduce_candidates(self.candidates, self.k, seed, rng)
         return self
 
     def fit(

@@ -19,6 +19,7 @@ from cellwise.operators.means import (
 )
 from cellwise.operators.nearest import as_matrix, nearest_center
 from cellwise.plans.config import FitConfig, KMeansModel, LogRow, centers_frame
+from cellwise.plans.sparse_lloyd import fit_sparse, is_sparse
 from cellwise.session import center_budget, cut_lineage
 
 
@@ -52,6 +53,7 @@ def fit_centers(
 ) -> KMeansModel:
     """Refine starting centres.
 
+    Sparse centres of sparse points stay sparse (:mod:`cellwise.plans.sparse_lloyd`).
     Each iteration is one pass over ``points``; cache them (or keep them in a
     columnar file) to make passes cheap.  The result is the last set of means, and
     the loop stops once the Frobenius norm of the change is below ``tol``.
@@ -62,6 +64,8 @@ def fit_centers(
         rows = bounds[0]
         if rows and tuple(bounds[1:]) != (rows, 0, rows - 1):
             raise ValueError(f"clusters must be numbered from 0 to {rows - 1}, each once")
+        if is_sparse(start, "center") and is_sparse(points, features):
+            return fit_sparse(points, start, config, features)
         dim = len(start.select("center").first()[0]) if rows else 0
         if 8 * rows * dim <= center_budget(spark):
             start = as_matrix(

@@ -27,6 +27,7 @@ class SweepConfig:
     k: int = 5
     seed: int = 42
     max_iter: int = 10
+    rng: str = "xxhash64"
 
 
 def spread(points: DataFrame, parts: int, key: str = "point_id", contiguous: bool = False) -> DataFrame:
@@ -65,7 +66,7 @@ def _run(run_id: int, workers: int, points: DataFrame, c: SweepConfig, key: str)
     started = time.perf_counter()
     cost, error = None, None
     try:
-        clusterer.seed(points, seed=c.seed, key=key)
+        clusterer.seed(points, seed=c.seed, rng=c.rng, key=key)
         clusterer.fit(points, max_iter=c.max_iter)
         elapsed = time.perf_counter() - started
         cost = clusterer.inertia(points)

@@ -12,7 +12,6 @@ from cellwise.catalog import corpus, dense, tables
 
 QUERIES = {**dense.QUERIES, **tables.QUERIES, **corpus.QUERIES}
 ORACLE = {**dense.ORACLE, **tables.ORACLE, **corpus.ORACLE}
-WITHOUT_SQL = {"reduce_candidates", "sweep", "iteration_log"}
 
 
 @pytest.fixture(scope="module")
@@ -33,9 +32,8 @@ def canonical(rows):
     return sorted(tuple(cell(v) for v in row) for row in rows)
 
 
-def test_only_library_backed_queries_lack_sql():
-    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
     assert QUERIES.items() <= contract.queries().items() and ORACLE.items() <= contract.oracle_sql().items()
 
 
@@ -52,11 +50,6 @@ def test_query_matches_sql(spark, duck, name):
     assert canonical(got) == canonical(want)
 
 
-@pytest.mark.parametrize("name", ["iteration_log", "reduce_candidates"])
-def test_queries_without_sql_give_rows(spark, name):
-    assert QUERIES[name](spark, DATA).count() > 0
-
-
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns == ["point_id", "label", "cluster"]

@@ -239,6 +239,22 @@ def test_reduction_respects_weights(spark):
     assert centers == pytest.approx([0.01, 10.0])
 
 
+def test_reduction_of_a_table_draws_the_same(spark, points, small_blocks):
+    seeding = seed_candidates(points, SeedConfig(12, 2, seed=3))
+    kept = seeding.candidates.cache()
+    near = reduce_candidates(kept, 4, seed=9, rng="md5")
+    small_blocks(8)
+    np.testing.assert_allclose(reduce_candidates(kept, 4, seed=9, rng="md5"), near, rtol=1e-12)
+    seeding.release()
+
+
+def test_reduction_of_copies_is_refused(spark):
+    rows_ = [(i, [1.0, 2.0], 1.0) for i in range(5)]
+    frame = spark.createDataFrame(rows_, "idx int, center array<double>, weight double")
+    with pytest.raises(ValueError, match="k=2 "):
+        reduce_candidates(frame, 2)
+
+
 # --- Lloyd ------------------------------------------------------------------------
 
 

@@ -87,6 +87,28 @@ def test_clustering_sparse_rows_equals_clustering_dense_rows(spark):
     clusterer.release(), a.release(), b.release()
 
 
+def test_sparse_centres_equal_dense_ones(spark, small_blocks):
+    rng = np.random.default_rng(3)
+    width, table = 300, []
+    for i in range(120):
+        cols = sorted(rng.choice(width, int(rng.integers(0, 25)), replace=False).tolist())
+        table.append((i, (0, width, cols, rng.uniform(0.1, 1, len(cols)).tolist())))
+    kind = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+    thin = spark.createDataFrame(table, f"point_id bigint, features {kind}").repartition(5).cache()
+    far = (0, width, [299], [90.0])  # attracts nothing and keeps its entries
+    start = spark.createDataFrame([*[(c, table[c + 1][1]) for c in range(4)], (4, far)], f"cluster int, center {kind}")
+    model = fit_centers(thin, start, FitConfig(4, 0.0))
+    plain = fit_centers(thin, np.stack([nearest.to_array(r["center"]) for r in start.orderBy("cluster").collect()]), FitConfig(4, 0.0))
+    sparse_found = np.stack([nearest.to_array(r["center"]) for r in model.centers.orderBy("cluster").collect()])
+    np.testing.assert_allclose(sparse_found, plain.centers, atol=1e-12)
+    assert [x.cost for x in model.log] == pytest.approx([x.cost for x in plain.log])
+    assert [x.shift for x in model.log] == pytest.approx([x.shift for x in plain.log])
+    assert len(model.centers.where("cluster = 4").first()["center"]["indices"]) == 1
+    small_blocks(8 * width)  # one centre a block
+    again = fit_centers(thin, start, FitConfig(2, 1e9))
+    assert again.converged and len(again.log) == 1
+
+
 def test_ingest_is_idempotent_and_verified(spark, corpus, tmp_path):
     rows, _, _, long, width = corpus
     labels = spark.createDataFrame([(0, 1, 0), (1, 1, 1), (3, 0, 0)], "doc_id bigint, quality int, toxic int")
