@@ -101,21 +101,21 @@ def _describe(width: int, batches):
             n = len(bounds) - 1
             vectors = points(total, bounds)
             yield pa.record_batch({
-                "doc_id": ids.slice(row, n), "sig": textgrid.as_long(signatures(total, bounds)),
+                "doc_id": ids.slice(row, n), "text_key": batch.column(2).slice(row, n), "sig": textgrid.as_long(signatures(total, bounds)),
                 "n": np.diff(bounds), "point": pa.array([v.tobytes() for v in vectors], pa.binary()),
                 "token": pa.nulls(n, pa.int64()), "docs": pa.nulls(n, pa.int64()),
             })
             token, docs = np.unique(total, return_counts=True)
             token, docs = token[docs > 1], docs[docs > 1]
-            none = {k: pa.nulls(len(token), t) for k, t in (("doc_id", ids.type), ("sig", pa.int64()), ("n", pa.int64()), ("point", pa.binary()))}
+            none = {k: pa.nulls(len(token), t) for k, t in (("doc_id", ids.type), ("text_key", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("point", pa.binary()))}
             yield pa.record_batch({**none, "token": textgrid.as_long(token), "docs": docs})
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE) -> DataFrame:
-    """Per document ``doc_id, sig, n, point``; with null ``n``, counts ``token, docs`` of repeated shingles."""
+    """Per document ``doc_id, text_key, sig, n, point``; with null ``n``, counts ``token, docs`` of repeated shingles."""
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, sig bigint, n bigint, point binary, token bigint, docs bigint"
-    return docs.select(id_col, text_col).mapInArrow(partial(_describe, width), schema)
+    schema = f"doc_id {kind}, text_key bigint, sig bigint, n bigint, point binary, token bigint, docs bigint"
+    return docs.select(id_col, text_col, F.xxhash64(text_col)).mapInArrow(partial(_describe, width), schema)
 
 
 def frequent_shingles(described: DataFrame) -> np.ndarray:
@@ -219,30 +219,29 @@ def members(docs: DataFrame, text_col: str, frequent: np.ndarray, width: int = S
     return rows.mapInArrow(_grouped, GROUPED)
 
 
-def _packed(width: int, batches):
+def _packed(batches):
     seen: set[int] = set()
     codec = pa.Codec("zstd", compression_level=1)
     for batch in batches:
-        texts = batch.column(0)
-        for row, total, bounds in sets_of(texts, width):
-            sig = textgrid.as_long(signatures(total, bounds))
-            keep = [i for i in range(len(sig)) if bounds[i + 1] > bounds[i] and sig[i] not in seen and not seen.add(sig[i])]
-            raw = [texts[row + i].as_buffer() for i in keep]
-            packed = [codec.compress(r, asbytes=True) for r in raw]
-            yield pa.record_batch({"sig": sig[keep], "size": np.array([r.size for r in raw], np.int64), "packed": pa.array(packed, pa.binary())})
-
-
-def packed_texts(docs: DataFrame, text_col: str, wanted: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """``sig, size, packed``: one compressed text of each set in ``wanted`` (distinct ``sig``)."""
-    texts = docs.select(text_col).mapInArrow(partial(_packed, width), "sig bigint, size bigint, packed binary")
-    found = texts.join(wanted.hint("merge"), "sig")
+        keep = [i for i, k in enumerate(batch.column(0).to_pylist()) if k not in seen and not seen.add(k)]
+        for at in range(0, len(keep), 1000):
+            part = batch.take(pa.array(keep[at : at + 1000], pa.int64()))
+            raw = [t.as_buffer() for t in part.column(1)]
+            packed = pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary())
+            yield pa.record_batch({"text_key": part.column(0), "size": np.array([r.size for r in raw], np.int64), "packed": packed})
+
+
+def packed_texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
+    """``sig, size, packed``: one compressed text of each set in ``wanted`` (``sig, text_key``, each once)."""
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(text_col), F.col(text_col))
+    found = texts.mapInArrow(_packed, "text_key bigint, size bigint, packed binary").join(wanted.hint("merge"), "text_key")
     return found.groupBy("sig").agg(F.any_value(F.struct("size", "packed")).alias("x")).select("sig", "x.size", "x.packed")
 
 
 def _points_of(sized: DataFrame, grouped: DataFrame) -> DataFrame:
-    """``sig, n, point`` of each set that shares a first shingle."""
-    found = sized.select("sig", "n", "point").join(grouped.select("sig").distinct().hint("merge"), "sig")
-    return found.groupBy("sig").agg(F.any_value(F.struct("n", "point")).alias("x")).select("sig", "x.*")
+    """``sig, n, point, text_key`` of each set that shares a first shingle."""
+    found = sized.select("sig", "n", "point", "text_key").join(grouped.select("sig").distinct().hint("merge"), "sig")
+    return found.groupBy("sig").agg(F.any_value(F.struct("n", "point", "text_key")).alias("x")).select("sig", "x.*")
 
 
 def neighbours(grouped: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -402,6 +401,23 @@ def _with_end(batches):
     yield None
 
 
+def _with_partners(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows whose token has a set of another component and a fitting size.
+
+    In the order of sizes, the next set of another component stands before or after the
+    run of sets of the same one.
+    """
+    order = Window.partitionBy("token").orderBy("n", "sig")
+    before, after = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
+    marked = rows.withColumns({
+        "smaller": F.when(F.lag("root").over(order) != F.col("root"), F.lag("n").over(order)),
+        "larger": F.when(F.lead("root").over(order) != F.col("root"), F.lead("n").over(order)),
+    })
+    found = marked.withColumns({"smaller": F.last("smaller", True).over(before), "larger": F.first("larger", True).over(after)})
+    fits = (100 * F.col("smaller") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("larger"))
+    return found.where(fits).drop("smaller", "larger")
+
+
 def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs ``a, b`` that share a shingle, of different components, that the points can't rule out; each once.
 
@@ -414,7 +430,7 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
     rows = rows.select("token", "sig", "n", F.coalesce("root", "sig").alias("root"))
     mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
     mixed = mixed.where("lo <> hi and c > 3").select("token")
-    rows = rows.join(mixed.hint("merge"), "token")
+    rows = _with_partners(rows.join(mixed.hint("merge"), "token"), percent)
     rank = F.row_number().over(Window.partitionBy("token").orderBy("root", "n", "sig"))
     rows = cut_lineage(rows.withColumn("leaf", ((rank - 1) / LEAF).cast("int")))
     owned = rows.groupBy("sig").agg(F.collect_list("token").alias("owned"))
@@ -446,7 +462,7 @@ def set_classes(docs: DataFrame, id_col: str, text_col: str, percent: int = PERC
     sized = described.where("n is not null")
     grouped = cut_lineage(members(docs, text_col, frequent, width, percent))
     point_of = cut_lineage(_points_of(sized, grouped))
-    texts = cut_lineage(packed_texts(docs, text_col, grouped.select("sig").distinct(), width))
+    texts = cut_lineage(packed_texts(docs, text_col, point_of.select("sig", "text_key")))
     tried = cut_lineage(within_bound(neighbours(grouped, percent), point_of, percent))
     roots = components(verified(tried, texts, percent, width))
     met = tree_pairs(grouped, point_of, roots, percent).join(tried.hint("merge"), ["a", "b"], "left_anti")
