@@ -191,14 +191,17 @@ def _nearest_sparse(points: SparseRows, side: SparseSide) -> tuple[np.ndarray, n
 def _distances_sparse(points: SparseRows, side: SparseSide) -> tuple[np.ndarray, np.ndarray]:
     """Squared distances and their rounding error; below the error they are zero.
 
-    So a point that is itself a centre has distance zero to it.
+    So a point that is itself a centre has distance zero to it.  Distances are rounded to
+    38 binary digits of the sum of both norms: centres without a column in common with a
+    point, equally far from it, stay so in whatever block or round each is compared.
     """
     point_norms = points.squared_norms()[:, None]
     d2 = point_norms - 2.0 * _sparse_products(points, side) + side.norms
     longest = int(np.diff(points.indptr).max(initial=0))
     noise = 4.0 * (longest + 4) * _EPS * (point_norms + side.norms)
     d2[d2 < noise] = 0.0
-    return d2, noise
+    step = np.ldexp(1.0, np.frexp(point_norms + side.norms)[1] - 38)
+    return np.rint(d2 / step) * step, noise
 
 
 def _row_step(points: np.ndarray | SparseRows, m: int) -> int:
