@@ -72,12 +72,15 @@ def q_dataset_profile(spark, sf):
 
 
 def q_verify_profile(spark, sf):
-    """Ingest both matrices, then compare what was stored with the stored profile."""
-    dims = _dimensions(spark, sf)
-    stored = sparse.ingest_sparse(terms(spark, sf), labels(spark, sf), _new_folder(spark), *dims)
-    paths = stored.select("x_path", "y_path").first()
-    x, y = (sparse.load_sparse(spark, path) for path in paths)
-    return profile.profile_checks(x, y, *dims, stored)
+    """Ingest both matrices with their dictionaries, then check what was stored."""
+    folder = _new_folder(spark)
+    keys = {
+        "rows": rows(spark, sf), "columns": cut_lineage(vocabulary(spark, sf).select("term")),
+        "categories": spark.range(len(LABEL_COLUMNS)).select(F.col("id").cast("int")),
+    }
+    dims = keys["rows"].count(), keys["columns"].count(), len(LABEL_COLUMNS)
+    sparse.ingest_sparse(terms(spark, sf), labels(spark, sf), folder, *dims, keys=keys)
+    return profile.verification(spark, folder)
 
 
 def q_nnz_per_row(spark, sf):
@@ -186,7 +189,7 @@ def q_sparse_lloyd_1(spark, sf):
     """One Lloyd iteration over all documents from the first one of each language."""
     long, dictionary, width, data = _matrix(spark, sf)
     model = fit_centers(data, _language_centers(spark, sf, long, width), FitConfig(1, 0.0))
-    found = long_centers(model.centers).join(dictionary, "col_id")
+    found = long_centers(model.centers_frame(spark)).join(dictionary, "col_id")
     return found.select("cluster", "term", F.round("value", 9).alias("value"))
 
 
@@ -288,7 +291,8 @@ ORACLE = {
     "dataset_profile": f"with {T}, {Y}, {PROFILE} select *, round(100.0*x_nnz/(n_samples*n_features), 3) as x_density_pct,"
     " round(100.0*y_nnz/(n_samples*n_categories), 3) as y_density_pct from p",
     "verify_profile": f"with {T}, {Y}, {PROFILE}, u as (unpivot p on columns(*) into name \"check\" value expected)"
-    ' select "check", expected, expected as actual, true as ok from u',
+    ' select "check", expected, expected as actual, true as ok from u union all'
+    " select unnest(['x_rows_changed', 'x_columns_changed', 'y_rows_changed', 'y_columns_changed']), 0::bigint, 0::bigint, true",
     "nnz_per_row": f"with {T}, {NNZ} select row_id, nnz from nnz",
     "nnz_summary": f"with {T}, {NNZ} " + _summary("nnz", "nnz"),
     "nnz_histogram": f"with {T}, {NNZ}, " + _histogram("nnz", "nnz"),

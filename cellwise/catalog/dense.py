@@ -166,10 +166,8 @@ def q_attach_state(spark, sf):
 def q_state_update(spark, sf):
     centers = fixed_centers(spark, sf)
     old = nearest.nearest_center(points(spark, sf), centers.where("cluster = 0"), index_col="cluster")
-    newer = nearest.center_blocks(
-        centers.where("cluster between 1 and 3"), nearest.center_budget(spark), "cluster"
-    )
-    state = nearest.update_nearest_blocks(old, points(spark, sf), newer)
+    newer = nearest.CenterSearch(spark, centers.where("cluster between 1 and 3"), "cluster")
+    state = newer.update(old)
     return state.select("point_id", F.round("d2", 6).alias("d2"), "idx")
 
 

@@ -42,6 +42,12 @@ class SparseRows:
             self.indptr[start : stop + 1] - lo, self.indices[lo:hi], self.values[lo:hi], self.dim
         )
 
+    def take(self, rows: np.ndarray) -> "SparseRows":
+        lengths = np.diff(self.indptr)[rows]
+        indptr = np.r_[0, np.cumsum(lengths)]
+        cells = np.arange(indptr[-1]) + np.repeat(self.indptr[rows] - indptr[:-1], lengths)
+        return SparseRows(indptr, self.indices[cells], self.values[cells], self.dim)
+
     def sum_by_row(self, per_entry: np.ndarray) -> np.ndarray:
         """Sum entries (first axis) of each row; rows without entries give zero."""
         out = np.zeros((len(self),) + per_entry.shape[1:])
@@ -124,6 +130,15 @@ def densify(points: np.ndarray | SparseRows) -> np.ndarray:
     return points.to_dense() if isinstance(points, SparseRows) else points
 
 
+def take(points: np.ndarray | SparseRows, rows: np.ndarray) -> np.ndarray | SparseRows:
+    """The rows at these positions."""
+    return points.take(rows) if isinstance(points, SparseRows) else points[rows]
+
+
+def squared_norms(points: np.ndarray | SparseRows) -> np.ndarray:
+    return points.squared_norms() if isinstance(points, SparseRows) else np.einsum("ij,ij->i", points, points)
+
+
 def _exact(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """Squared distances row by row from differences (no cancellation)."""
     diff = points - centers
@@ -272,31 +287,44 @@ def sums_batch(clusters, segments, n, cost, sums: np.ndarray) -> pa.RecordBatch:
 
 
 class MergedSums:
-    """Adds up partial-sum rows that belong together; one entry per (cluster, segment)."""
+    """Adds up partial-sum rows that belong together; one row per (cluster, segment).
+
+    Rows wait until they outnumber the keys seen, then all are sorted by key and added up at
+    once, so the cost a row does not depend on the number of keys.
+    """
+
+    _WAITING = 4096
 
     def __init__(self):
-        self.totals: dict[tuple[int, int], list] = {}
+        self.waiting: list[tuple[np.ndarray, ...]] = []
+        self.n_waiting = 0
+        self.n_keys = 0
 
     def add(self, batch: pa.RecordBatch) -> None:
         if not batch.num_rows:
             return
-        clusters, segments, n, cost = (batch.column(i).to_pylist() for i in range(4))
-        sums = _dense_rows(batch.column(4), None)
-        for i, key in enumerate(zip(clusters, segments, strict=True)):
-            total = self.totals.get(key)
-            if total is None:
-                self.totals[key] = [n[i], cost[i], sums[i].copy()]
-            else:
-                total[0] += n[i]
-                total[1] += cost[i]
-                total[2] += sums[i]
+        cluster, segment, n, cost = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        key = (cluster.astype(np.int64) << 32) | segment.astype(np.int64)
+        self.waiting.append((key, n, cost, _dense_rows(batch.column(4), None)))
+        self.n_waiting += batch.num_rows
+        if self.n_waiting > max(self._WAITING, 2 * self.n_keys):
+            self._fold()
+
+    def _fold(self) -> None:
+        key, n, cost, sums = (np.concatenate(part) for part in zip(*self.waiting, strict=True))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        added = (np.add.reduceat(part[order], starts, axis=0) for part in (n, cost, sums))
+        self.waiting = [(key[starts], *added)]
+        self.n_waiting = self.n_keys = len(starts)
 
     def drain(self):
-        if self.totals:
-            clusters, segments = zip(*self.totals, strict=True)
-            n, cost, sums = zip(*self.totals.values(), strict=True)
-            yield sums_batch(clusters, segments, n, cost, np.vstack(sums))
-        self.totals.clear()
+        if self.waiting:
+            self._fold()
+            key, n, cost, sums = self.waiting[0]
+            yield sums_batch(key >> 32, key & 0xFFFFFFFF, n, cost, sums)
+        self.__init__()
 
 
 class PartialSums:

@@ -16,6 +16,8 @@ from cellwise.session import center_budget, ship_package
 PARTIAL_SCHEMA = "cluster int, segment int, n bigint, cost double, sums array<double>"
 # Elements per partial-sum row; bounds the width of the rows that are shuffled.
 SEGMENT = 64
+# Upstream tasks whose rows meet at the first level of merging.
+FAN_IN = 512
 
 
 def partial_sums(assigned: DataFrame, features: str, cluster: str, d2: str | None = None) -> DataFrame:
@@ -68,11 +70,11 @@ def assigned_partial_sums(points: DataFrame, centers: np.ndarray, features: str)
 
 
 def merge_sums(partials: DataFrame) -> DataFrame:
-    """Merge partial sums: one row per cluster and segment.
+    """Merge partial sums in two levels: one row per cluster and segment.
 
-    Rows meet by ``(cluster, segment)`` and are added up as they stream in, so a
-    task holds one running row per key it owns.  A hot cluster contributes one
-    row per upstream task and segment, however many points it has.
+    Rows of up to ``FAN_IN`` upstream tasks meet by ``(cluster, segment)`` first, what is left of
+    them meets at the second level.  A key then gathers the square root of the number of
+    tasks or fewer rows at the end, up to ``FAN_IN`` squared tasks, however hot its cluster is.
     """
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +83,9 @@ def merge_sums(partials: DataFrame) -> DataFrame:
             merged.add(batch)
         yield from merged.drain()
 
-    return partials.repartition("cluster", "segment").mapInArrow(add_up, PARTIAL_SCHEMA)
+    lane = F.floor(F.spark_partition_id() / FAN_IN)
+    near = partials.withColumn("lane", lane).repartition("cluster", "segment", "lane").drop("lane")
+    return near.mapInArrow(add_up, PARTIAL_SCHEMA).repartition("cluster", "segment").mapInArrow(add_up, PARTIAL_SCHEMA)
 
 
 def cluster_means(
@@ -123,14 +127,15 @@ def cluster_means_sql(assigned: DataFrame, features: str = "features", cluster:
 
 def collect_sums(merged: DataFrame, k: int, dim: int) -> tuple[np.ndarray, np.ndarray, float]:
     """Sums ``k x dim``, counts and total cost on the driver (sized like the centres)."""
-    sums, counts, cost = np.zeros((k, dim)), np.zeros(k, dtype=np.int64), 0.0
-    for row in merged.collect():
-        lo = row["segment"] * min(SEGMENT, dim)
-        width = min(SEGMENT, dim, dim - lo)
-        sums[row["cluster"], lo : lo + width] = row["sums"][:width]
-        counts[row["cluster"]] += row["n"]
-        cost += row["cost"]
-    return sums, counts, cost
+    found = merged.toArrow()
+    width = min(SEGMENT, dim)
+    n_segments = -(-dim // width)
+    cluster, segment, n, cost = (found[c].to_numpy() for c in ("cluster", "segment", "n", "cost"))
+    sums = np.zeros((k, n_segments, width))
+    if found.num_rows:
+        sums[cluster, segment] = found["sums"].combine_chunks().flatten().to_numpy().reshape(-1, width)
+    counts = np.bincount(cluster, weights=n, minlength=k).astype(np.int64)
+    return sums.reshape(k, -1)[:, :dim], counts, float(cost.sum())
 
 
 def keep_empty(old: DataFrame, means: DataFrame) -> DataFrame:

@@ -1,109 +1,46 @@
 """Nearest-centre operators: points stay partitioned, only centres travel.
 
 Every operator takes centres either as a NumPy matrix or as a DataFrame
-``(idx, center)``.  Centres are broadcast in blocks whose size is checked against
-the session budget; with more than one block the points are compared with one
-block after the other, which gives the same nearest centre for any number of
-centres.
+``(idx, center)``.  Centres within the session budget are broadcast; more of them
+are written as an index of blocks, which the tasks stream one block at a time in a
+single lazy pass over the points.  Both give the same nearest centre.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from cellwise.functions import kernels
 from cellwise.functions.scalar import sampling_probability, squared_distance, vector_literal
-from cellwise.session import center_budget, cut_lineage, ship_package
+from cellwise.operators.centers import (
+    CenterBlock,
+    CenterIndex,
+    as_dense,
+    as_matrix,
+    build_index,
+    center_blocks,
+    matrix_frame,
+    numbering,
+    rows_per_block,
+    search_blocks,
+    to_array,
+    vector_length,
+)
+from cellwise.session import center_budget, ship_package
 
 NEAREST_TYPE = "struct<d2:double,idx:int>"
-
-
-@dataclass(frozen=True)
-class CenterBlock:
-    """Centres ``first, first + 1, ...`` as the rows of ``matrix``."""
-
-    first: int
-    matrix: np.ndarray
-
-
-def to_array(vector) -> np.ndarray:
-    """One collected vector (array, ML vector, or sparse struct) as float64."""
-    if hasattr(vector, "toArray"):
-        return vector.toArray()
-    if isinstance(vector, Row):
-        dense = np.zeros(vector["size"])
-        dense[list(vector["indices"])] = vector["values"]
-        return dense
-    return np.asarray(vector, dtype=np.float64)
-
-
-def as_matrix(vectors) -> np.ndarray:
-    """Stack collected vectors into a float64 matrix."""
-    return np.vstack([to_array(v) for v in vectors]).astype(np.float64)
-
-
-def _vector_length(df: DataFrame, column: str) -> int:
-    first = df.select(column).first()
-    if first is None:
-        raise ValueError("there are no centres")
-    return len(to_array(first[0]))
-
-
-def as_dense(df: DataFrame, column: str) -> Column:
-    """Any kind of vector as ``array<double>``; for centres, not for wide points."""
-    ship_package(df.sparkSession)
-
-    @arrow_udf("array<double>")
-    def dense_of(features: pa.Array) -> pa.Array:
-        if not len(features):
-            return pa.array([], pa.list_(pa.float64()))
-        matrix = kernels.densify(kernels.decode_points(features))
-        offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)))
-
-    return dense_of(F.col(column))
-
-
-def center_blocks(
-    centers: np.ndarray | DataFrame,
-    max_bytes: int,
-    index_col: str = "idx",
-    center_col: str = "center",
-) -> Iterator[CenterBlock]:
-    """Yield centres in index order, at most ``max_bytes`` of float64 at a time.
-
-    A DataFrame must number its centres ``first, first + 1, ...`` without gaps.
-    """
-    if isinstance(centers, np.ndarray):
-        rows = max(1, max_bytes // (8 * max(1, centers.shape[1])))
-        for lo in range(0, len(centers), rows):
-            yield CenterBlock(lo, np.ascontiguousarray(centers[lo : lo + rows], dtype=np.float64))
-        return
-    # centres are read three times below; keep them so that they are computed once
-    centers = centers.select(index_col, center_col).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        span = centers.agg(F.min(index_col), F.max(index_col), F.count(F.lit(1))).first()
-        first, last, n = span[0], span[1], span[2]
-        if not n:
-            raise ValueError("there are no centres")
-        if last - first + 1 != n:
-            raise ValueError(f"centre indexes must run from {first} to {last} without gaps or repeats")
-        rows = max(1, max_bytes // (8 * max(1, _vector_length(centers, center_col))))
-        for lo in range(first, last + 1, rows):
-            part = centers.where(F.col(index_col).between(lo, min(last, lo + rows - 1)))
-            found = sorted(part.collect(), key=lambda r: r[0])
-            yield CenterBlock(lo, as_matrix(r[1] for r in found))
-    finally:
-        centers.unpersist()
+# Largest batch of distances that a task hands over at once.
+_SLICE_BATCH_BYTES = 16 * 1024 * 1024
+# Largest block of centres for slices of distances.
+_SLICE_BLOCK_BYTES = 4 * 1024 * 1024
 
 
 def _broadcast(spark: SparkSession, block: CenterBlock) -> Broadcast:
@@ -126,11 +63,38 @@ def nearest_udf(shared: Broadcast):
     return nearest_of
 
 
+def _indexed_udf(index: CenterIndex):
+    """Arrow UDF ``features -> (d2, idx)`` that streams the blocks of an index."""
+
+    @arrow_udf(NEAREST_TYPE)
+    def nearest_of(features: pa.Array) -> pa.Array:
+        points = kernels.decode_points(features, index.dim)
+        d2, found, _ = search_blocks(points, index.blocks, index.read)
+        return pa.StructArray.from_arrays([pa.array(d2), pa.array(found.astype(np.int32))], ["d2", "idx"])
+
+    return nearest_of
+
+
+def _kept(frame: DataFrame) -> list[Column]:
+    return [F.col(c) for c in frame.columns if c not in ("d2", "idx")]
+
+
+def _with_found(points: DataFrame, near: Column) -> DataFrame:
+    return points.withColumn("_near", near).select(*_kept(points), F.col("_near.d2"), F.col("_near.idx"))
+
+
+def _with_closer(state: DataFrame, near: Column) -> DataFrame:
+    closer = F.col("_near.d2") < F.col("d2")
+    return state.withColumn("_near", near).select(
+        *_kept(state),
+        F.when(closer, F.col("_near.d2")).otherwise(F.col("d2")).alias("d2"),
+        F.when(closer, F.col("_near.idx")).otherwise(F.col("idx")).alias("idx"),
+    )
+
+
 def with_nearest(points: DataFrame, block: CenterBlock, features: str = "features") -> DataFrame:
     """Add ``d2`` and ``idx`` of the nearest centre within one block (lazy)."""
-    near = nearest_udf(_broadcast(points.sparkSession, block))(F.col(features))
-    kept = [F.col(c) for c in points.columns if c not in ("d2", "idx")]
-    return points.withColumn("_near", near).select(*kept, F.col("_near.d2"), F.col("_near.idx"))
+    return _with_found(points, nearest_udf(_broadcast(points.sparkSession, block))(F.col(features)))
 
 
 def update_nearest(state: DataFrame, block: CenterBlock, features: str = "features") -> DataFrame:
@@ -139,48 +103,77 @@ def update_nearest(state: DataFrame, block: CenterBlock, features: str = "featur
     The old centre is replaced only by a strictly closer one, so on equal
     distance the lower index stays.
     """
-    near = nearest_udf(_broadcast(state.sparkSession, block))(F.col(features))
-    kept = [F.col(c) for c in state.columns if c not in ("d2", "idx")]
-    closer = F.col("_near.d2") < F.col("d2")
-    return state.withColumn("_near", near).select(
-        *kept,
-        F.when(closer, F.col("_near.d2")).otherwise(F.col("d2")).alias("d2"),
-        F.when(closer, F.col("_near.idx")).otherwise(F.col("idx")).alias("idx"),
-    )
+    return _with_closer(state, nearest_udf(_broadcast(state.sparkSession, block))(F.col(features)))
 
 
-def update_nearest_blocks(
-    state: DataFrame | None,
-    points: DataFrame,
-    blocks: Iterator[CenterBlock],
-    features: str = "features",
-) -> DataFrame:
-    """Run :func:`update_nearest` over many blocks.
+class CenterSearch:
+    """Centres prepared once for any number of lazy searches.
 
-    One block gives a lazy result.  Before every further block the state is written
-    to the checkpoint folder, so that tasks hold one block at a time and the plan
-    does not grow with their number.
+    Jobs run here, over the centres alone: they are checked, then broadcast if they fit the
+    session budget and written as an index otherwise.  The searches themselves run no job, so
+    they work on streams too.
     """
-    for number, block in enumerate(blocks):
-        if number > 0:
-            state = cut_lineage(state)
-        state = with_nearest(points, block, features) if state is None else update_nearest(state, block, features)
-    if state is None:
-        raise ValueError("there are no centres")
-    return state
+
+    def __init__(
+        self, spark: SparkSession, centers: np.ndarray | DataFrame, index_col: str = "idx", center_col: str = "center"
+    ):
+        budget = center_budget(spark)
+        self.index: CenterIndex | None = None
+        self._shared: Broadcast | None = None
+        ship_package(spark)
+        if isinstance(centers, np.ndarray):
+            if not len(centers):
+                raise ValueError("there are no centres")
+            if len(centers) <= rows_per_block(budget, centers.shape[1]):
+                self._shared = _broadcast(spark, CenterBlock(0, np.ascontiguousarray(centers, dtype=np.float64)))
+            else:
+                self.index = build_index(matrix_frame(spark, centers), budget)
+            return
+        centers = centers.select(index_col, center_col).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            first, n = numbering(centers, index_col)
+            if n <= rows_per_block(budget, vector_length(centers, center_col)):
+                found = sorted(centers.collect(), key=lambda r: r[0])
+                self._shared = _broadcast(spark, CenterBlock(first, as_matrix(r[1] for r in found)))
+            else:
+                self.index = build_index(centers, budget, index_col, center_col)
+        finally:
+            centers.unpersist()
+
+    def column(self, features: str = "features") -> Column:
+        """``struct<d2, idx>`` of the nearest centre."""
+        find = nearest_udf(self._shared) if self._shared is not None else _indexed_udf(self.index)
+        return find(F.col(features))
+
+    def nearest(self, points: DataFrame, features: str = "features") -> DataFrame:
+        """Add ``d2`` and ``idx`` of the nearest centre (lazy)."""
+        return _with_found(points, self.column(features))
+
+    def update(self, state: DataFrame, features: str = "features") -> DataFrame:
+        """:func:`update_nearest` with all of these centres (lazy)."""
+        return _with_closer(state, self.column(features))
+
+    def release(self) -> None:
+        """Free the executors' copies of broadcast centres; later searches fetch them again."""
+        if self._shared is not None:
+            self._shared.unpersist()
 
 
 def nearest_center(
     points: DataFrame,
-    centers: np.ndarray | DataFrame,
+    centers: np.ndarray | DataFrame | CenterSearch,
     features: str = "features",
     index_col: str = "idx",
     center_col: str = "center",
 ) -> DataFrame:
-    """Add the squared distance ``d2`` to, and index ``idx`` of, the nearest centre."""
-    budget = center_budget(points.sparkSession)
-    blocks = center_blocks(centers, budget, index_col, center_col)
-    return update_nearest_blocks(None, points, blocks, features)
+    """Add the squared distance ``d2`` to, and index ``idx`` of, the nearest centre.
+
+    One lazy pass over the points for any number of centres.  Prepare a :class:`CenterSearch`
+    to search the same centres more than once, or to free their broadcast.
+    """
+    if not isinstance(centers, CenterSearch):
+        centers = CenterSearch(points.sparkSession, centers, index_col, center_col)
+    return centers.nearest(points, features)
 
 
 def nearest_center_sql(points: DataFrame, centers: np.ndarray, features: str = "features") -> DataFrame:
@@ -207,7 +200,8 @@ def all_distances(
 
     One row per point: the distances stay together in a vector instead of
     becoming one row per pair.  Centres over the budget are sent in several
-    blocks whose vectors are concatenated.
+    blocks whose vectors are concatenated.  For more centres than a row should
+    hold, take :func:`distance_slices`.
     """
     spark = points.sparkSession
     columns = []
@@ -229,6 +223,48 @@ def _distances_udf(shared: Broadcast):
     return distances_of
 
 
+def distance_slices(
+    points: DataFrame, centers: np.ndarray | DataFrame, key: str = "point_id", features: str = "features"
+) -> DataFrame:
+    """Distances to any number of centres in slices ``(key, first, distances)``.
+
+    ``distances[j]`` is the squared distance to the centre ``first + j``.  A slice covers one block
+    of centres; rows leave a task in batches within the session budget, so that neither a row nor
+    a batch grows with the number of centres.
+    """
+    spark = points.sparkSession
+    ship_package(spark)
+    budget = center_budget(spark)
+    frame = matrix_frame(spark, centers) if isinstance(centers, np.ndarray) else centers
+    index = build_index(frame, min(budget, _SLICE_BLOCK_BYTES), by_norm=False)
+    kind = points.schema[key].dataType.simpleString()
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = kernels.decode_points(batch.column(1), index.dim)
+            for block in index.blocks:
+                numbers, matrix = index.read(block.number)
+                width = len(numbers)
+                step = max(1, min(budget, _SLICE_BATCH_BYTES) // (8 * width))
+                for lo in range(0, len(whole), step):
+                    rows = np.arange(lo, min(len(whole), lo + step))
+                    table = kernels.distances(kernels.take(whole, rows), matrix)
+                    offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).slice(lo, len(rows)),
+                            pa.array(np.full(len(rows), numbers[0]), pa.int64()),
+                            pa.ListArray.from_arrays(offsets, pa.array(table.reshape(-1))),
+                        ],
+                        names=[key, "first", "distances"],
+                    )
+
+    schema = f"`{key}` {kind}, first bigint, distances array<double>"
+    return points.select(key, features).mapInArrow(slices, schema)
+
+
 def min_distances(points: DataFrame, distances: str = "distances", output: str = "d2") -> DataFrame:
     """Smallest entry of a distance vector computed before."""
     return points.withColumn(output, F.array_min(distances))
@@ -272,13 +308,15 @@ def inertia(points: DataFrame, centers: np.ndarray | DataFrame, features: str =
 
 def classify(
     points: DataFrame,
-    centers: np.ndarray | DataFrame,
+    centers: np.ndarray | DataFrame | CenterSearch,
     features: str = "features",
     output: str = "cluster",
 ) -> DataFrame:
     """Lazily add the index of the nearest centre to every point.
 
-    A stateless projection, so it works on streaming DataFrames as well.
+    A stateless projection for any number of centres, so it works on streaming DataFrames as well.
     """
+    if not isinstance(centers, CenterSearch):
+        centers = CenterSearch(points.sparkSession, centers)
     kept = [c for c in points.columns if c != output]
-    return nearest_center(points, centers, features).select(*kept, F.col("idx").alias(output))
+    return points.select(*kept, centers.column(features)["idx"].alias(output))

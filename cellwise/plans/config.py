@@ -9,7 +9,9 @@ import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from cellwise.session import local_frame
+from cellwise.operators.centers import as_matrix, vector_length
+from cellwise.operators.nearest import CenterSearch
+from cellwise.session import center_budget, local_frame
 
 LOG_SCHEMA = (
     "phase string, round int, cost double, n_sampled bigint, n_candidates bigint, "
@@ -96,16 +98,40 @@ class Seeding:
 
 @dataclass
 class KMeansModel:
-    """Final centres, as a matrix or (beyond the broadcast budget) a DataFrame."""
+    """Final centres and how they were found.
 
-    centers: np.ndarray | DataFrame  # DataFrame: cluster int, center array<double>
+    :attr:`centers` is always a matrix, :meth:`centers_frame` always a table
+    ``(cluster, center)``, and :meth:`search` finds nearest centres, whichever way they are held.
+    """
+
+    held: np.ndarray | DataFrame
     log: list[LogRow]
     converged: bool
+    _search: CenterSearch | None = None
+
+    @property
+    def centers(self) -> np.ndarray:
+        """All centres on the driver; an error if they exceed the session budget."""
+        if isinstance(self.held, np.ndarray):
+            return self.held
+        spark = self.held.sparkSession
+        n = self.held.count()
+        if n * vector_length(self.held, "center") * 8 > center_budget(spark):
+            raise ValueError(f"{n} centres exceed spark.cellwise.maxCenterBytes: use centers_frame()")
+        return as_matrix(r["center"] for r in sorted(self.held.collect(), key=lambda r: r["cluster"]))
 
     def centers_frame(self, spark: SparkSession) -> DataFrame:
-        if isinstance(self.centers, DataFrame):
-            return self.centers
-        return centers_frame(spark, self.centers)
+        return centers_frame(spark, self.held) if isinstance(self.held, np.ndarray) else self.held
+
+    def search(self, spark: SparkSession) -> CenterSearch:
+        """The centres prepared for lazy searches, once a model."""
+        if self._search is None:
+            self._search = CenterSearch(spark, self.held, "cluster")
+        return self._search
+
+    def release(self) -> None:
+        if self._search is not None:
+            self._search.release()
 
 
 def centers_frame(spark: SparkSession, centers: np.ndarray) -> DataFrame:

@@ -63,28 +63,26 @@ class ParallelKMeans:
         if self.starting_centers is None:
             raise ValueError("call seed() before fit()")
         self.model = fit_centers(points, self.starting_centers, FitConfig(max_iter, tol), features)
+        self.model.search(points.sparkSession)  # prepared here, so that classify() runs no job
         return self
 
     @property
-    def final_centers(self) -> np.ndarray | DataFrame:
+    def final_centers(self) -> np.ndarray:
+        """The fitted centres as a matrix; beyond the session budget take ``model.centers_frame()``."""
+        return self._fitted().centers
+
+    def _fitted(self) -> KMeansModel:
         if self.model is None:
             raise ValueError("call fit() first")
-        return self.model.centers
-
-    def _index_col(self) -> str:
-        return "cluster" if isinstance(self.final_centers, DataFrame) else "idx"
+        return self.model
 
     def classify(self, points: DataFrame, features: str = "features") -> DataFrame:
-        """Lazily add ``cluster``, the index of the nearest final centre."""
-        kept = [c for c in points.columns if c != "cluster"]
-        near = nearest.nearest_center(points, self.final_centers, features, self._index_col())
-        return near.select(*kept, near["idx"].alias("cluster"))
+        """Lazily add ``cluster``, the index of the nearest final centre; runs no job, streams included."""
+        return nearest.classify(points, self._fitted().search(points.sparkSession), features)
 
     def inertia(self, points: DataFrame, features: str = "features") -> float:
         """Sum of squared distances to the nearest final centre."""
-        return nearest.total_cost(
-            nearest.nearest_center(points, self.final_centers, features, self._index_col())
-        )
+        return nearest.total_cost(self._fitted().search(points.sparkSession).nearest(points, features))
 
     @property
     def log(self) -> list[LogRow]:
@@ -98,7 +96,9 @@ class ParallelKMeans:
         return distance_passes(self.log)
 
     def release(self) -> None:
-        """Free the cached seeding state."""
+        """Free the cached seeding state and the executors' copies of the centres."""
         if self._seeding is not None:
             self._seeding.release()
             self._seeding = None
+        if self.model is not None:
+            self.model.release()

@@ -17,7 +17,7 @@ from cellwise.operators.means import (
     keep_empty,
     merge_sums,
 )
-from cellwise.operators.nearest import as_matrix, nearest_center
+from cellwise.operators.nearest import CenterSearch, as_matrix
 from cellwise.plans.config import FitConfig, KMeansModel, LogRow, centers_frame
 from cellwise.plans.sparse_lloyd import fit_sparse, is_sparse
 from cellwise.session import center_budget, cut_lineage
@@ -39,8 +39,9 @@ def lloyd_step_table(
     points: DataFrame, centers: DataFrame, dim: int, features: str = "features"
 ) -> tuple[DataFrame, float]:
     """One iteration for centres of any number, held as ``(cluster, center)`` rows."""
-    near = nearest_center(points, centers, features, "cluster")
-    means = cut_lineage(cluster_means(near, dim, features, "idx", "d2"))
+    search = CenterSearch(points.sparkSession, centers, "cluster")
+    means = cut_lineage(cluster_means(search.nearest(points, features), dim, features, "idx", "d2"))
+    search.release()
     new = cut_lineage(keep_empty(centers, means))
     return new, float(means.agg(F.coalesce(F.sum("cost"), F.lit(0.0))).first()[0])
 

@@ -21,9 +21,9 @@ from cellwise.functions.scalar import planned_rounds, sampling_probability
 from cellwise.operators.indexing import with_consecutive_index
 from cellwise.operators.nearest import (
     CenterBlock,
-    center_blocks,
+    CenterSearch,
     total_cost,
-    update_nearest_blocks,
+    update_nearest,
     with_nearest,
 )
 from cellwise.operators.sampling import sample_by_probability, seed_point
@@ -103,18 +103,13 @@ class _SmallRound:
 class _LargeRound:
     """Candidates of a round that may be too large to collect at once.
 
-    They are numbered and written by Spark, and read back in blocks.
+    They are numbered and written by Spark, and compared from an index in blocks.
     """
 
-    def __init__(
-        self, sampled: DataFrame, start: int, number: int, key: str, features: str, budget: int
-    ):
+    def __init__(self, sampled: DataFrame, start: int, number: int, key: str, features: str):
         numbered = with_consecutive_index(sampled.select(key, features), key, start)
         self.rows = _candidate_rows(numbered, number, key, features)
-        self.budget, self.size = budget, self.rows.count()
-
-    def blocks(self) -> Iterator[CenterBlock]:
-        return center_blocks(self.rows, self.budget)
+        self.size = self.rows.count()
 
     def frame(self) -> DataFrame:
         return self.rows
@@ -156,14 +151,15 @@ def seed_candidates(
         if small:
             added = _SmallRound(sampled, n_candidates, number, key, features)
         else:
-            added = _LargeRound(sampled, n_candidates, number, key, features, budget)
+            added = _LargeRound(sampled, n_candidates, number, key, features)
         if added.size:
             rounds.append(added)
             n_candidates += added.size
-            newer = update_nearest_blocks(state, points, added.blocks(), features)
-            if not small:
-                newer = cut_lineage(newer)
-            elif (len(rounds) - 1) % _ROUNDS_PER_CUT == 0:
+            if small:
+                newer = update_nearest(state, next(added.blocks()), features)
+            else:
+                newer = cut_lineage(CenterSearch(spark, added.rows).update(state, features))
+            if small and (len(rounds) - 1) % _ROUNDS_PER_CUT == 0:
                 newer = _restated(points, rounds, features)
             if small:
                 newer = newer.persist(config.storage)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cellwise.operators.means import keep_empty
-from cellwise.operators.nearest import nearest_center
+from cellwise.operators.nearest import CenterSearch
 from cellwise.plans.config import FitConfig, KMeansModel, LogRow
 from cellwise.session import cut_lineage
 
@@ -70,8 +70,9 @@ def fit_sparse(points: DataFrame, start: DataFrame, config: FitConfig = FitConfi
     centers, log, converged = cut_lineage(start.select("cluster", "center")), [], False
     for number in range(1, config.max_iter + 1):
         started = time.perf_counter()
-        near = nearest_center(points, centers, features, "cluster")
-        means = cut_lineage(sparse_means(near, features))
+        search = CenterSearch(points.sparkSession, centers, "cluster")
+        means = cut_lineage(sparse_means(search.nearest(points, features), features))
+        search.release()
         new = cut_lineage(keep_empty(centers, means))
         cost = float(means.agg(F.coalesce(F.sum("cost"), F.lit(0.0))).first()[0])
         shift = sparse_shift(centers, new)

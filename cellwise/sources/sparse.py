@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cellwise.operators.indexing import with_consecutive_index
-from cellwise.sources.profile import PROFILE_SCHEMA, dataset_profile, megabytes_at
+from cellwise.sources.profile import PROFILE_SCHEMA, dataset_profile, megabytes_at, write_dictionaries
 
 # Fixed value: what separates terms.
 TERM_SEPARATOR = r"[^\p{L}\p{N}]+"
@@ -154,8 +154,12 @@ def ingest_sparse(
     n_features: int,
     n_categories: int,
     force: bool = False,
+    keys: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Write both matrices and their profile once; return the profile.
+    """Write both matrices, their dictionaries and their profile once; return the profile.
+
+    ``keys`` may declare all ``rows``, ``columns`` and ``categories``, for
+    :func:`cellwise.sources.profile.verification` to compare with.
 
     When everything is there already, the stored profile is returned and nothing
     is computed, unless ``force``.  An old profile is emptied first and the new one
@@ -173,8 +177,10 @@ def ingest_sparse(
     write_sparse(x, x_path, "overwrite")
     write_sparse(y, y_path, "overwrite")
     saved = time.perf_counter()
+    stored_x, stored_y = load_sparse(spark, x_path), load_sparse(spark, y_path)
+    write_dictionaries(stored_x, stored_y, out_dir, keys or {})
     counts = dataset_profile(
-        load_sparse(spark, x_path), load_sparse(spark, y_path), n_samples, n_features, n_categories
+        stored_x, stored_y, n_samples, n_features, n_categories
     )
     profile = counts.select(
         "n_samples", "n_features", "n_categories", "x_nnz", "y_nnz",

@@ -99,11 +99,11 @@ def test_sparse_centres_equal_dense_ones(spark, small_blocks):
     start = spark.createDataFrame([*[(c, table[c + 1][1]) for c in range(4)], (4, far)], f"cluster int, center {kind}")
     model = fit_centers(thin, start, FitConfig(4, 0.0))
     plain = fit_centers(thin, np.stack([nearest.to_array(r["center"]) for r in start.orderBy("cluster").collect()]), FitConfig(4, 0.0))
-    sparse_found = np.stack([nearest.to_array(r["center"]) for r in model.centers.orderBy("cluster").collect()])
+    sparse_found = np.stack([nearest.to_array(r["center"]) for r in model.centers_frame(spark).orderBy("cluster").collect()])
     np.testing.assert_allclose(sparse_found, plain.centers, atol=1e-12)
     assert [x.cost for x in model.log] == pytest.approx([x.cost for x in plain.log])
     assert [x.shift for x in model.log] == pytest.approx([x.shift for x in plain.log])
-    assert len(model.centers.where("cluster = 4").first()["center"]["indices"]) == 1
+    assert len(model.centers_frame(spark).where("cluster = 4").first()["center"]["indices"]) == 1
     small_blocks(8 * width)  # one centre a block
     again = fit_centers(thin, start, FitConfig(2, 1e9))
     assert again.converged and len(again.log) == 1
@@ -147,6 +147,37 @@ def test_forced_ingest_that_dies_is_repeated(spark, corpus, tmp_path, monkeypatc
     assert sparse.ingest_sparse(shorter, y, out, 5, width, 2).first()["x_nnz"] == shorter.count()
 
 
+def test_verification_sees_lost_rows_and_columns(spark, corpus, tmp_path):
+    rows, _, dictionary, long, width = corpus
+    y = spark.createDataFrame([(0, 0), (0, 1), (3, 1)], "row_id bigint, category_id int")
+    keys = {"rows": rows, "columns": dictionary.select("col_id"), "categories": spark.range(2).selectExpr("cast(id as int)")}
+
+    def failed(name, x=None, y_lost=None, **keys_changed):
+        out = str(tmp_path / name)
+        stored = sparse.ingest_sparse(long, y, out, 5, width, 2, keys={**keys, **keys_changed}).first()
+        if x is not None:
+            sparse.write_sparse(x, stored["x_path"], "overwrite")
+        if y_lost is not None:
+            sparse.write_sparse(y_lost, stored["y_path"], "overwrite")
+        return {r["check"]: r["actual"] for r in profile.verification(spark, out).collect() if not r["ok"]}
+
+    assert failed("whole") == {}
+    entries = {r["row_id"]: r["count"] for r in long.groupBy("row_id").count().collect()}
+    lost = failed("row", long.where("row_id <> 1"))
+    assert lost["x_rows_changed"] == 1 and lost["x_nnz"] == long.count() - entries[1]
+    assert failed("column", long.where("col_id <> 2"))["x_columns_changed"] == 1
+    # as many entries as before, but one in another column, and one in an unknown row
+    moved = long.withColumn("col_id", F.when(F.col("col_id") == 2, 0).otherwise(F.col("col_id")))
+    assert failed("moved", moved) == {"x_columns_changed": 2}
+    strange = long.withColumn("row_id", F.when(F.col("row_id") == 1, 99).otherwise(F.col("row_id")))
+    assert failed("strange", strange) == {"x_rows_changed": 2}
+    assert set(failed("label", y_lost=y.where("row_id <> 3"))) == {"y_nnz", "y_rows_changed", "y_columns_changed"}
+    assert failed("short", rows=rows.where("row_id <> 2")) == {"n_samples": 4}  # a row without entries
+    assert failed("narrow", columns=dictionary.select("col_id").where("false")) == {}  # occurring keys stay
+    with pytest.raises(ValueError, match="x_rows_changed"):
+        profile.verify_profile(spark, str(tmp_path / "strange"))
+
+
 def test_profile_checks_report_mismatches(spark, corpus):
     _, _, _, long, width = corpus
     y = spark.createDataFrame([(0, 1)], "row_id bigint, category_id int")
