@@ -18,6 +18,7 @@ PARTIAL_SCHEMA = "cluster int, segment int, n bigint, cost double, sums array<do
 SEGMENT = 64
 # Upstream tasks whose rows meet at the first level of merging.
 FAN_IN = 512
+_WAVES = 8
 
 
 def partial_sums(assigned: DataFrame, features: str, cluster: str, d2: str | None = None) -> DataFrame:
@@ -70,11 +71,12 @@ def assigned_partial_sums(points: DataFrame, centers: np.ndarray, features: str)
 
 
 def merge_sums(partials: DataFrame) -> DataFrame:
-    """Merge partial sums in two levels: one row per cluster and segment.
+    """Merge partial sums: one row per cluster and segment.
 
-    Rows of up to ``FAN_IN`` upstream tasks meet by ``(cluster, segment)`` first, what is left of
-    them meets at the second level.  A key then gathers the square root of the number of
-    tasks or fewer rows at the end, up to ``FAN_IN`` squared tasks, however hot its cluster is.
+    A hot cluster contributes one row per upstream task and segment, however many points it has.
+    On clusters wide enough to run ``FAN_IN`` tasks in a few waves, rows of up to ``FAN_IN`` tasks meet
+    first and what is left of them at a second level: up to ``FAN_IN`` squared tasks, a key
+    gathers no more rows at the end than the square root of their number.
     """
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,9 +85,11 @@ def merge_sums(partials: DataFrame) -> DataFrame:
             merged.add(batch)
         yield from merged.drain()
 
-    lane = F.floor(F.spark_partition_id() / FAN_IN)
-    near = partials.withColumn("lane", lane).repartition("cluster", "segment", "lane").drop("lane")
-    return near.mapInArrow(add_up, PARTIAL_SCHEMA).repartition("cluster", "segment").mapInArrow(add_up, PARTIAL_SCHEMA)
+    if _WAVES * partials.sparkSession.sparkContext.defaultParallelism > FAN_IN:
+        lane = F.floor(F.spark_partition_id() / FAN_IN)
+        near = partials.withColumn("lane", lane).repartition("cluster", "segment", "lane").drop("lane")
+        partials = near.mapInArrow(add_up, PARTIAL_SCHEMA)
+    return partials.repartition("cluster", "segment").mapInArrow(add_up, PARTIAL_SCHEMA)
 
 
 def cluster_means(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.functions.uniform import keyed_uniform
-from cellwise.operators.order_stats import value_at_rank
+from cellwise.operators.order_stats import values_at
 
 
 def sample_fraction(
@@ -42,7 +42,7 @@ def sample_exact(
     """Exactly ``min(n, rows)`` rows without replacement, uniformly chosen.
 
     The sample is the ``n`` rows with the smallest keyed uniforms.  The n-th
-    smallest uniform is found by counting (:func:`value_at_rank`), after which the
+    smallest uniform is found by counting (:func:`values_at`), after which the
     sample is a plain filter; nothing is sorted or gathered.  Only rows that share
     the boundary value exactly are ordered by ``key``, which must be unique.
     """
@@ -53,9 +53,10 @@ def sample_exact(
     # the search reads eight bytes per row several times; the rows are computed once more at the end
     uniforms = marked.select("_u").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if uniforms.count() <= n:
+        found = values_at(uniforms, "_u", lambda rows: [n - 1] if rows > n else [])
+        if not found:
             return df
-        edge = F.lit(value_at_rank(uniforms, "_u", n - 1))
+        edge = F.lit(found[0])
         counts = uniforms.agg(
             F.count_if(F.col("_u") < edge), F.count_if(F.col("_u") == edge)
         ).first()

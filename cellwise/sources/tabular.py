@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cellwise.functions.uniform import keyed_uniform
-from cellwise.operators.order_stats import value_at_rank
+from cellwise.operators.order_stats import values_at
 
 
 def load_table(
@@ -87,13 +87,14 @@ def subset_sf(df: DataFrame, flag: Column) -> DataFrame:
 def split_ordinal(df: DataFrame, key: str, n_train: int, output: str = "split") -> DataFrame:
     """Mark the first ``n_train`` rows in key order ``train``, the rest ``test``.
 
-    The key at the boundary is found by counting, so the rows are not sorted.
+    The key at the boundary is found by counting in two passes over the keys, so the rows
+    are not sorted.
     """
     if n_train <= 0:
         return df.withColumn(output, F.lit("test"))
-    if df.count() <= n_train:
+    boundary = values_at(df, key, lambda rows: [n_train - 1] if rows > n_train else [])
+    if not boundary:
         return df.withColumn(output, F.lit("train"))
-    boundary = value_at_rank(df, key, n_train - 1)
     return df.withColumn(
-        output, F.when(F.col(key) <= F.lit(boundary), F.lit("train")).otherwise(F.lit("test"))
+        output, F.when(F.col(key) <= F.lit(boundary[0]), F.lit("train")).otherwise(F.lit("test"))
     )

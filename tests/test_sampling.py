@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellwise.functions.uniform import keyed_normal, keyed_uniform
+from cellwise.operators import order_stats
 from cellwise.operators.indexing import with_consecutive_index
 from cellwise.operators.order_stats import median, value_at_rank
 from cellwise.operators.sampling import (
@@ -121,3 +122,30 @@ def test_consecutive_index_follows_key_order(spark):
     assert [r["word"] for r in sorted(got, key=lambda r: r["idx"])] == sorted(words)
     assert sorted(r["idx"] for r in got) == list(range(10, 1010))
     assert with_consecutive_index(frame.limit(0), "word").count() == 0
+
+
+@pytest.mark.parametrize("collected", [0, 50_000])
+def test_ranks_take_two_passes_over_the_values(spark, monkeypatch, collected):
+    monkeypatch.setattr(order_stats, "_COLLECTED", collected)
+    passes = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            passes.add(batch.num_rows)
+            yield batch
+
+    values = np.random.default_rng(4).lognormal(size=20_000)
+    values[::3] = 1.25  # one value holds a third of the rows
+    frame = spark.createDataFrame([(float(x),) for x in values], "v double").mapInArrow(watched, "v double")
+    assert value_at_rank(frame, "v", 14_321) == np.sort(values)[14_321]
+    assert passes.value == 2 * len(values)
+    assert median(frame, "v") == np.median(values)
+    assert passes.value == 4 * len(values)
+
+
+def test_ranks_stay_exact_if_the_sketch_misses(spark, monkeypatch):
+    monkeypatch.setattr(order_stats, "_ACCURACY", 2)
+    values = np.random.default_rng(5).normal(size=3000)
+    frame = spark.createDataFrame([(float(x),) for x in values], "v double").repartition(7)
+    for rank in (0, 1, 700, 1999, 2999):
+        assert value_at_rank(frame, "v", rank) == np.sort(values)[rank]
