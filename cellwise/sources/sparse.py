@@ -15,9 +15,12 @@ from pyspark.sql.window import Window
 
 from cellwise.operators.indexing import with_consecutive_index
 from cellwise.sources.profile import PROFILE_SCHEMA, dataset_profile, megabytes_at, write_dictionaries
+from cellwise.session import center_budget, cut_lineage
 
 # Fixed value: what separates terms.
 TERM_SEPARATOR = r"[^\p{L}\p{N}]+"
+# What a row of a broadcast vocabulary takes besides its term.
+_ROW_BYTES = 64
 
 
 def _terms(documents: DataFrame, text: str, *keep: Column) -> DataFrame:
@@ -41,15 +44,20 @@ def term_counts(documents: DataFrame, row: str = "doc_id", text: str = "text") -
     return occurrences.groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _rows_with_term(documents: DataFrame, text: str) -> DataFrame:
+    """``(term, df)``: texts that contain each term, from one scan and one shuffle of terms."""
+    distinct = F.array_distinct(F.transform(F.split(F.col(text), TERM_SEPARATOR), F.lower))
+    return documents.select(F.explode(distinct).alias("term")).where("term <> ''").groupBy("term").agg(F.count("*").alias("df"))
+
+
 def rows_per_term(documents: DataFrame, text: str = "text", n_rows: int | None = None) -> DataFrame:
     """``(term, n)``: rows of :func:`term_matrix` with an entry for each term of the vocabulary.
 
-    A term has an entry in every text that contains it, or in none if all do, so one scan
-    and one shuffle of terms give the counts without the matrix.  One text a row.
+    A term has an entry in every text that contains it, or in none if all do, so the matrix
+    is not needed.  One text a row.
     """
     n_rows = documents.count() if n_rows is None else n_rows
-    distinct = F.array_distinct(F.transform(F.split(F.col(text), TERM_SEPARATOR), F.lower))
-    counts = documents.select(F.explode(distinct).alias("term")).where("term <> ''").groupBy("term").agg(F.count("*").alias("df"))
+    counts = _rows_with_term(documents, text)
     return counts.select("term", F.when(F.col("df") < n_rows, F.col("df")).otherwise(0).cast("bigint").alias("n"))
 
 
@@ -58,18 +66,18 @@ def term_matrix(
 ) -> DataFrame:
     """Cosine-normalised log TF-IDF ``(row_id, term, value)`` with ``value > 0``.
 
-    Weight ``(1 + ln tf) * ln(N / df)``, each row scaled to length one.  The join
-    with the document frequencies is left to the optimizer: it is broadcast when
-    the vocabulary is measured to be small, otherwise merged with split skewed
-    partitions, which frequent terms cause.
+    Weight ``(1 + ln tf) * ln(N / df)``, each row scaled to length one; one text a row.  The
+    document frequencies are written first and broadcast if their size allows.  Then texts are
+    dealt by row, the only shuffle: counts and lengths of a row are found where its text is.  A
+    larger vocabulary is joined by term, with skewed partitions split.
     """
     n_rows = documents.count() if n_rows is None else n_rows
-    counts = term_counts(documents, row, text)
-    # counting by a test on tf keeps that column in this branch, so both branches
-    # read one shuffle and the texts are split once
-    df = counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    df = cut_lineage(_rows_with_term(documents, text))
+    counts = term_counts(documents.select(row, text).repartition(F.col(row)), row, text)
+    size = df.agg(F.coalesce(F.sum(F.octet_length("term") + F.lit(_ROW_BYTES)), F.lit(0))).first()[0]
+    joined = counts.join(F.broadcast(df) if size <= center_budget(df.sparkSession) else df, "term")
     weight = (F.lit(1.0) + F.ln("tf")) * F.ln(F.lit(float(n_rows)) / F.col("df"))
-    weighted = counts.join(df, "term").select("row_id", "term", weight.alias("w")).where("w > 0")
+    weighted = joined.select("row_id", "term", weight.alias("w")).where("w > 0")
     # the window sees one row of the matrix, at most its distinct terms
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("row_id")))
     return weighted.select("row_id", "term", (F.col("w") / norm).alias("value"))
