@@ -2,6 +2,7 @@
 
 from cellwise.plans.config import FitConfig, KMeansModel, SeedConfig, Seeding
 from cellwise.plans.estimator import ParallelKMeans
+from cellwise.plans.grid import fit_many, grid, seed_many
 from cellwise.plans.lloyd import fit_centers
 from cellwise.plans.reduce import reduce_candidates
 from cellwise.plans.seeding import seed_candidates
@@ -15,7 +16,10 @@ __all__ = [
     "Seeding",
     "SweepConfig",
     "fit_centers",
+    "fit_many",
+    "grid",
     "reduce_candidates",
     "seed_candidates",
+    "seed_many",
     "sweep",
 ]

@@ -13,6 +13,7 @@ from cellwise.operators.sampling import sample_by_probability, seed_point
 from cellwise.operators.weights import candidate_weights, nearest_frequencies
 from cellwise.plans.config import FitConfig, SeedConfig, centers_frame, log_frame
 from cellwise.plans.estimator import ParallelKMeans
+from cellwise.plans.grid import grid
 from cellwise.plans.lloyd import fit_centers
 from cellwise.plans.reduce import REDUCE_ITERATIONS, reduce_candidates
 from cellwise.plans.seeding import append_candidates, sample_round, seed_candidates
@@ -287,6 +288,12 @@ def q_sweep(spark, sf):
     return found.select("run_id", "parts", "k", "l", "r", "n_candidates", "distance_passes", F.round("cost", 6).alias("cost"), F.col("error").isNotNull().alias("failed"))
 
 
+def q_sweep_grid(spark, sf):
+    """The same grid in shared passes, without the partitioning."""
+    found = grid(points(spark, sf), SWEEP)
+    return found.select("run_id", "k", "l", "r", "n_candidates", "distance_passes", F.round("cost", 6).alias("cost"), F.col("error").isNotNull().alias("failed"))
+
+
 def q_iteration_log(spark, sf):
     data = points(spark, sf)
     clusterer = ParallelKMeans(K, OVERSAMPLING, 2).seed(data, seed=SEED, rng="md5")
@@ -473,6 +480,7 @@ ORACLE = {
     "kmeans_seed_candidates": f"with {E}, {seeding_sql(2)}, {weights_sql(2)} select * from w",
     "reduce_candidates": f"{SEEDED_SQL} " + long_sql("start"),
     "sweep": sweep_sql(),
+    "sweep_grid": f"select * exclude (parts) from ({sweep_sql()})",
     "iteration_log": f"{SEEDED_SQL}, {lloyd_sql(5, 'start')} " + log_sql(2, 5),
     "cluster_means": MEANS_SQL,
     "cluster_means_sql": MEANS_SQL,
