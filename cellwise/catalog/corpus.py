@@ -17,6 +17,7 @@ from cellwise.plans.seeding import seed_candidates
 from cellwise.plans.sparse_lloyd import long_centers
 from cellwise.session import cut_lineage, ensure_checkpoint_dir
 from cellwise.sources import profile, sparse
+from cellwise.sources.buckets import BucketedMatrix
 from cellwise.sources.tabular import load_table, spread_small
 
 LABEL_COLUMNS = ["quality", "toxic"]
@@ -126,6 +127,12 @@ def q_labels_per_row(spark, sf):
     return summarize.counts_with_zeros(rows(spark, sf), labels(spark, sf), "row_id", "n_labels")
 
 
+def q_bucketed_labels_per_row(spark, sf):
+    """Labels a row from bucketed tables: one shuffle to write them, none to count and join."""
+    with BucketedMatrix(rows(spark, sf), labels(spark, sf)) as matrix:
+        return cut_lineage(summarize.counts_with_zeros(matrix.rows, matrix.entries, "row_id", "n_labels"))
+
+
 def q_label_summary(spark, sf):
     return _rounded(summarize.summary(q_labels_per_row(spark, sf), "n_labels"))
 
@@ -321,6 +328,8 @@ ORACLE = {
     " join (select cluster, count(*) as n from a group by cluster) using (cluster)",
 }
 
+ORACLE["bucketed_labels_per_row"] = ORACLE["labels_per_row"]
+
 QUERIES = {
     name[2:]: function for name, function in list(globals().items()) if name.startswith("q_")
 }
