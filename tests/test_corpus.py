@@ -44,6 +44,42 @@ def test_term_weights_match_their_formula(corpus):
     assert got == pytest.approx(want)
 
 
+def _plan(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("budget", [1 << 27, 150, 1])
+def test_term_matrix_counts_texts_in_parts(spark, small_blocks, monkeypatch, budget):
+    """Repeated and null ids, null texts, rows over several batches and parts, and terms beyond the budget."""
+    rng = np.random.default_rng(5)
+    words = [f"W{i}" if i % 3 else f"w{i}" for i in range(60)]
+    texts = [" ,".join(rng.choice(words, int(rng.integers(0, 30)) if i % 7 else 200)) for i in range(90)]
+    table = [(None if i % 11 == 0 else i // 2, None if i == 5 else t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(table, "doc_id bigint, text string").repartition(5)
+    counts, df = {}, Counter()
+    for i, text in table:
+        terms = [t for t in (text or "").lower().replace(",", " ").split()]
+        counts.setdefault(i, Counter()).update(terms)
+        df.update(set(terms))
+    want = {}
+    for i, c in counts.items():
+        w = {t: (1 + math.log(n)) * math.log(len(table) / df[t]) for t, n in c.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        want.update({(i, t): x / norm for t, x in w.items() if x > 0})
+    small_blocks(budget)
+    monkeypatch.setattr(sparse, "_COUNTED_ROWS", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        entries = sparse.term_matrix(docs)
+        found = [((r["row_id"], r["term"]), r["value"]) for r in entries.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(found) == len(want)
+    assert dict(found) == pytest.approx(want)
+    # no table of all pairs of row and term is grouped, sorted or dealt: a task's memory is that of its texts
+    assert "Window" not in _plan(entries) and "Aggregate" not in _plan(entries)
+
+
 def test_dictionary_is_dense_and_ordered(corpus):
     found = sorted((r["col_id"], r["term"]) for r in corpus[2].collect())
     assert [i for i, _ in found] == list(range(len(found)))
