@@ -80,6 +80,26 @@ def test_term_matrix_counts_texts_in_parts(spark, small_blocks, monkeypatch, bud
     assert "Window" not in _plan(entries) and "Aggregate" not in _plan(entries)
 
 
+@pytest.mark.parametrize("budget", [1 << 27, 300, 1])
+def test_columns_and_rows_beyond_the_budget(spark, small_blocks, budget):
+    """Common columns are joined without dealing entries by term, rarer ones by term; runs of a row meet again."""
+    rng = np.random.default_rng(8)
+    cells = {(i, f"t{int(j)}"): float(rng.uniform(0.1, 1)) for i in range(40) for j in rng.geometric(0.2, 6)}
+    table = [(None if i == 3 else i, t, v) for (i, t), v in cells.items()]
+    entries = spark.createDataFrame(table, "row_id bigint, term string, value double").repartition(4)
+    dictionary = sparse.index_columns(entries)
+    ids = {r["term"]: r["col_id"] for r in dictionary.collect()}
+    small_blocks(budget)
+    long = sparse.with_column_ids(entries, dictionary)
+    assert Counter(tuple(r) for r in long.collect()) == Counter((i, ids[t], v) for i, t, v in table)
+    rows = spark.range(45).select(F.col("id").alias("row_id"))
+    got = {r["row_id"]: r["features"] for r in sparse.sparse_rows(rows, long, len(ids)).collect()}
+    for i, f in got.items():
+        assert list(zip(f["indices"], f["values"], strict=True)) == sorted((ids[t], v) for j, t, v in table if j == i)
+    # what is dealt by row are runs, not single entries
+    assert "MapInArrow" in _plan(sparse.sparse_rows(rows, long, len(ids)))
+
+
 def test_dictionary_is_dense_and_ordered(corpus):
     found = sorted((r["col_id"], r["term"]) for r in corpus[2].collect())
     assert [i for i, _ in found] == list(range(len(found)))
