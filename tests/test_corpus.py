@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
@@ -290,3 +291,27 @@ def test_rows_per_term_counts_the_entries_of_the_matrix(spark):
     assert wanted["all"] == 0 and wanted["two"] == 2
     gaps = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
     assert sparse.rows_per_term(gaps).count() == 0 == sparse.rows_per_term(gaps.limit(0)).count()
+
+
+def test_frequencies_of_terms_take_few_bytes(spark, small_blocks, monkeypatch):
+    """Terms go to the tasks as keys; those of a shared key as they are."""
+    words = [f"élan{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(words[i % 2 :] + [f"only{i}"])) for i in range(4)], "doc_id long, text string")
+    small_blocks(16 * 60)
+    df = sparse._rows_with_term(docs, "text")
+    wanted = {r["term"]: r["df"] for r in df.collect()}
+    assert "Join" not in _plan(sparse.term_matrix(docs))  # all repeated terms fit
+    terms = pa.array(sorted(wanted), pa.large_string())
+    stored = {r["term"]: r["key"] for r in df.select("term", sparse._key(F.col("term")).alias("key")).collect()}
+    assert sparse._keys(terms).tolist() == [stored[t] for t in terms.to_pylist()]
+
+    def found(keys):
+        counts = np.ones(len(terms), np.int64)
+        known = sparse._common_terms(df)[0].value.look_up(terms, keys, counts)
+        return dict(zip(terms.to_pylist(), counts.tolist(), strict=True)), known
+
+    counts, known = found(sparse._keys(terms))
+    assert counts == wanted and known.sum() == 60
+    monkeypatch.setattr(sparse, "_key", lambda term: F.length(term).cast("bigint"))
+    counts, known = found(np.array([len(t) for t in terms.to_pylist()], np.int64))
+    assert counts == wanted and known.all()
