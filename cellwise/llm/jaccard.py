@@ -26,6 +26,7 @@ links have connected is not compared with itself.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -37,7 +38,8 @@ from pyspark.sql.window import Window
 
 from cellwise.llm import textgrid
 from cellwise.llm.graph import components
-from cellwise.session import cut_lineage, ship_package
+from cellwise.session import cut_lineage, ensure_checkpoint_dir, ship_package
+from cellwise.sources.buckets import write_bucketed
 
 SHINGLE = 5
 PERCENT = 80
@@ -101,21 +103,21 @@ def _describe(width: int, batches):
             n = len(bounds) - 1
             vectors = points(total, bounds)
             yield pa.record_batch({
-                "doc_id": ids.slice(row, n), "text_key": batch.column(2).slice(row, n), "sig": textgrid.as_long(signatures(total, bounds)),
+                "doc_id": ids.slice(row, n), "sig": textgrid.as_long(signatures(total, bounds)),
                 "n": np.diff(bounds), "point": pa.array([v.tobytes() for v in vectors], pa.binary()),
                 "token": pa.nulls(n, pa.int64()), "docs": pa.nulls(n, pa.int64()),
             })
             token, docs = np.unique(total, return_counts=True)
             token, docs = token[docs > 1], docs[docs > 1]
-            none = {k: pa.nulls(len(token), t) for k, t in (("doc_id", ids.type), ("text_key", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("point", pa.binary()))}
+            none = {k: pa.nulls(len(token), t) for k, t in (("doc_id", ids.type), ("sig", pa.int64()), ("n", pa.int64()), ("point", pa.binary()))}
             yield pa.record_batch({**none, "token": textgrid.as_long(token), "docs": docs})
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE) -> DataFrame:
-    """Per document ``doc_id, text_key, sig, n, point``; with null ``n``, counts ``token, docs`` of repeated shingles."""
+    """Per document ``doc_id, sig, n, point``; with null ``n``, counts ``token, docs`` of repeated shingles."""
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, text_key bigint, sig bigint, n bigint, point binary, token bigint, docs bigint"
-    return docs.select(id_col, text_col, F.xxhash64(text_col)).mapInArrow(partial(_describe, width), schema)
+    schema = f"doc_id {kind}, sig bigint, n bigint, point binary, token bigint, docs bigint"
+    return docs.select(id_col, text_col).mapInArrow(partial(_describe, width), schema)
 
 
 def frequent_shingles(described: DataFrame) -> np.ndarray:
@@ -219,29 +221,39 @@ def members(docs: DataFrame, text_col: str, frequent: np.ndarray, width: int = S
     return rows.mapInArrow(_grouped, GROUPED)
 
 
-def _packed(batches):
+def _packed(width: int, batches):
     seen: set[int] = set()
     codec = pa.Codec("zstd", compression_level=1)
     for batch in batches:
-        keep = [i for i, k in enumerate(batch.column(0).to_pylist()) if k not in seen and not seen.add(k)]
-        for at in range(0, len(keep), 1000):
-            part = batch.take(pa.array(keep[at : at + 1000], pa.int64()))
-            raw = [t.as_buffer() for t in part.column(1)]
-            packed = pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary())
-            yield pa.record_batch({"text_key": part.column(0), "size": np.array([r.size for r in raw], np.int64), "packed": packed})
+        texts = batch.column(0)
+        for row, total, bounds in sets_of(texts, width):
+            sig = textgrid.as_long(signatures(total, bounds))
+            keep = [i for i, k in enumerate(np.asarray(sig).tolist()) if bounds[i] < bounds[i + 1] and k not in seen and not seen.add(k)]
+            for at in range(0, len(keep), 1000):
+                some = keep[at : at + 1000]
+                raw = [texts[row + i].as_buffer() for i in some]
+                packed = pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary())
+                yield pa.record_batch({"sig": np.asarray(sig)[some], "size": np.array([r.size for r in raw], np.int64), "packed": packed})
 
 
-def packed_texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
-    """``sig, size, packed``: one compressed text of each set in ``wanted`` (``sig, text_key``, each once)."""
-    texts = docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(text_col), F.col(text_col))
-    found = texts.mapInArrow(_packed, "text_key bigint, size bigint, packed binary").join(wanted.hint("merge"), "text_key")
-    return found.groupBy("sig").agg(F.any_value(F.struct("size", "packed")).alias("x")).select("sig", "x.size", "x.packed")
+def packed_texts(docs: DataFrame, text_col: str, wanted: DataFrame, table: str, width: int = SHINGLE) -> DataFrame:
+    """``sig, size, packed``: one compressed text of each set in ``wanted`` (``sig``, each once), stored in buckets by ``sig``.
+
+    Texts are dealt once, by their set; every search for partners' texts then joins them where they lie.
+    """
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.where(F.col(text_col).isNotNull()).select(text_col)
+    dealt = texts.mapInArrow(partial(_packed, width), "sig bigint, size bigint, packed binary").repartition(buckets, "sig")
+    found = dealt.join(wanted.hint("merge"), "sig", "left_semi").groupBy("sig").agg(F.any_value(F.struct("size", "packed")).alias("x"))
+    path = f"{ensure_checkpoint_dir(spark)}/{table}"
+    return write_bucketed(found.select("sig", "x.size", "x.packed"), table, buckets, "sig", path, dealt=True)
 
 
 def _points_of(sized: DataFrame, grouped: DataFrame) -> DataFrame:
-    """``sig, n, point, text_key`` of each set that shares a first shingle."""
-    found = sized.select("sig", "n", "point", "text_key").join(grouped.select("sig").distinct().hint("merge"), "sig")
-    return found.groupBy("sig").agg(F.any_value(F.struct("n", "point", "text_key")).alias("x")).select("sig", "x.*")
+    """``sig, n, point`` of each set that shares a first shingle."""
+    found = sized.select("sig", "n", "point").join(grouped.select("sig").distinct().hint("merge"), "sig")
+    return found.groupBy("sig").agg(F.any_value(F.struct("n", "point")).alias("x")).select("sig", "x.*")
 
 
 def neighbours(grouped: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -462,11 +474,15 @@ def set_classes(docs: DataFrame, id_col: str, text_col: str, percent: int = PERC
     sized = described.where("n is not null")
     grouped = cut_lineage(members(docs, text_col, frequent, width, percent))
     point_of = cut_lineage(_points_of(sized, grouped))
-    texts = cut_lineage(packed_texts(docs, text_col, point_of.select("sig", "text_key")))
-    tried = cut_lineage(within_bound(neighbours(grouped, percent), point_of, percent))
-    roots = components(verified(tried, texts, percent, width))
-    met = tree_pairs(grouped, point_of, roots, percent).join(tried.hint("merge"), ["a", "b"], "left_anti")
-    roots = components(roots.toDF("a", "b").union(verified(met, texts, percent, width)))
+    table = f"texts_{uuid.uuid4().hex}"
+    texts = packed_texts(docs, text_col, point_of.select("sig"), table, width)
+    try:
+        tried = cut_lineage(within_bound(neighbours(grouped, percent), point_of, percent))
+        roots = components(verified(tried, texts, percent, width))
+        met = tree_pairs(grouped, point_of, roots, percent).join(tried.hint("merge"), ["a", "b"], "left_anti")
+        roots = components(roots.toDF("a", "b").union(verified(met, texts, percent, width)))
+    finally:
+        docs.sparkSession.sql(f"drop table if exists {table}")
     return sized.join(roots, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("class"))
 
 

@@ -18,19 +18,20 @@ from cellwise.session import ensure_checkpoint_dir
 
 def write_bucketed(
     entries: DataFrame, table: str, buckets: int | None = None, key: str = "row_id",
-    path: str | None = None, mode: str = "errorifexists",
+    path: str | None = None, mode: str = "errorifexists", dealt: bool = False,
 ) -> DataFrame:
     """Store ``entries`` as a catalogue table in ``buckets`` buckets by ``key``, and return it.
 
     ``buckets`` defaults to the shuffle partitions of the session; tables that are to be joined in
     place need equal numbers.  Each bucket is written by one task as one file.  ``path`` puts the files
-    outside the warehouse.  A null key has a bucket like any other value; an empty table has no files.
+    outside the warehouse; ``dealt`` rows already lie in ``buckets`` partitions by ``key``.  A null key has a bucket like any other value; an empty table has no files.
     """
     if buckets is None:
         buckets = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if buckets < 1:
         raise ValueError("a bucketed table needs at least one bucket")
-    writer = entries.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode(mode)
+    rows = entries if dealt else entries.repartition(buckets, key)
+    writer = rows.write.bucketBy(buckets, key).sortBy(key).mode(mode)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

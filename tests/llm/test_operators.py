@@ -6,6 +6,7 @@ import base64
 import collections
 import hashlib
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -233,6 +234,22 @@ def test_jaccard(odd, empty, spark, monkeypatch, leaf):
         assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_texts_of_sets_are_dealt_once(spark):
+    """Texts stand in buckets by their set: no verification deals them again."""
+    texts = [(1, "a b c d e f"), (2, "A b  c d e f"), (3, "q"), (4, None), (5, " "), (6, "a b c d e f")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    sized = jaccard.describe(docs, "doc_id", "text").where("n > 0").select("doc_id", "sig")
+    sig = {r["doc_id"]: r["sig"] for r in sized.collect()}
+    assert sig[1] == sig[2] == sig[6] != sig[3]
+    stored = jaccard.packed_texts(docs, "text", sized.select("sig").distinct(), f"texts_{uuid.uuid4().hex}")
+    assert sorted(r["sig"] for r in stored.collect()) == sorted({sig[1], sig[3]})
+    pairs = spark.createDataFrame([(sig[1], sig[1]), (sig[1], sig[3])], "a bigint, b bigint")
+    found = jaccard.verified(pairs, stored)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(sig[1], sig[1])]
+    assert plan.count("Exchange hashpartitioning") == 2  # the pairs, to either side
+
+
 def test_overlap_bound_at_any_size():
     n, m = np.array([20_000_000, 300, 300]), np.array([20_000_000, 300, 300])
     point = np.full((3, jaccard.GROUPS), 255, np.uint8)
