@@ -18,7 +18,8 @@ each such shingle.  The order puts shingles of many documents last.
 4. :func:`tree_pairs` leaves of the trees, boxes joined by bound, points of surviving
                       leaves compared; only between documents not yet connected, and
                       only under the first shingle that two sets share
-5. verification on whole sets, connected components
+5. verification on whole sets, connected components; pairs of long sets, whose counts in
+   ``GROUPS`` groups are all alike, are first bounded by fine points
 
 No step lists the pairs of a group: copies are one point, and a family that the first
 links have connected is not compared with itself.
@@ -44,7 +45,9 @@ from cellwise.sources.buckets import write_bucketed
 SHINGLE = 5
 PERCENT = 80
 GROUPS = 256
+LONG = 1000  # sets of more shingles also have a fine point, with at least as many groups as shingles
 LEAF = 256  # points of one leaf
+KNOWN = 8  # tokens that a row in a cell has of its set; fewer give pairs more often, never other ones
 FREQUENT = 64  # a shingle counted in so many documents goes to the end of the order ...
 MAX_FREQUENT = 100_000  # ... the most frequent ones of them; the order changes cost, never results
 
@@ -96,6 +99,28 @@ def points(total: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(cell, minlength=n * GROUPS), 255).astype(np.uint8).reshape(n, GROUPS)
 
 
+def _shrunk(counts: np.ndarray) -> bytes:
+    raw = counts.tobytes()
+    return min(raw, pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True), key=len)
+
+
+def _counts(point: bytes, groups: int) -> bytes:
+    return point if len(point) == groups else pa.Codec("zstd").decompress(point, groups, asbytes=True)
+
+
+def fine_point(total: np.ndarray) -> np.ndarray | None:
+    """Counts in as many groups as there are shingles, rounded up to a power of two; null if one is 255 or more."""
+    groups = 1 << (len(total) - 1).bit_length()
+    counts = np.bincount((total % np.uint64(groups)).astype(np.int64), minlength=groups)
+    return counts.astype(np.uint8) if counts.max() < 255 else None
+
+
+def fine_bound(a: np.ndarray, b: np.ndarray) -> int:
+    """Upper bound of the overlap of two sets from their fine points; the longer one is folded to the groups of the other."""
+    a, b = sorted((a.astype(np.int64), b.astype(np.int64)), key=len)
+    return int(np.minimum(a, b.reshape(-1, len(a)).sum(axis=0)).sum())
+
+
 def _describe(width: int, batches):
     for batch in batches:
         ids = batch.column(0)
@@ -104,7 +129,7 @@ def _describe(width: int, batches):
             vectors = points(total, bounds)
             yield pa.record_batch({
                 "doc_id": ids.slice(row, n), "sig": textgrid.as_long(signatures(total, bounds)),
-                "n": np.diff(bounds), "point": pa.array([v.tobytes() for v in vectors], pa.binary()),
+                "n": np.diff(bounds), "point": pa.array([_shrunk(v) for v in vectors], pa.binary()),
                 "token": pa.nulls(n, pa.int64()), "docs": pa.nulls(n, pa.int64()),
             })
             token, docs = np.unique(total, return_counts=True)
@@ -233,21 +258,24 @@ def _packed(width: int, batches):
                 some = keep[at : at + 1000]
                 raw = [texts[row + i].as_buffer() for i in some]
                 packed = pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary())
-                yield pa.record_batch({"sig": np.asarray(sig)[some], "size": np.array([r.size for r in raw], np.int64), "packed": packed})
+                ns = np.diff(bounds)[some]
+                points_ = [fine_point(total[bounds[i] : bounds[i + 1]]) if n > LONG else None for i, n in zip(some, ns.tolist(), strict=True)]
+                fine = pa.array([None if f is None else _shrunk(f) for f in points_], pa.binary())
+                yield pa.record_batch({"sig": np.asarray(sig)[some], "n": ns, "fine": fine, "size": np.array([r.size for r in raw], np.int64), "packed": packed})
 
 
 def packed_texts(docs: DataFrame, text_col: str, wanted: DataFrame, table: str, width: int = SHINGLE) -> DataFrame:
-    """``sig, size, packed``: one compressed text of each set in ``wanted`` (``sig``, each once), stored in buckets by ``sig``.
+    """``sig, n, fine, size, packed``: one compressed text, and the fine point if it is long, of each set in ``wanted`` (``sig``, each once), stored in buckets by ``sig``.
 
     Texts are dealt once, by their set; every search for partners' texts then joins them where they lie.
     """
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.where(F.col(text_col).isNotNull()).select(text_col)
-    dealt = texts.mapInArrow(partial(_packed, width), "sig bigint, size bigint, packed binary").repartition(buckets, "sig")
-    found = dealt.join(wanted.hint("merge"), "sig", "left_semi").groupBy("sig").agg(F.any_value(F.struct("size", "packed")).alias("x"))
+    dealt = texts.mapInArrow(partial(_packed, width), "sig bigint, n bigint, fine binary, size bigint, packed binary").repartition(buckets, "sig")
+    found = dealt.join(wanted.hint("merge"), "sig", "left_semi").groupBy("sig").agg(F.any_value(F.struct("n", "fine", "size", "packed")).alias("x"))
     path = f"{ensure_checkpoint_dir(spark)}/{table}"
-    return write_bucketed(found.select("sig", "x.size", "x.packed"), table, buckets, "sig", path, dealt=True)
+    return write_bucketed(found.select("sig", "x.*"), table, buckets, "sig", path, dealt=True)
 
 
 def _points_of(sized: DataFrame, grouped: DataFrame) -> DataFrame:
@@ -306,6 +334,24 @@ def _linked(percent: int, width: int, batches):
         yield pa.record_batch({c: batch.column(c).filter(pa.array(good)) for c in ("a", "b")})
 
 
+def _pairs_in_fine_bound(percent: int, batches):
+    def counts(n, fine):
+        return np.frombuffer(_counts(fine, 1 << (n - 1).bit_length()), np.uint8)
+
+    for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
+        rows = zip(*(batch.column(c).to_pylist() for c in ("an", "bn", "af", "bf")), strict=True)
+        good = [x is None or y is None or fine_bound(counts(n, x), counts(m, y)) >= needed_overlap(n, m, percent) for n, m, x, y in rows]
+        yield pa.record_batch({c: batch.column(c).filter(pa.array(good, pa.bool_())) for c in ("a", "b")})
+
+
+def within_fine_bound(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs that the fine points of long sets allow to be linked; pairs with a shorter set are all kept."""
+    for side in ("a", "b"):
+        own = texts.select(F.col("sig").alias(side), F.col("n").alias(f"{side}n"), F.col("fine").alias(f"{side}f"))
+        pairs = pairs.join(own.hint("merge"), side)
+    return pairs.select("a", "b", "an", "bn", "af", "bf").mapInArrow(partial(_pairs_in_fine_bound, percent), "a bigint, b bigint")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """The pairs ``a, b`` whose whole sets reach the similarity."""
     for side in ("a", "b"):
@@ -316,14 +362,14 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width:
 
 
 def _stacked(column) -> np.ndarray:
-    rows = column.to_pylist()
+    rows = [_counts(p, GROUPS) for p in column.to_pylist()]
     return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1 if rows else GROUPS)
 
 
 def _boxes(key, rows):
-    top = np.max(np.stack([np.frombuffer(p, np.uint8) for p in rows["point"]]), axis=0)
+    top = np.max(_stacked(pa.array(rows["point"], pa.binary())), axis=0)
     rows = rows.iloc[:1].assign(
-        least=int(rows["n"].min()), most=int(rows["n"].max()), corner=[top.tobytes()],
+        least=int(rows["n"].min()), most=int(rows["n"].max()), corner=[_shrunk(top)],
         one=rows["root"].iloc[0] if rows["root"].nunique() == 1 else None,
     )
     return rows[["token", "leaf", "least", "most", "one", "corner"]].astype({"one": "Int64"})
@@ -352,7 +398,7 @@ def _leaf_pairs(percent: int, batches):
 
     Compares each row with the one ``step`` rows on, for all cells of a batch at once.
     A cell that goes on in the next batch is held back; it has two leaves at most.
-    A pair is given only under the first shingle that both sets have.
+    A pair is left to an earlier shingle if both sets are known to have that one.
     """
     rest = None
     for batch in _with_end(batches):
@@ -390,7 +436,7 @@ def _leaf_pairs(percent: int, batches):
 
 
 class _Owned:
-    """Which tokens the sets of a batch have; each is made a set when it is first asked for."""
+    """The least tokens that the sets of a batch have; each row's are made a set when it is first asked for."""
 
     def __init__(self, column: pa.Array, token: np.ndarray):
         self.offsets, self.values = column.offsets.to_numpy(), column.values.to_numpy()
@@ -402,9 +448,9 @@ class _Owned:
         return self.sets[row]
 
     def first(self, a: np.ndarray, b: np.ndarray, good: np.ndarray) -> np.ndarray:
-        """The good pairs whose token is the least that both sets have."""
+        """The good pairs of which no token before their own is known to be in both sets."""
         at = np.flatnonzero(good)
-        keep = [min(self.of(i) & self.of(j)) == self.token[i] for i, j in zip(a[at].tolist(), b[at].tolist(), strict=True)]
+        keep = [min(self.of(i) & self.of(j), default=self.token[i]) >= self.token[i] for i, j in zip(a[at].tolist(), b[at].tolist(), strict=True)]
         return at[np.array(keep, bool)]
 
 
@@ -440,12 +486,12 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
     """
     rows = grouped.select("token", "sig", "n").join(roots.hint("merge"), F.col("sig") == F.col("node"), "left")
     rows = rows.select("token", "sig", "n", F.coalesce("root", "sig").alias("root"))
-    mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
-    mixed = mixed.where("lo <> hi and c > 3").select("token")
-    rows = _with_partners(rows.join(mixed.hint("merge"), "token"), percent)
+    own = Window.partitionBy("token")  # the same order as that of the partners, so that rows are dealt by token once
+    mixed = rows.withColumns({"lo": F.min("root").over(own), "hi": F.max("root").over(own), "c": F.count("*").over(own)})
+    rows = _with_partners(mixed.where("lo <> hi and c > 3").drop("lo", "hi", "c"), percent)
     rank = F.row_number().over(Window.partitionBy("token").orderBy("root", "n", "sig"))
     rows = cut_lineage(rows.withColumn("leaf", ((rank - 1) / LEAF).cast("int")))
-    owned = rows.groupBy("sig").agg(F.collect_list("token").alias("owned"))
+    owned = rows.groupBy("sig").agg(F.slice(F.sort_array(F.collect_list("token")), 1, KNOWN).alias("owned"))
     known = cut_lineage(point_of.select("sig", "point").join(owned.hint("merge"), "sig"))
     split = rows.where("leaf > 0").select("token").distinct()
     box_kind = "token bigint, leaf int, least bigint, most bigint, one bigint, corner binary"
@@ -460,10 +506,10 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
     columns = ["cell", "leaf", "sig", "root", "n", "home", "token"]
     at_home = rows.withColumns({"cell": F.xxhash64("token", "leaf"), "home": F.lit(True)}).select(*columns)
     across = rows.join(apart, ["token", "leaf"]).withColumn("home", F.lit(False)).select(*columns)
-    # points join last and only once: they are most of a row; of the tokens, those before the row's own are asked for
-    cells = at_home.union(across).join(known.hint("merge"), "sig").withColumn("owned", F.filter("owned", lambda x: x <= F.col("token")))
+    # points join last and only once: they are most of a row; of the known tokens, those before the row's own are asked for
+    cells = at_home.union(across).join(known.hint("merge"), "sig").withColumn("owned", F.filter("owned", lambda x: x < F.col("token")))
     cells = cells.repartition("cell").sortWithinPartitions("cell", "leaf", "root", "n", "sig")
-    return cells.mapInArrow(partial(_leaf_pairs, percent), "a bigint, b bigint")
+    return cells.mapInArrow(partial(_leaf_pairs, percent), "a bigint, b bigint").distinct()
 
 
 def set_classes(docs: DataFrame, id_col: str, text_col: str, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
@@ -478,9 +524,9 @@ def set_classes(docs: DataFrame, id_col: str, text_col: str, percent: int = PERC
     texts = packed_texts(docs, text_col, point_of.select("sig"), table, width)
     try:
         tried = cut_lineage(within_bound(neighbours(grouped, percent), point_of, percent))
-        roots = components(verified(tried, texts, percent, width))
+        roots = components(verified(within_fine_bound(tried, texts, percent), texts, percent, width))
         met = tree_pairs(grouped, point_of, roots, percent).join(tried.hint("merge"), ["a", "b"], "left_anti")
-        roots = components(roots.toDF("a", "b").union(verified(met, texts, percent, width)))
+        roots = components(roots.toDF("a", "b").union(verified(within_fine_bound(met, texts, percent), texts, percent, width)))
     finally:
         docs.sparkSession.sql(f"drop table if exists {table}")
     return sized.join(roots, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("class"))

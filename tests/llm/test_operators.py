@@ -464,3 +464,40 @@ def test_of_equal_rows_one_stays_in_any_partitioning(spark):
     docs = spark.createDataFrame(rows, DOCS)
     kept = {stages.drop_near_duplicates(spark, docs.repartition(n, "n_chars"), SF).first()["source"] for n in (1, 4, 9)}
     assert len(kept) == 1
+
+
+def test_fine_points_of_long_sets(spark):
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 1 << 64, n, np.uint64, endpoint=False)) for n in (1200, 1100, 5000)]
+    sets.append(np.unique(np.concatenate([sets[0][:900], sets[1]])))
+    for x in sets:
+        for y in sets:
+            assert jaccard.fine_bound(jaccard.fine_point(x), jaccard.fine_point(y)) >= len(np.intersect1d(x, y))
+    assert jaccard.fine_point(np.arange(300, dtype=np.uint64) << np.uint64(20)) is None  # all in one group: nothing is bounded
+    words = [f"w{k}" for k in rng.integers(0, 5000, 24_000)]
+    texts = [" ".join(words[:12_000]), " ".join(words[12_000:]), " ".join(words[100:12_000])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sized = jaccard.describe(docs, "doc_id", "text").where("n is not null")
+    sig = {r["doc_id"]: r["sig"] for r in sized.collect()}
+    pairs = spark.createDataFrame([(sig[0], sig[1]), (sig[0], sig[2])], "a bigint, b bigint")
+    assert jaccard.within_bound(pairs, sized.select("sig", "n", "point")).count() == 2  # points of 256 groups do not tell them apart
+    stored = jaccard.packed_texts(docs, "text", sized.select("sig"), f"texts_{uuid.uuid4().hex}")
+    left = jaccard.within_fine_bound(pairs, stored)
+    assert [tuple(r) for r in left.collect()] == [(sig[0], sig[2])] == [tuple(r) for r in jaccard.verified(left, stored).collect()]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 0}
+
+
+def test_rows_of_cells_stay_small(spark, monkeypatch):
+    """Tokens that a row knows only spare repeated pairs: pairs are the same and once each, with any number of them."""
+    rows = [(t, s, 40 + s % 3) for t in range(30) for s in range(1, 9)]
+    grouped = spark.createDataFrame(rows, "token bigint, sig bigint, n int")
+    point = jaccard._shrunk(np.ones(jaccard.GROUPS, np.uint8))
+    assert len(point) < 100
+    points = spark.createDataFrame([(s, 40 + s % 3, point) for s in range(1, 9)], "sig bigint, n int, point binary")
+    roots = spark.createDataFrame([(2, 1)], "node bigint, root bigint")
+    want = {(a, b) for a in range(1, 9) for b in range(a + 1, 9)} - {(1, 2)}
+    for known in (0, jaccard.KNOWN):
+        monkeypatch.setattr(jaccard, "KNOWN", known)
+        got = [tuple(r) for r in jaccard.tree_pairs(grouped, points, roots).collect()]
+        assert len(got) == len(want) and set(got) == want
