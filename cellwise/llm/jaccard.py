@@ -486,7 +486,7 @@ def tree_pairs(grouped: DataFrame, point_of: DataFrame, roots: DataFrame, percen
     """
     rows = grouped.select("token", "sig", "n").join(roots.hint("merge"), F.col("sig") == F.col("node"), "left")
     rows = rows.select("token", "sig", "n", F.coalesce("root", "sig").alias("root"))
-    own = Window.partitionBy("token")  # the same order as that of the partners, so that rows are dealt by token once
+    own = Window.partitionBy("token")  # dealt as for the partners, so that rows move by token once
     mixed = rows.withColumns({"lo": F.min("root").over(own), "hi": F.max("root").over(own), "c": F.count("*").over(own)})
     rows = _with_partners(mixed.where("lo <> hi and c > 3").drop("lo", "hi", "c"), percent)
     rank = F.row_number().over(Window.partitionBy("token").orderBy("root", "n", "sig"))

@@ -501,3 +501,42 @@ def test_rows_of_cells_stay_small(spark, monkeypatch):
         monkeypatch.setattr(jaccard, "KNOWN", known)
         got = [tuple(r) for r in jaccard.tree_pairs(grouped, points, roots).collect()]
         assert len(got) == len(want) and set(got) == want
+
+
+@pytest.mark.parametrize("most", [htmltext.MAX_BEGINS, 3])
+def test_runs_of_a_host_within_articles(spark, monkeypatch, most):
+    """A notice without a class, in half of a host's articles, goes; what fewer share, near copies and short runs stay."""
+    monkeypatch.setattr(htmltext, "MAX_BEGINS", most)
+    notice = "subscribe to our weekly letter and never miss a story again"
+    own = [" ".join(f"p{i}w{k}" for k in range(30)) for i in range(12)]
+    rows = [(i, f"http://A.b/{i}", f"<article><p>{own[i][:79]}</p><div>{notice}</div><p>{own[i]}</p></article>", f"{own[i][:79]} {own[i]}") for i in range(5)]
+    rows += [(i, f"http://a.b/{i}", f"<main><p>{own[i]}</main>", own[i]) for i in range(5, 8)]
+    rows += [(20 + i, f"http://few/{i}", f"<article>{own[i]} {notice}</article>", f"{own[i]} {notice}") for i in range(3)]
+    rows += [(30 + i, f"http://rare/{i}", f"<article>{own[i]}{f' {notice}' if i < 4 else ''}</article>", f"{own[i]}{f' {notice}' if i < 4 else ''}") for i in range(9)]
+    rows += [(40 + i, f"http://near/{i}", f"<article>{own[0]} n{i}</article>", f"{own[0]} n{i}") for i in range(6)]
+    rows += [(50 + i, "http://copy/", f"<article>{own[1]}</article>", own[1]) for i in range(6)]
+    rows += [(60 + i, f"http://short/{i}", f"<article>{own[i]} read more here</article>", f"{own[i]} read more here") for i in range(6)]
+    rows += [rows[0], (None, *rows[1][1:])]
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string")
+    for parts in (1, 7):
+        got = collections.Counter((r["page_id"], r["text"]) for r in htmltext.main_text(pages.repartition(parts)).collect())
+        assert got == collections.Counter((r[0], r[3]) for r in rows)
+
+
+def test_order_of_suffixes(spark):
+    """What neighbours share, counted over edges of batches and partitions, is what a plain count finds."""
+    rng = np.random.default_rng(4)
+    rows = [(int(h), int(b), int(s), bool(f)) for h, b, s, f in zip(rng.integers(0, 2, 400), rng.integers(0, 60, 400) ** 2 // 60, rng.integers(0, 9, 400), rng.integers(0, 2, 400), strict=True)]
+    want = {}
+    for h, b, s, f in rows:
+        streams, pages = want.setdefault((h, b), (set(), []))
+        streams.add(s)
+        pages.append(f)
+    suffixes = spark.createDataFrame(rows, "host bigint, begin bigint, stream bigint, first boolean").repartition(5)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r["host"], r["begin"]): (r["streams"], r["pages"]) for r in htmltext.shared_beginnings(suffixes).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert got == {k: (len(s), sum(p)) for k, (s, p) in want.items() if len(s) > 1}
