@@ -283,15 +283,16 @@ class _Shared:
         self.rows += len(texts)
 
     def end(self):
-        """``host, begin`` of the chunk, which ends here."""
+        """The chunk, which ends here: ``host, begin`` and twice the pages beyond half; the hosts."""
         hosts = np.concatenate([np.zeros(0, np.int64), *self.hosts])
         begin, row = (np.concatenate([np.zeros(0, t), *x]) for t, x in zip((np.uint64, np.int32), zip(*self.parts, strict=True) if self.parts else ((), ()), strict=True))
         names, pages = np.unique(hosts, return_counts=True)
         begin, at, count = np.unique(begin, return_index=True, return_counts=True)
         host = hosts[row[at]]
-        half = 2 * count >= pages[np.searchsorted(names, host)]
+        beyond = 2 * count - pages[np.searchsorted(names, host)]
+        half = beyond >= 0
         self.__init__(self.run)
-        return host[half], textgrid.as_long(begin[half])
+        return (host[half], textgrid.as_long(begin[half]), beyond[half]), names
 
 
 KINDS = {"kind": pa.string(), "page_id": None, "url": pa.string(), "page_key": pa.int64(), "host": pa.int64(), "text": pa.string(), "blocks": pa.list_(pa.string()), "begin": pa.int64(), "stream": pa.int64(), "at": pa.int32()}
@@ -304,14 +305,21 @@ def _rows(kind: str, n: int, ids, **columns) -> pa.RecordBatch:
 
 
 def _parsed(run: int, batches):
-    """Three kinds of rows from one parse of each page.
+    """Four kinds of rows from one parse of each page.
 
     page: its text if structure tells it, and its open blocks otherwise.
     suffix: a beginning in the open and apart streams, with the hash of its stream and its position, which counts words of
     open blocks and is null where it is not within open blocks of a page without an article.
-    shared: a beginning that half of the article pages of a host have in a chunk.
+    shared: a beginning that half of the article pages of a host have in a chunk, ``at`` is twice the pages beyond half.
+    chunk: a host with article pages in a chunk.
     """
     shared, ids = _Shared(run), None
+
+    def chunk():
+        (host, begin, beyond), names = shared.end()
+        yield _rows("shared", len(host), ids, host=host, begin=begin, at=beyond.astype(np.int32))
+        yield _rows("chunk", len(names), ids, host=names)
+
     for part, urls, htmls in _pages(batches):
         n, ids = part.num_rows, part.column("page_id").type
         found = [blocks_of(h) if h else [] for h in htmls]
@@ -325,8 +333,7 @@ def _parsed(run: int, batches):
         told = [i for i, t in enumerate(texts) if t]
         shared.add([texts[i] for i in told], hosts[told])
         if shared.words > CHUNK:
-            host, begin = shared.end()
-            yield _rows("shared", len(host), ids, host=host, begin=begin)
+            yield from chunk()
         begin, stream, page, own_host, at = [], [], [], [], []
         for name, host, blocks, text, key in zip(names, hosts.tolist(), found, texts, keys, strict=True):
             for kind in ("open", "apart"):
@@ -341,9 +348,8 @@ def _parsed(run: int, batches):
                     own_host.append(host)
                     at.append(None if text is not None or kind == "apart" else i)
         yield _rows("suffix", len(begin), ids, page_key=page, host=own_host, begin=begin, stream=stream, at=at)
-    if shared.words:
-        host, begin = shared.end()
-        yield _rows("shared", len(host), ids, host=host, begin=begin)
+    if shared.rows:
+        yield from chunk()
 
 
 def _article_suffixes(run: int, known, batches):
@@ -398,11 +404,21 @@ def shared_beginnings(suffixes: DataFrame) -> DataFrame:
     return parts.groupBy("host", "begin").agg(F.sum("streams").alias("streams"), F.sum("pages").alias("pages")).where("streams > 1")
 
 
-def _article_runs(told: DataFrame, shared: DataFrame, run: int) -> DataFrame | None:
+def possible_beginnings(shared: DataFrame, chunks: DataFrame) -> DataFrame:
+    """``host, begin`` of what half of a host's pages may have, from ``host, begin, at`` of the chunks where half have it, and ``host`` of all chunks.
+
+    A chunk where fewer have it is short of half by half a page at least, so the chunks given must make up for all others.
+    """
+    own = shared.groupBy("host", "begin").agg(F.sum("at").alias("beyond"), F.count("*").alias("c"))
+    of_host = chunks.groupBy("host").agg(F.count("*").alias("n_chunks"))
+    return own.join(of_host, "host").where("beyond + c >= n_chunks").select("host", "begin")
+
+
+def _article_runs(told: DataFrame, possible: DataFrame, run: int) -> DataFrame | None:
     """``page_key, at`` of beginnings in articles that enough articles of their host have; null if there are none."""
     spark = told.sparkSession
     hosts = told.where("text <> ''").groupBy("host").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= PAGES)
-    known = shared.join(hosts, "host", "left_semi").select("begin").distinct().limit(MAX_BEGINS + 1).toArrow().column(0).to_numpy()
+    known = possible.join(hosts, "host", "left_semi").select("begin").distinct().limit(MAX_BEGINS + 1).toArrow().column(0).to_numpy()
     if not len(known):
         return None
     sent = spark.sparkContext.broadcast(np.sort(known.astype(np.int64).view(np.uint64))) if len(known) <= MAX_BEGINS else None
@@ -448,7 +464,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     suffixes = parsed.where("kind = 'suffix'").select("host", "begin", "stream", "page_key", "at", F.lit(True).alias("first"))
     repeated = shared_beginnings(suffixes).select("host", "begin")
     covered = suffixes.where("at is not null").join(repeated.hint("merge"), ["host", "begin"]).select("page_key", "at")
-    in_articles = _article_runs(found.where("text is not null"), parsed.where("kind = 'shared'").select("host", "begin"), run)
+    possible = possible_beginnings(parsed.where("kind = 'shared'").select("host", "begin", "at"), parsed.where("kind = 'chunk'").select("host"))
+    in_articles = _article_runs(found.where("text is not null"), possible, run)
     if in_articles is not None:
         covered = covered.union(in_articles)
     # written first: its size tells whether the pages must be dealt for it

@@ -540,3 +540,22 @@ def test_order_of_suffixes(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
     assert got == {k: (len(s), sum(p)) for k, (s, p) in want.items() if len(s) > 1}
+
+
+def test_beginnings_that_half_of_a_host_may_have(spark):
+    """Never leaves out what half of the pages have, and leaves out what one chunk of many has."""
+    rng = np.random.default_rng(8)
+    for _ in range(3):
+        chunks = [(h, int(n)) for h in (1, 2) for n in rng.integers(1, 6, 9)]
+        shared, total = [], collections.Counter()
+        for h, n in chunks:
+            for b in range(40):
+                c = int(rng.binomial(n, b / 40))
+                total[h, b] += c
+                if 2 * c >= n:
+                    shared.append((h, b, 2 * c - n))
+        got = {tuple(r) for r in htmltext.possible_beginnings(spark.createDataFrame(shared, "host bigint, begin bigint, at int"), spark.createDataFrame([(h,) for h, _ in chunks], "host bigint")).collect()}
+        pages = collections.Counter()
+        for h, n in chunks:
+            pages[h] += n
+        assert {k for k, c in total.items() if 2 * c >= pages[k[0]]} <= got and not {(1, 0), (2, 0), (1, 4), (2, 4)} & got
