@@ -1,27 +1,33 @@
 """Benchmark decontamination: windows of benchmark words looked up in every document.
 
-The windows of a benchmark form a hash table that travels as a constant of the query, to
-every task once.  Documents are read once and not shuffled: each looks up the hashes of its
-own windows and compares the words of those that are found.  A benchmark of more than
-``MAX_WINDOWS`` windows is joined by hash instead.
+A Bloom filter of the benchmark's windows, of bounded size, travels as a constant of the
+query.  Documents look up the hashes of their own windows in it; the few that pass are joined
+with the windows by hash and words, which removes the false ones, and the hits of a document
+are joined to it again.  Neither windows nor their words are held by the driver or stand in a
+plan.  A benchmark of more than ``MAX_WINDOWS`` windows is joined without the filter.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.llm.expressions import let
+from cellwise.session import cut_lineage
 
 WINDOW = 13
-MAX_WINDOWS = 200_000  # some 30 MB of table; a larger one goes through a join
+MAX_WINDOWS = 200_000  # broadcast, some 30 MB; more go through a shuffled join without the filter
+BITS_PER_WINDOW = 32
+MAX_BITS = 1 << 22  # some 1.3 MB as text in a plan; at 200,000 windows one of 10,000 passes wrongly
+PROBES = 8
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-_ENTRY = "array<array<struct<h:bigint,w:string,items:array<string>>>>"
+_NO_ITEMS, _NO_SPANS = "array<string>", "array<struct<first:int,end:int>>"
 
 
 def words(text: Column) -> Column:
@@ -51,43 +57,46 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, width: i
     return each.groupBy("len", "h", "w").agg(F.collect_set("item").alias("items"))
 
 
-def _table(rows: list, buckets: int) -> Column:
-    table: list[list] = [[] for _ in range(buckets)]
-    for r in rows:
-        table[r["h"] % buckets].append({"h": r["h"], "w": r["w"], "items": sorted(r["items"])})
-    return F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), _ENTRY)
+def _positions(h: Column, n_bits: int) -> list[Column]:
+    """The bits of a hash, by double hashing with its halves; ``n_bits`` is a power of two."""
+    first, step = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+    return [(first + step * i).bitwiseAND(F.lit(n_bits - 1)) for i in range(PROBES)]
 
 
-def _hits_of_length(tokens: Column, rows: list, length: int) -> Column:
-    buckets = 1 << (4 * len(rows)).bit_length()
-    table = _table(rows, buckets)
+def _filter_bits(windows: DataFrame, n_windows: int) -> list[int]:
+    """The Bloom filter of the hashes as 64-bit words."""
+    n_bits = min(MAX_BITS, 1 << (BITS_PER_WINDOW * n_windows).bit_length())
+    each = windows.select(F.explode(F.array(*_positions(F.col("h"), n_bits))).alias("p"))
+    bit = F.call_function("shiftleft", F.expr("1L"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))
+    bits = [0] * (n_bits // 64)
+    for r in each.groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(bit).alias("word")).collect():
+        bits[r["at"]] = r["word"]
+    return bits
 
-    def bucket(h):
-        return F.get(table, F.pmod(h, F.lit(buckets)).cast("int"))
 
-    def verify(x):
-        own = F.array_join(F.slice(tokens, x["i"] + 1, length), " ")
-        return F.transform(
-            F.filter(bucket(x["h"]), lambda e: (e["h"] == x["h"]) & (e["w"] == own)),
-            lambda e: F.struct(x["i"].alias("at"), F.lit(length).alias("len"), e["items"].alias("items")),
-        )
+def _passes(bits: Column, n_bits: int, h: Column) -> Column:
+    out = F.lit(True)
+    for p in _positions(h, n_bits):
+        out = out & (F.getbit(F.get(bits, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return out
+
 
-    spots = F.transform(window_hashes(tokens, length), lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    spots = F.filter(spots, lambda x: F.exists(bucket(x["h"]), lambda e: e["h"] == x["h"]))
-    return F.flatten(F.transform(spots, verify))
+def _spots(tokens: Column, lengths: list[int], passes: Callable[[Column], Column]) -> Column:
+    """``array<struct<len, at, h, w>>``: windows of a document whose hash passes."""
 
+    def of_length(length):
+        spots = F.transform(window_hashes(tokens, length), lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        return F.transform(
+            F.filter(spots, lambda x: passes(x["h"])),
+            lambda x: F.struct(F.lit(length).alias("len"), x["i"].alias("at"), x["h"].alias("h"), F.array_join(F.slice(tokens, x["i"] + 1, length), " ").alias("w")),
+        )
 
-def _hits_in_row(tokens: Column, windows: list) -> Column:
-    """``array<struct<at, len, items>>`` by position, from the tables of each window length."""
-    lengths = sorted({r["len"] for r in windows})
-    found = [_hits_of_length(tokens, [r for r in windows if r["len"] == n], n) for n in lengths]
-    none = F.array().cast("array<struct<at:int,len:int,items:array<string>>>")
-    return F.array_sort(F.concat(none, *found))
+    return F.concat(*[of_length(n) for n in lengths])
 
 
-def _summary(tokens: Column, hits: Column) -> Column:
-    """``n_words, n_hit, items, spans`` of one document; hits are in the order of positions."""
-    none = F.array().cast("array<struct<first:int,end:int>>")
+def _summary(hits: Column) -> Column:
+    """``n_hit, items, spans`` of one document; hits are in the order of positions."""
+    none = F.array().cast(_NO_SPANS)
 
     def add(out, x):
         last = F.get(out, F.size(out) - 1)
@@ -98,25 +107,29 @@ def _summary(tokens: Column, hits: Column) -> Column:
     def put(spans):
         n_hit = F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["first"])
         items = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda x: x["items"]))))
-        return F.struct(F.size(tokens).cast("bigint").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"), spans.alias("spans"))
-
-    return let(F.when(F.size(hits) > 0, F.aggregate(hits, none, add)).otherwise(none), put)
+        return F.struct(n_hit.alias("n_hit"), items.alias("items"), spans.alias("spans"))
 
+    return let(F.aggregate(hits, none, add), put)
 
-def _hits_by_join(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
-    """The same hits through a join, for benchmarks without a bound; rows are known by id and text."""
-    key = docs.withColumn("_key", F.sha2(F.concat_ws("\0", F.col("_id").cast("string"), F.array_join("_ws", " ")), 256))
 
-    def of_length(length):
-        strings = F.transform(window_hashes(F.col("_ws"), length), lambda h, i: F.struct(h.alias("h"), i.alias("at"), F.array_join(F.slice("_ws", i + 1, length), " ").alias("w")))
-        return key.select("_key", F.lit(length).alias("len"), F.explode(strings).alias("x")).select("_key", "len", "x.*")
+def _found(source: DataFrame, windows: DataFrame, n_windows: int, max_windows: int) -> DataFrame:
+    """``_key, _hit``: what is found in the documents that hold a window, one row a key.
 
-    parts = [of_length(length) for length in lengths]
-    each = parts[0]
-    for part in parts[1:]:
-        each = each.union(part)
-    hits = each.join(windows, ["len", "h", "w"]).groupBy("_key").agg(F.array_sort(F.collect_set(F.struct("at", "len", "items"))).alias("_hits"))
-    return key.join(hits, "_key", "left").withColumn("_hits", F.coalesce("_hits", F.array().cast("array<struct<at:int,len:int,items:array<string>>>")))
+    The table is written, so that its size decides how it is joined to the documents.
+    """
+    lengths = sorted(r["len"] for r in windows.select("len").distinct().collect())
+    few = n_windows <= max_windows
+    ws = words(F.col("_text"))
+    if few:
+        filled = _filter_bits(windows, n_windows)
+        table = F.from_json(F.lit(json.dumps(filled)), "array<bigint>")
+        spots = let(table, lambda bits: let(ws, lambda ws: _spots(ws, lengths, lambda h: _passes(bits, 64 * len(filled), h))))
+    else:
+        spots = let(ws, lambda ws: _spots(ws, lengths, lambda h: F.lit(True)))
+    each = source.select("_key", F.explode(spots).alias("x")).select("_key", "x.*")
+    hits = each.join(F.broadcast(windows) if few else windows, ["len", "h", "w"])
+    hits = hits.groupBy("_key").agg(F.array_sort(F.collect_set(F.struct("at", "len", "items"))).alias("hits"))
+    return cut_lineage(hits.select("_key", _summary(F.col("hits")).alias("_hit")))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", width: int = WINDOW, keep: tuple[str, ...] = (), max_windows: int = MAX_WINDOWS) -> DataFrame:
@@ -127,17 +140,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     Null, empty and wordless texts, and an empty benchmark, have no hits; repeated rows
     are judged alike; a null id is kept.
     """
-    windows = benchmark_windows(benchmark, item_col, "text", width)
+    windows = cut_lineage(benchmark_windows(benchmark, item_col, "text", width))
     names = [id_col, *[c for c in keep if c != id_col]]
-    source = docs.select(F.struct(*[F.col(c).alias(c) for c in names]).alias("_kept"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    small = windows.limit(max_windows + 1).collect()
-    if len(small) <= max_windows:
-        found = source.withColumn("_found", let(words(F.col("_text")), lambda ws: let(_hits_in_row(ws, small), lambda hits: _summary(ws, hits))))
+    # Hits follow from the text; the id only deals copies of one text over the tasks.
+    key = F.concat(F.sha2(F.coalesce(text_col, F.lit("")), 256), F.xxhash64(id_col).cast("string"))
+    source = docs.select(F.struct(*[F.col(c).alias(c) for c in names]).alias("_kept"), key.alias("_key"), F.col(text_col).alias("_text"))
+    rows = source.select("_kept", "_key", F.size(words(F.col("_text"))).cast("bigint").alias("n_words"))
+    none = F.struct(F.lit(0).cast("bigint").alias("n_hit"), F.array().cast(_NO_ITEMS).alias("items"), F.array().cast(_NO_SPANS).alias("spans"))
+    n_windows = windows.count()
+    if n_windows:
+        found = rows.join(_found(source, windows, n_windows, max_windows), "_key", "left").withColumn("_hit", F.coalesce("_hit", none))
     else:
-        source = source.withColumn("_ws", words(F.col("_text")))
-        found = _hits_by_join(source, windows, sorted(r["len"] for r in windows.select("len").distinct().collect()))
-        found = found.withColumn("_found", _summary(F.col("_ws"), F.col("_hits")))
-    return found.select(*[F.col("_kept").getField(c).alias(c) for c in names], "_found.*")
+        found = rows.withColumn("_hit", none)
+    return found.select(*[F.col("_kept").getField(c).alias(c) for c in names], "n_words", "_hit.*")
 
 
 def is_contaminated() -> Column:

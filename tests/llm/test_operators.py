@@ -182,6 +182,30 @@ def test_contamination(odd, empty, spark, limit):
     assert contamination.find_contamination(odd, benchmark.limit(0)).where("n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("most_bits", [contamination.MAX_BITS, 64])
+def test_benchmark_windows_stay_out_of_plans(spark, monkeypatch, most_bits):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(40)]
+    clean = " ".join(f"v{k}" for k in range(50))
+    texts = [*[f"{clean} {t[5:400]} {clean}" for _, t in items[:10]], clean, None, ""]
+    docs = spark.createDataFrame([*enumerate(texts), (0, texts[0]), (0, clean), (None, texts[1]), (None, clean)], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    plans, cut = [], contamination.cut_lineage
+
+    def note(df):
+        plans.append(df._jdf.queryExecution().toString())
+        return cut(df)
+
+    monkeypatch.setattr(contamination, "cut_lineage", note)
+    monkeypatch.setattr(contamination, "MAX_BITS", most_bits)  # with 64 bits all windows pass the filter
+    found = contamination.find_contamination(docs, benchmark, keep=("text",))
+    plans.append(found._jdf.queryExecution().toString())
+    assert not any("w7x30 w7x31" in p for p in plans)
+    got = found.collect()
+    assert len(got) == len(texts) + 4 and sum(r["n_hit"] > 0 for r in got) == 12
+    for r in got:
+        assert (r["n_words"], r["n_hit"], list(r["items"])) == _contaminated(r["text"], items)
+
+
 def test_url_filter(spark):
     urls = ["http://A.net/x", "https://example.net/en/", "ftp://www.example.com/de/a?b", "x://q.org/fr/", "http://bad.biz/p/?utm_source=a", "http://www.BAD.biz/p#t", "http://ok.biz/", None, "", "nothing", "http://net", "http://bad.biz/q"]
     pages = spark.createDataFrame(list(enumerate([*urls, urls[4]])), "page_id bigint, url string")
