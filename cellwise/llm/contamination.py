@@ -3,8 +3,8 @@
 A Bloom filter of the benchmark's windows, of bounded size, travels as a constant of the
 query.  Documents look up the hashes of their own windows in it; the few that pass are joined
 with the windows by hash and words, which removes the false ones, and the hits of a document
-are joined to it again.  Neither windows nor their words are held by the driver or stand in a
-plan.  A benchmark of more than ``MAX_WINDOWS`` windows is joined without the filter.
+are joined to it again.  No words of the benchmark stand in a plan; up to ``MAX_WINDOWS``
+windows are broadcast, and more are joined by a shuffle and without the filter.
 """
 
 from __future__ import annotations
