@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellwise.operators.centers import is_sparse
 from cellwise.operators.means import (
     assigned_partial_sums,
     center_shift,
@@ -19,7 +20,7 @@ from cellwise.operators.means import (
 )
 from cellwise.operators.nearest import CenterSearch, as_matrix
 from cellwise.plans.config import FitConfig, KMeansModel, LogRow, centers_frame
-from cellwise.plans.sparse_lloyd import fit_sparse, is_sparse
+from cellwise.plans.sparse_lloyd import fit_sparse
 from cellwise.session import center_budget, cut_lineage
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cellwise.functions import kernels
 from cellwise.functions.scalar import planned_rounds, sampling_probability
+from cellwise.operators.centers import is_sparse, stored_bytes
 from cellwise.operators.indexing import with_consecutive_index
 from cellwise.operators.nearest import (
     CenterBlock,
@@ -75,7 +76,7 @@ def _candidate_rows(numbered: DataFrame, round_number: int, key: str, features:
 
 
 class _SmallRound:
-    """Candidates of one round, collected as an Arrow table."""
+    """Candidates of one round, collected as an Arrow table; sparse ones keep to their stored entries."""
 
     def __init__(self, sampled: DataFrame, start: int, number: int, key: str, features: str):
         found = sampled.select(key, features).toArrow()
@@ -90,8 +91,7 @@ class _SmallRound:
             }
         )
         if self.size:
-            points = kernels.decode_points(found[features])
-            self.matrix = np.ascontiguousarray(kernels.densify(points))
+            self.matrix = kernels.lean(kernels.decode_points(found[features]))
 
     def blocks(self) -> Iterator[CenterBlock]:
         return iter([CenterBlock(self.start, self.matrix)])
@@ -115,6 +115,14 @@ class _LargeRound:
         return self.rows
 
 
+def _first_cost(state: DataFrame, features: str, dim: int) -> tuple[float, int]:
+    """Cost of the first state, and most bytes that the vector of a point takes, in one job."""
+    if not is_sparse(state, features):
+        return total_cost(state), 8 * max(1, dim)
+    cost, longest = state.agg(F.coalesce(F.sum("d2"), F.lit(0.0)), F.max(F.size(f"{features}.values"))).first()
+    return float(cost), stored_bytes(longest, dim)
+
+
 def seed_candidates(
     points: DataFrame, config: SeedConfig, key: str = "point_id", features: str = "features"
 ) -> Seeding:
@@ -132,12 +140,11 @@ def seed_candidates(
     first = _SmallRound(seed_point(points, key, config.seed, config.rng), 0, 0, key, features)
     if not first.size:
         raise ValueError("cannot seed clusters from an empty input")
-    row_bytes = 8 * max(1, first.matrix.shape[1])
     round_bound = sampled_rows_bound(config.oversampling)
     rounds: list[_SmallRound | _LargeRound] = [first]
     n_candidates = 1
     state = with_nearest(points, next(first.blocks()), features).persist(config.storage)
-    cost = total_cost(state)  # fills the cache in the same job
+    cost, row_bytes = _first_cost(state, features, kernels.points_dim(first.matrix))  # fills the cache in the same job
     log.append(LogRow("seed", 0, cost, 1, 1, None, time.perf_counter() - started))
 
     planned = config.rounds if config.rounds is not None else planned_rounds(cost, config.alpha)
@@ -197,4 +204,4 @@ def _restated(points: DataFrame, rounds: list[_SmallRound], features: str) -> Da
     Keeping the closer candidate round by round equals comparing with all of them at
     once.  Their size was checked when the last round was collected.
     """
-    return with_nearest(points, CenterBlock(0, np.vstack([r.matrix for r in rounds])), features)
+    return with_nearest(points, CenterBlock(0, kernels.stack([r.matrix for r in rounds])), features)

@@ -11,7 +11,6 @@ import time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from cellwise.operators.means import keep_empty
 from cellwise.operators.nearest import CenterSearch
@@ -19,12 +18,6 @@ from cellwise.plans.config import FitConfig, KMeansModel, LogRow
 from cellwise.session import cut_lineage
 
 
-def is_sparse(frame: DataFrame, column: str) -> bool:
-    """Whether vectors are structs as :func:`cellwise.sources.sparse.sparse_rows` builds them."""
-    kind = frame.schema[column].dataType
-    return isinstance(kind, StructType) and {"size", "indices", "values"} <= set(kind.names)
-
-
 def sparse_vector(size: Column, entries: Column) -> Column:
     """A sparse vector from sorted ``(col_id, value)`` structs."""
     return F.struct(

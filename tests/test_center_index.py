@@ -8,6 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from cellwise.functions import kernels
+from cellwise.operators import centers as centers_module
 from cellwise.operators import means, nearest
 from cellwise.operators.centers import IndexedBlock, build_index, matrix_frame, search_blocks
 from cellwise.plans.config import FitConfig, SeedConfig
@@ -194,3 +195,58 @@ def test_fit_gives_one_kind_of_centres(spark, points, small_blocks):
     small_blocks(5 * 8 * 4)
     held = fit_centers(points, plain.centers_frame(spark), FitConfig(1, 0.0))
     assert isinstance(held.centers, np.ndarray) and held.centers_frame(spark).columns == ["cluster", "center"]
+
+
+KIND = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+
+
+def sparse_table(n, width, most=12, seed=4):
+    """Sparse rows, some without entries, over columns from 0 to the last of ``width``."""
+    rng = np.random.default_rng(seed)
+    columns = np.r_[np.arange(25), width - 1 - np.arange(25)]
+    cells = [sorted(rng.choice(columns, int(rng.integers(0, most)), replace=False).tolist()) for _ in range(n)]
+    return [(i, (0, width, c, rng.uniform(0.1, 1, len(c)).tolist())) for i, c in enumerate(cells)]
+
+
+@pytest.mark.parametrize("budget", [None, 3000, 1])
+def test_centres_of_sparse_points_are_never_made_dense(spark, small_blocks, monkeypatch, budget):
+    """A row of 2^31 - 1 columns would take 16 GB: neither the driver nor a task makes one, in memory or from an index."""
+    def dense(*_):
+        raise AssertionError("a sparse vector was made dense")
+
+    monkeypatch.setattr(kernels.SparseRows, "to_dense", dense)
+    monkeypatch.setattr(centers_module, "as_dense", dense)
+    if budget:
+        small_blocks(budget)
+    wide, narrow = 2**31 - 1, 50
+    table = sparse_table(150, wide)
+    frame = spark.createDataFrame(table, f"point_id bigint, features {KIND}").repartition(5).cache()
+    seeding = seed_candidates(frame, SeedConfig(6, 2, seed=5))
+    chosen = seeding.candidates.select("idx", "point_id", "weight").orderBy("idx").collect()
+    matrix = np.zeros((150, narrow))
+    for i, (_, _, columns, values) in table:
+        matrix[i, [c if c < 25 else wide - 1 - c + 25 for c in columns]] = values
+    assert [r["idx"] for r in chosen] == list(range(len(chosen))) and len(chosen) > 3
+    apart = ((matrix[:, None] - matrix[[r["point_id"] for r in chosen]][None]) ** 2).sum(axis=2)
+    state = sorted(seeding.state.select("point_id", "d2", "idx").collect())
+    np.testing.assert_allclose([r["d2"] for r in state], apart.min(axis=1), atol=1e-9)
+    np.testing.assert_allclose(apart[np.arange(150), [r["idx"] for r in state]], apart.min(axis=1), atol=1e-9)
+    assert [r["weight"] for r in chosen] == np.bincount([r["idx"] for r in state], minlength=len(chosen)).tolist()
+    near = nearest.nearest_center(frame, seeding.candidates, index_col="idx").select("point_id", "d2", "idx")
+    assert sorted(near.collect()) == state
+    seeding.release()
+    frame.unpersist()
+
+
+def test_slices_to_sparse_centres(spark, points, small_blocks):
+    table = [(i, v) for i, v in sparse_table(9, 50)]
+    centers = spark.createDataFrame(table, f"idx int, center {KIND}")
+    thin = spark.createDataFrame(sparse_table(20, 50, seed=9), f"point_id bigint, features {KIND}")
+    plain = thin.select("point_id", nearest.as_dense(thin, "features").alias("features"))
+    for budget in (1 << 20, 8 * 50 * 4):
+        small_blocks(budget)
+        a, b = (sorted((r["point_id"], r["first"] + j, x) for r in nearest.distance_slices(f, centers).collect() for j, x in enumerate(r["distances"])) for f in (thin, plain))
+        assert len(a) == 180
+        np.testing.assert_allclose(a, b, atol=1e-9)
+        both = [sorted(nearest.nearest_center(f, centers).select("point_id", "idx").collect()) for f in (thin, plain)]
+        assert both[0] == both[1]

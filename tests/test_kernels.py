@@ -160,3 +160,23 @@ def test_partial_sums_merge_to_the_true_sums(sparse, max_bytes):
         np.testing.assert_allclose(sums[c, :150], matrix[clusters == c].sum(axis=0), atol=1e-12)
     assert counts.tolist() == np.bincount(clusters, minlength=7).tolist()
     assert total == pytest.approx(cost.sum())
+
+
+@pytest.mark.parametrize("block", [1 << 18, 7])
+def test_sparse_centres_equal_dense_ones(monkeypatch, block):
+    monkeypatch.setattr(kernels, "_BLOCK_CELLS", block)
+    rng = np.random.default_rng(6)
+    matrix = np.where(rng.random((60, 30)) < 0.2, rng.uniform(0.1, 1, (60, 30)), 0.0)
+    matrix[5] = 0.0
+    points, centers = kernels._to_sparse(matrix), np.vstack([matrix[:9], matrix[3:6]])
+    thin = kernels._to_sparse(centers)
+    assert np.array_equal(thin.to_dense(), centers) and np.array_equal(kernels.stack([thin, centers]).to_dense(), np.vstack([centers, centers]))
+    for rows in (points, matrix):
+        d2, index = kernels.nearest(rows, centers)
+        got, at = kernels.nearest(rows, thin)
+        np.testing.assert_allclose(got, d2, atol=1e-10)
+        assert np.array_equal(at, index)  # of equal ones the first
+        np.testing.assert_allclose(kernels.distances(rows, thin), kernels.distances(rows, centers), atol=1e-10)
+    empty = kernels._to_sparse(np.zeros((2, 30)))
+    assert kernels.nearest(points, empty)[1].tolist() == [0] * 60
+    assert isinstance(kernels.lean(thin), kernels.SparseRows) and isinstance(kernels.lean(kernels._to_sparse(np.ones((2, 3)))), np.ndarray)
