@@ -24,7 +24,8 @@ class SeedConfig:
     """Parallel oversampling seeding.
 
     ``oversampling`` is the expected number of new candidates per round.
-    ``rounds=None`` plans ``alpha * ln(initial cost)`` rounds.
+    ``rounds=None`` plans ``alpha * ln(initial cost)`` rounds.  ``storage=None`` is for points that
+    can be read again at little cost: distances are computed from them in every round, and no copy is cached.
     """
 
     oversampling: float
@@ -32,7 +33,7 @@ class SeedConfig:
     alpha: float = 1.0
     seed: int = 42
     rng: str = "xxhash64"
-    storage: StorageLevel = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
+    storage: StorageLevel | None = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
 
     def __post_init__(self):
         if self.oversampling <= 0:
@@ -82,7 +83,7 @@ class Seeding:
     """Candidates with weights, and the per-point state that led to them.
 
     ``state`` holds ``d2`` (distance to the nearest candidate) for every point and
-    stays cached until :meth:`release` is called.
+    stays cached until :meth:`release` is called, if the points are cached at all.
     """
 
     candidates: DataFrame  # idx int, point_id, round int, center, weight double

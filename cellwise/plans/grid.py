@@ -124,7 +124,7 @@ def seed_many(
         if not run.add(firsts[where], 0, key, features):
             raise ValueError("cannot seed clusters from an empty input")
     row_bytes = 8 * max(1, runs[0].matrices[0].shape[1])
-    storage = configs[0].storage
+    storage = configs[0].storage or StorageLevel.MEMORY_AND_DISK
     state = _whole_state(points, runs, features).persist(storage)
     _set_costs(state, runs)
     for run in runs:

@@ -3,12 +3,14 @@
 Two Spark jobs per round: one aggregates the cost while caching the updated
 per-point state, one samples new candidates from that cache.  Points never leave
 the executors; the driver sees one cost per round and the few sampled points.
+Points that are stored already need not be cached: their distances are computed again.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from cellwise.operators.nearest import (
     with_nearest,
 )
 from cellwise.operators.sampling import sample_by_probability, seed_point
-from cellwise.operators.weights import candidate_weights, nearest_frequencies
+from cellwise.operators.weights import candidate_weights
 from cellwise.plans.config import LogRow, SeedConfig, Seeding
 from cellwise.session import center_budget, cut_lineage
 
@@ -115,12 +117,29 @@ class _LargeRound:
         return self.rows
 
 
-def _first_cost(state: DataFrame, features: str, dim: int) -> tuple[float, int]:
-    """Cost of the first state, and most bytes that the vector of a point takes, in one job."""
-    if not is_sparse(state, features):
-        return total_cost(state), 8 * max(1, dim)
-    cost, longest = state.agg(F.coalesce(F.sum("d2"), F.lit(0.0)), F.max(F.size(f"{features}.values"))).first()
-    return float(cost), stored_bytes(longest, dim)
+@dataclass
+class _Measure:
+    """Sum and greatest of the distances of a state, most stored values of a point, points by nearest candidate."""
+
+    cost: float
+    farthest: float
+    longest: int
+    counts: dict[int, int]
+
+
+def _measure(state: DataFrame, features: str) -> _Measure:
+    """One pass; the driver gets a row for each candidate that attracts points."""
+    entries = F.size(f"{features}.values") if is_sparse(state, features) else F.lit(0)
+    by_candidate = state.groupBy("idx").agg(F.sum("d2"), F.max("d2"), F.max(entries), F.count(F.lit(1)))
+    found = by_candidate.collect()
+    cost = float(sum(r[1] for r in found))
+    return _Measure(cost, max(r[2] for r in found), max(r[3] for r in found), {r[0]: r[4] for r in found})
+
+
+def _in_reach(points: DataFrame, config: SeedConfig, number: int, last: _Measure, key: str) -> DataFrame:
+    """Points that a round draws if they are as far as the farthest one; of the others it draws none."""
+    p = sampling_probability(F.lit(last.farthest), config.oversampling, last.cost)
+    return sample_by_probability(points, key, p, config.seed, number, config.rng)
 
 
 def seed_candidates(
@@ -143,8 +162,13 @@ def seed_candidates(
     round_bound = sampled_rows_bound(config.oversampling)
     rounds: list[_SmallRound | _LargeRound] = [first]
     n_candidates = 1
-    state = with_nearest(points, next(first.blocks()), features).persist(config.storage)
-    cost, row_bytes = _first_cost(state, features, kernels.points_dim(first.matrix))  # fills the cache in the same job
+    held = config.storage is not None  # whether the state is stored with its distances
+    state = with_nearest(points, next(first.blocks()), features)
+    if held:
+        state = state.persist(config.storage)
+    last = _measure(state, features)  # fills the cache in the same job
+    cost, dim = last.cost, kernels.points_dim(first.matrix)
+    row_bytes = stored_bytes(last.longest, dim) if is_sparse(points, features) else 8 * max(1, dim)
     log.append(LogRow("seed", 0, cost, 1, 1, None, time.perf_counter() - started))
 
     planned = config.rounds if config.rounds is not None else planned_rounds(cost, config.alpha)
@@ -152,7 +176,8 @@ def seed_candidates(
         if cost <= 0.0:
             break
         started = time.perf_counter()
-        sampled = sample_round(state, config, number, cost, key)
+        drawn_from = state if held else _restated(_in_reach(points, config, number, last, key), rounds, features)
+        sampled = sample_round(drawn_from, config, number, cost, key)
         # collected candidates stay on the driver, so all of them count
         small = (n_candidates + round_bound) * row_bytes <= budget
         if small:
@@ -162,31 +187,36 @@ def seed_candidates(
         if added.size:
             rounds.append(added)
             n_candidates += added.size
-            if small:
-                newer = update_nearest(state, next(added.blocks()), features)
-            else:
+            if not small:
                 newer = cut_lineage(CenterSearch(spark, added.rows).update(state, features))
-            if small and (len(rounds) - 1) % _ROUNDS_PER_CUT == 0:
+                held = True
+            elif not held or (len(rounds) - 1) % _ROUNDS_PER_CUT == 0:
                 newer = _restated(points, rounds, features)
-            if small:
+            else:
+                newer = update_nearest(state, next(added.blocks()), features)
+            if small and held:
                 newer = newer.persist(config.storage)
-            cost = total_cost(newer)
+            if small:
+                last = _measure(newer, features)
+                cost = last.cost
+            else:
+                cost = total_cost(newer)
             state.unpersist()
             state = newer
         # a round without samples counts as a round
         elapsed = time.perf_counter() - started
         log.append(LogRow("seed", number, cost, added.size, n_candidates, None, elapsed))
 
-    return Seeding(_weighted(spark, rounds, state), state, log, [state.unpersist])
+    return Seeding(_weighted(spark, rounds, state, last.counts), state, log, [state.unpersist])
 
 
-def _weighted(spark: SparkSession, rounds: list, state: DataFrame) -> DataFrame:
-    """All candidates with the number of points nearest to each."""
+def _weighted(spark: SparkSession, rounds: list, state: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """All candidates with the number of points nearest to each; ``counts`` are those of collected candidates."""
     if all(isinstance(r, _SmallRound) for r in rounds):
         table = pa.concat_tables(r.table for r in rounds)
         weights = np.zeros(table.num_rows)
-        for row in nearest_frequencies(state).collect():
-            weights[row["idx"]] = row["n"]
+        for number, n in counts.items():
+            weights[number] = n
         return spark.createDataFrame(table.append_column("weight", pa.array(weights))).coalesce(1)
     return cut_lineage(candidate_weights(_union(rounds), state))
 

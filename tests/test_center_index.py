@@ -238,6 +238,30 @@ def test_centres_of_sparse_points_are_never_made_dense(spark, small_blocks, monk
     frame.unpersist()
 
 
+@pytest.mark.parametrize("budget", [1 << 20, 200])
+def test_stored_points_are_seeded_without_a_cached_copy(spark, points, small_blocks, monkeypatch, budget):
+    """Equal candidates with sparse and dense points, in memory (also of repeated ids) and from an index."""
+    from pyspark.sql import DataFrame
+
+    thin = spark.createDataFrame([(i // 2 if budget > 200 else i, v) for i, v in sparse_table(90, 40)], f"point_id bigint, features {KIND}").repartition(4).cache()
+    kept = ("idx", "point_id", "round", "weight")
+    small_blocks(budget)
+    for frame in (points, thin):
+        frame.count()
+        one = seed_candidates(frame, SeedConfig(6, 3, seed=5))
+        want, state, costs = (sorted(one.candidates.select(*kept).collect()), sorted(one.state.select("point_id", "d2", "idx").collect()), [x.cost for x in one.log])
+        one.release()
+        with monkeypatch.context() as patch:
+            if budget > 200:  # nothing is held, nor written
+                patch.setattr(DataFrame, "persist", lambda *_: 1 / 0)
+            two = seed_candidates(frame, SeedConfig(6, 3, seed=5, storage=None))
+        assert len(want) > 6 and sorted(two.candidates.select(*kept).collect()) == want
+        assert sorted(two.state.select("point_id", "d2", "idx").collect()) == state
+        assert [x.cost for x in two.log] == pytest.approx(costs)
+        two.release()
+    thin.unpersist()
+
+
 def test_slices_to_sparse_centres(spark, points, small_blocks):
     table = [(i, v) for i, v in sparse_table(9, 50)]
     centers = spark.createDataFrame(table, f"idx int, center {KIND}")
